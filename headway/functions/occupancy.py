@@ -27,9 +27,9 @@ RULE_CONFIDENCE = 0.6
 
 def occupancy_dim(spark: SparkSession) -> DataFrame:
     """The seven classes as a table; small by definition, so safe to broadcast."""
-    return spark.createDataFrame(
-        OCCUPANCY_ROWS, "class int, label string, long_label string, message string, color_name string, color string"
-    )
+    names = ["class", "label", "long_label", "message", "color_name", "color"]
+    rows = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in OCCUPANCY_ROWS]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def class_color(cls: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from headway.operators.cleaning import fill_weather
 from headway.operators.windows import first_per_key
+from headway.session import written
 
 WEATHER_MEASURES = [
     "temperature_2m", "relative_humidity_2m", "precipitation", "rain", "snowfall",
@@ -158,7 +159,9 @@ def nearest_hour(targets: DataFrame, weather: DataFrame, target: str = "target_t
     gap_next = F.unix_timestamp("next") - F.unix_timestamp("h")
     take_prev = F.col("next").isNull() | (gap_prev <= gap_next)
     choice = near.select(F.col("h").alias("t_hour"), F.when(take_prev, F.col("prev")).otherwise(F.col("next")).alias("w_hour"))
-    return keyed.join(choice, "t_hour", "left").join(per_hour, "w_hour", "left").drop("t_hour")
+    # one row per distinct hour; written so that the join is planned on its real size
+    by_hour = written(choice.join(per_hour, "w_hour"), "hours")
+    return keyed.join(by_hour, "t_hour", "left").drop("t_hour")
 
 
 def hour_lookup(targets: DataFrame, weather: DataFrame, target: str = "target_time") -> DataFrame:

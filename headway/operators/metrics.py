@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.occupancy import CLASSES, occupancy_dim
 from headway.operators.ranks import quantiles
+from headway.session import written
 
 # Weight multiplier per class and the upper weight limit.
 CLASS_MULTIPLIERS = {0: 1.0, 1: 2.0, 2: 10.0, 3: 20.0, 4: 30.0, 5: 30.0, 6: 30.0}
@@ -61,8 +62,12 @@ def class_weights(
 
 
 def with_class_weight(df: DataFrame, label: str = "occupancy_mode", **options) -> DataFrame:
-    """Attach the weight of each row's class."""
-    weights = class_weights(df, label, **options).select(label, "class_weight")
+    """Attach the weight of each row's class.
+
+    The weights are written first, one row per class: with their size known
+    the rows are not shuffled onto the few, very uneven label values.
+    """
+    weights = written(class_weights(df, label, **options).select(label, "class_weight"), "weights")
     return df.join(weights, label, "left")
 
 
@@ -146,8 +151,9 @@ def class_report(pairs: DataFrame) -> DataFrame:
 def class_panel(df: DataFrame, actual: str = "actual_occupancy_mode", predicted: str = "predicted_occupancy_mode") -> DataFrame:
     """All seven classes with counts; recall or precision is null where there is nothing to divide."""
     seen = _per_class(pair_counts(df, actual, predicted), [])
-    spine = F.broadcast(occupancy_dim(df.sparkSession).select("class", "label"))
-    panel = seen.join(spine, "class", "right")
+    spine = occupancy_dim(df.sparkSession).select("class", "label")
+    # at most one row per class on either side
+    panel = spine.join(F.broadcast(seen), "class", "left")
     return panel.select(
         "class", "label",
         F.coalesce("support", F.lit(0)).alias("actual_count"),

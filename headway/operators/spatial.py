@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.clock import clock_seconds, within_seconds
 from headway.functions.geo import LOOKUP_RADIUS_M, MEAN_RADIUS_M, haversine_m, metres_rounded
+from headway.session import written
 
 # slack on the bounding box, far above rounding error and far below a metre
 _EPS_DEG = 1e-7
@@ -139,56 +140,97 @@ def incident_summary(pairs: DataFrame, keys: list[str]) -> DataFrame:
 def incident_features(windows: DataFrame, incidents: DataFrame, radius_m: float = 500.0) -> DataFrame:
     """Every window with its incident features; zeros and nulls where nothing is near.
 
-    Only the matches are shuffled by the radius join; the windows meet the
-    small summary again on their own key.
+    Matches are rare, but a planner guesses a radius join to be huge and would
+    shuffle every window to meet them. The summary is therefore written first:
+    its real size then decides between a broadcast and a shuffle join.
     """
     keys = ["trip_id", "window_start"]
     slim = windows.select(*keys, "lat_mean", "lon_mean")
-    summary = incident_summary(incident_pairs(slim, incidents, radius_m), keys)
+    summary = written(incident_summary(incident_pairs(slim, incidents, radius_m), keys), "incidents")
     count = F.coalesce("num_nearby_traffic_events", F.lit(0)).cast("bigint")
     return windows.join(summary, keys, "left").withColumns(
         {"num_nearby_traffic_events": count, "has_nearby_event": (count > 0).cast("bigint")}
     )
 
 
+_VISIT_COLUMNS = ["trip_id", "route_short_name", "route_long_name", "trip_headsign", "stop_name", "stop_headsign"]
+
+
+def _place_visits(stops: DataFrame, payload: list[str]) -> DataFrame:
+    """Visits that can win for a target on a full minute: first and last arrival per place and minute.
+
+    Every other arrival of that minute is further away from any full minute.
+    A busy terminal thereby shrinks to two rows per minute of the clock.
+    """
+    visit = F.struct(*payload, "stop_sequence", "_arrival")
+    tie = [F.col("trip_id"), F.col("stop_sequence")]
+    ends = (
+        stops.withColumn("_arrival", clock_seconds(F.col("arrival_time")))
+        .groupBy("stop_lat", "stop_lon", F.floor(F.col("_arrival") / 60).alias("_minute"))
+        .agg(
+            F.min_by(visit, F.struct("_arrival", *tie)).alias("first"),
+            F.min_by(visit, F.struct(-F.col("_arrival"), *tie)).alias("last"),
+        )
+    )
+    return ends.select(
+        "stop_lat", "stop_lon", F.inline(F.array_distinct(F.array("first", "last")))
+    ).withColumn("_clock_hour", F.floor(F.col("_arrival") / 3600))
+
+
 def nearest_trip(requests: DataFrame, stops: DataFrame, max_radius_m: float = 500.0) -> DataFrame:
     """For each request (request_id, lat, lon, at) the best scheduled stop around it.
 
     Stops inside the radius beat stops inside twice the radius; among those
     that remain, stops served within an hour of the request beat the others;
-    then distance, arrival gap, trip and sequence decide. All of that is one
-    ordering, so a request with very many stops is reduced by partial minima.
+    then distance, arrival gap, trip and sequence decide.
+
+    On-time visits are found by an equi-join on place and clock hour. Only
+    requests that end without one look at other visits, and then only at
+    those of their closest place.
     """
+    payload = [c for c in _VISIT_COLUMNS if c in stops.columns]
+    place = ["stop_lat", "stop_lon"]
     target_s = F.hour("at") * 3600 + F.minute("at") * 60
     wanted = requests.select("request_id", "lat", "lon", target_s.alias("_target"))
-    # Stops repeat across trips. The distinct places are matched first, and of
-    # all visits to a place at one clock time only the winner of the final
-    # tie-break is kept: a busy terminal shrinks to its distinct arrival times.
-    payload = [c for c in (
-        "trip_id", "route_short_name", "route_long_name", "trip_headsign", "stop_name", "stop_headsign",
-    ) if c in stops.columns]
-    visits = (
-        stops.groupBy("stop_lat", "stop_lon", "arrival_time")
-        .agg(F.min_by(F.struct(*payload, "stop_sequence"), F.struct("trip_id", "stop_sequence")).alias("_v"))
-        .select("stop_lat", "stop_lon", "arrival_time", "_v.*")
-    )
-    places = stops.select("stop_lat", "stop_lon").distinct()
-    near = radius_pairs(wanted, places, max_radius_m * 2, ("lat", "lon"), ("stop_lat", "stop_lon"))
-    visits = near.join(visits, ["stop_lat", "stop_lon"])
-    arrival = clock_seconds(F.col("arrival_time"))
-    on_time = within_seconds(arrival, F.col("_target"))
-    tier = F.when(F.col("distance_m") <= max_radius_m, 0).otherwise(2) + F.when(on_time, 0).otherwise(1)
-    order = F.struct(
-        tier.alias("t"), F.col("distance_m"),
-        F.coalesce(F.abs(arrival - F.col("_target")), F.lit(2**31 - 1)).alias("gap"),
-        F.col("trip_id"), F.col("stop_sequence"),
-    )
-    best = visits.groupBy("request_id").agg(F.min_by(F.struct(*payload, "distance_m"), order).alias("_b"))
+    # three passes read the pairs of requests and distinct places
+    near = written(
+        radius_pairs(wanted, stops.select(*place).distinct(), max_radius_m * 2, ("lat", "lon"), tuple(place))
+        .select("request_id", "_target", *place, "distance_m"),
+        "near-places",
+    )
+    visits = _place_visits(stops, payload)
+    gap = F.coalesce(F.abs(F.col("_arrival") - F.col("_target")), F.lit(2**31 - 1))
+    winner = F.struct(*payload, "distance_m")
+    outside = F.when(F.col("distance_m") <= max_radius_m, 0).otherwise(1)
+
+    hour = F.floor(F.col("_target") / 3600)
+    timely = (
+        near.withColumn("_clock_hour", F.explode(F.sequence(hour - 1, hour + 1)))
+        .join(visits, [*place, "_clock_hour"])
+        .filter(within_seconds(F.col("_arrival"), F.col("_target")))
+        .groupBy("request_id")
+        .agg(
+            F.min(outside).alias("_outside"),
+            F.min_by(winner, F.struct(outside, "distance_m", gap, "trip_id", "stop_sequence")).alias("_best"),
+        )
+    )
+    closest = near.groupBy("request_id").agg(F.min("distance_m").alias("distance_m"))
+    chosen = closest.join(timely, "request_id", "left")
+    has_inner = F.col("distance_m") <= max_radius_m
+    settled = F.col("_best").isNotNull() & ((F.col("_outside") == 0) | ~has_inner)
+    late = (
+        chosen.filter(~settled).select("request_id", "distance_m")
+        .join(near, ["request_id", "distance_m"])
+        .join(visits, place)
+        .groupBy("request_id")
+        .agg(F.min_by(winner, F.struct(gap, "trip_id", "stop_sequence")).alias("_best"))
+    )
+    best = chosen.filter(settled).select("request_id", "_best").unionByName(late)
     renamed = {"stop_name": "closest_stop", "stop_headsign": "closest_stop_headsign"}
     return best.select(
         "request_id",
-        *[F.col(f"_b.{c}").alias(renamed.get(c, c)) for c in payload],
-        metres_rounded(F.col("_b.distance_m")).alias("distance_m"),
+        *[F.col(f"_best.{c}").alias(renamed.get(c, c)) for c in payload],
+        metres_rounded(F.col("_best.distance_m")).alias("distance_m"),
     )
 
 

@@ -12,6 +12,7 @@ from headway.operators.products import (
     forecast_days, forecast_spine, grid_spine, service_hours, slot_geojson, slot_rows, stamped, with_vehicle_defaults,
 )
 from headway.plans.model import TARGET, Scorer, ordered_features, rule_scorer
+from headway.session import written
 
 
 def slot_conditions(days: DataFrame, weather: DataFrame, holidays: DataFrame) -> DataFrame:
@@ -69,6 +70,8 @@ def hindcast(
         F.col(TARGET).cast("int").alias("actual_occupancy_mode"),
         F.col("predicted_occupancy").alias("predicted_occupancy_mode"),
     )
+    # scored once, read for the metrics and for the result
+    scored = written(scored, "hindcast")
     metrics = weighted_metrics(scored, "actual_occupancy_mode", "predicted_occupancy_mode").drop("n_rows")
     # one row of metrics
     rows = scored.crossJoin(F.broadcast(metrics)).withColumn("model_version", F.lit(model_version))

@@ -19,6 +19,7 @@ from headway.operators.cleaning import flags_to_int, ids_to_int, impute_medians,
 from headway.operators.enrich import HOLIDAY_FEATURES
 from headway.operators.metrics import class_report, pair_counts, with_class_weight
 from headway.operators.ranks import split_by_date, split_by_ratio
+from headway.session import written
 
 TARGET = "occupancy_mode"
 
@@ -60,7 +61,8 @@ def ordered_features(df: DataFrame, keep: list[str] = ()) -> DataFrame:
 
 def prepare(df: DataFrame, test_start=None, test_ratio: float = 0.2) -> tuple[DataFrame, DataFrame]:
     """Train and test frames: labelled rows, time split, train medians, numeric ids and flags."""
-    labelled = df.na.drop(subset=[TARGET])
+    # the split and the medians read the rows several times
+    labelled = written(df.na.drop(subset=[TARGET]), "training")
     flagged = split_by_date(labelled, test_start) if test_start else split_by_ratio(labelled, test_ratio=test_ratio)
     numbers = [c for c in numeric_columns(select_features(labelled))]
     train, test = impute_medians(

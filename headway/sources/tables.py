@@ -120,10 +120,7 @@ class TableStore:
 
     def write(self, spec: TableSpec, df: DataFrame) -> None:
         """Replace the partitions that occur in the frame."""
-        (
-            df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(spec.partition).parquet(self.path(spec))
-        )
+        write_partitioned(df, self.path(spec), spec.partition)
 
     def rows_per_day(self, spec: TableSpec, instant: str, day=None, last: int = 5) -> DataFrame:
         """Row counts of the newest days, and of the wanted day even when it has none."""
@@ -143,5 +140,9 @@ def _orderable(df: DataFrame, column: str) -> bool:
 
 
 def write_partitioned(df: DataFrame, path: str, column: str) -> None:
-    """Write below <column>=<value> folders, replacing only the values at hand."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    """Write below <column>=<value> folders, replacing only the values at hand.
+
+    Rebalancing gathers each value into few files and splits a value that
+    holds a large share of the rows over several tasks.
+    """
+    df.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)

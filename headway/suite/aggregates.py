@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from headway.operators import metrics, spatial
+from headway.session import written
 from headway.suite.registry import query
 from headway.suite.standins import haversine_sql, metrics_sql
 
@@ -102,7 +103,7 @@ _COLUMNS = ["avg_speed", "max_speed", "n_positions", "lat_mean", "lon_mean", "be
     round(quantile_cont({c}::DOUBLE, 0.25), 7) AS q25, round(quantile_cont({c}::DOUBLE, 0.5), 7) AS q50, round(quantile_cont({c}::DOUBLE, 0.75), 7) AS q75,
     round(max({c})::DOUBLE, 7) AS "max" FROM windows""" for c in _COLUMNS))
 def describe(t):
-    return metrics.describe(t.windows, _COLUMNS)
+    return metrics.describe(written(t.windows.select(*_COLUMNS), "windows"), _COLUMNS)
 
 
 @query("available_dates", """SELECT CAST(date AS VARCHAR) AS date, count(*) AS n_rows FROM windows GROUP BY windows.date ORDER BY windows.date DESC LIMIT 5""")

@@ -129,9 +129,9 @@ def running_trips(t):
 
 _NEAREST = f"""
     WITH pl AS (SELECT DISTINCT stop_lat, stop_lon FROM stops JOIN stop_times USING (stop_id)),
-    nr AS (SELECT request_id, r.at, stop_lat, stop_lon, {haversine_sql('r.lat', 'r.lon', 'p.stop_lat', 'p.stop_lon', 6371000.0)} AS d
+    nr AS (SELECT request_id, r."at" AS t_at, stop_lat, stop_lon, {haversine_sql('r.lat', 'r.lon', 'p.stop_lat', 'p.stop_lon', 6371000.0)} AS d
            FROM requests r JOIN pl p ON abs(r.lat - p.stop_lat) < 0.01 AND abs(r.lon - p.stop_lon) < 0.02),
-    c AS (SELECT request_id, d, trip_id, stop_sequence, stop_name, arrival_s, abs(arrival_s - (hour(at) * 3600 + minute(at) * 60)) AS gap
+    c AS (SELECT request_id, d, trip_id, stop_sequence, stop_name, arrival_s, abs(arrival_s - (hour(t_at) * 3600 + minute(t_at) * 60)) AS gap
           FROM nr JOIN stops USING (stop_lat, stop_lon) JOIN stop_times USING (stop_id) WHERE d <= 1000),
     k AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY (CASE WHEN d <= 500 THEN 0 ELSE 2 END) + (CASE WHEN gap <= 3600 THEN 0 ELSE 1 END),
           d, gap, trip_id, stop_sequence) AS rn FROM c)

@@ -17,6 +17,7 @@ from headway.functions.occupancy import rule_class
 from headway.operators.enrich import join_holidays
 from headway.operators.metrics import weighted_metrics
 from headway.operators.windows import trip_windows
+from headway.session import written
 
 # Explicit schemas: no footer pass per query, and timestamps read as instants.
 SCHEMAS = {
@@ -103,7 +104,7 @@ class StandIns:
         """Dates with a large event; the others have no holiday row."""
         d = F.weekday("date")
         return (
-            self.table("events").filter("value > 150").select(F.to_date("ts").alias("date")).distinct()
+            self.table("events").filter("value > 250").select(F.to_date("ts").alias("date")).distinct()
             .select(
                 "date", (d >= 5).alias("is_work_free"), (d == 6).alias("is_red_day"),
                 (d == 4).alias("is_day_before_holiday"), F.when(d == 6, "Sunday").alias("holiday_name"),
@@ -122,8 +123,10 @@ class StandIns:
     @cached_property
     def monitor(self) -> DataFrame:
         """Stored hindcast rows: per-day run metrics on every row, two model versions."""
-        metrics = weighted_metrics(self.scored, "actual_occupancy_mode", "predicted_occupancy_mode", ["date"])
-        return self.scored.join(metrics.drop("n_rows"), "date").withColumn(
+        scored = written(self.scored, "scored")
+        metrics = weighted_metrics(scored, "actual_occupancy_mode", "predicted_occupancy_mode", ["date"])
+        # one row per calendar date
+        return scored.join(F.broadcast(metrics.drop("n_rows")), "date").withColumn(
             "model_version", F.when(F.dayofmonth("date") <= 15, 3).otherwise(4)
         )
 
@@ -272,7 +275,7 @@ CTES = {
     "weather_hour": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "timestamp" ORDER BY latitude) AS rn FROM weather) WHERE rn = 1""",
     "holidays": """SELECT date, isodow(date) >= 6 AS is_work_free, isodow(date) = 7 AS is_red_day, isodow(date) = 5 AS is_day_before_holiday,
         CASE WHEN isodow(date) = 7 THEN 'Sunday' END AS holiday_name
-        FROM (SELECT DISTINCT CAST(ts AS DATE) AS date FROM events WHERE value > 150)""",
+        FROM (SELECT DISTINCT CAST(ts AS DATE) AS date FROM events WHERE value > 250)""",
     "flagged": """SELECT w.*, coalesce(h.is_work_free, false) AS is_work_free, coalesce(h.is_red_day, false) AS is_red_day,
         coalesce(h.is_day_before_holiday, false) AS is_day_before_holiday, h.holiday_name IS NOT NULL AS is_holiday
         FROM windows w LEFT JOIN holidays h USING (date)""",
@@ -313,7 +316,7 @@ CTES = {
         CAST(c_nationkey % 12 AS VARCHAR) AS severity_code, CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS affected_road,
         c_custkey % 7 = 0 AS valid_until_further_notice FROM customer""",
     "requests": f"""SELECT c_custkey AS request_id, CAST(c_custkey AS VARCHAR) AS trip_id, {spread_sql('c_custkey', 31, 997, BOX_LAT)} AS lat,
-        {spread_sql('c_custkey', 17, 991, BOX_LON)} AS lon, TIMESTAMP '2024-01-01' + to_minutes((c_custkey * 613 % 1440)::INTEGER) AS at FROM customer""",
+        {spread_sql('c_custkey', 17, 991, BOX_LON)} AS lon, TIMESTAMP '2024-01-01' + to_minutes((c_custkey * 613 % 1440)::INTEGER) AS "at" FROM customer""",
     "near_incidents": f"""SELECT w.trip_id, w.window_start, i.* FROM order_windows w JOIN incidents i
         ON w.window_start BETWEEN i.start_time AND i.end_time AND i.start_time <= i.end_time
         WHERE {haversine_sql('w.lat_mean', 'w.lon_mean', 'i.latitude', 'i.longitude', 6371008.8)} <= 500""",

@@ -38,7 +38,7 @@ def window_1h(t):
     return t.windows
 
 
-@query("mode_agg", """SELECT vehicle_id, occupancy_status AS mode FROM (SELECT vehicle_id, CAST(occupancy_status AS BIGINT) AS occupancy_status,
+@query("mode_agg", """SELECT vehicle_id, CAST(occupancy_status AS BIGINT) AS "mode" FROM (SELECT vehicle_id, occupancy_status,
     row_number() OVER (PARTITION BY vehicle_id ORDER BY count(*) DESC, occupancy_status) AS rn
     FROM pings WHERE occupancy_status IS NOT NULL GROUP BY 1, 2) WHERE rn = 1""")
 def mode_agg(t):
