@@ -21,11 +21,13 @@ def clock_seconds(text: Column) -> Column:
 
 def clock_text(seconds: Column) -> Column:
     """HH:MM:SS of a second count, hours not wrapped at 24."""
-    return F.format_string(
-        "%02d:%02d:%02d",
-        F.floor(seconds / 3600).cast("int"),
-        F.floor(seconds / 60).cast("int") % 60,
-        seconds.cast("int") % 60,
+
+    def two(number: Column) -> Column:
+        return F.when(number < 10, F.concat(F.lit("0"), number.cast("string"))).otherwise(number.cast("string"))
+
+    whole = seconds.cast("int")
+    return F.concat_ws(
+        ":", two(F.floor(whole / 3600).cast("int")), two(F.floor(whole / 60).cast("int") % 60), two(whole % 60)
     )
 
 

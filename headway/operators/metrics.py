@@ -41,7 +41,8 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
         df.select(F.inline(pairs)).filter(F.col("value").isNotNull())
         .groupBy("field", "value").agg(F.count("*").alias("n_rows"))
     )
-    totals = counts.groupBy("field").agg(F.sum("n_rows").alias("_total"))
+    # one total per listed column
+    totals = F.broadcast(counts.groupBy("field").agg(F.sum("n_rows").alias("_total")))
     return counts.join(totals, "field").withColumn("percent", 100.0 * F.col("n_rows") / F.col("_total")).drop("_total")
 
 

@@ -87,36 +87,31 @@ def lag_features(
 ) -> DataFrame:
     """Earlier target values of the same vehicle as columns.
 
-    Rows are re-keyed with their day so that no vehicle's full history meets
-    in one task: the last rows of each day are carried into the next active
-    day of the vehicle before the per-day lag is taken.
+    The lag is taken within vehicle hours, so a vehicle with a large share of
+    the rows is spread over all its hours. The last values of each hour are
+    carried into the vehicle's next active hours; that walk sees only as many
+    values per hour as the longest lag.
     """
     depth = max(lags)
     order = ["window_start", "trip_id"]
-    day = F.to_date("window_start")
-    rows = df.withColumn("_day", day)
+    rows = df.withColumn("_hour", F.date_trunc("hour", "window_start"))
 
-    # the closing rows of each vehicle-day, newest first
-    tail_spec = Window.partitionBy(by, "_day").orderBy(*[F.col(c).desc() for c in order])
-    tail = (
-        rows.select(by, "_day", F.col(target).alias("_value"), F.row_number().over(tail_spec).alias("_back"))
+    newest = Window.partitionBy(by, "_hour").orderBy(*[F.col(c).desc() for c in order])
+    tails = (
+        rows.select(by, "_hour", F.col(target).alias("_value"), F.row_number().over(newest).alias("_back"))
         .filter(F.col("_back") <= depth)
-        .groupBy(by, "_day")
+        .groupBy(by, "_hour")
         .agg(F.array_sort(F.collect_list(F.struct("_back", "_value"))).alias("_tail"))
     )
-    # at most `depth` values per vehicle-day remain; walk them across days
-    days = Window.partitionBy(by).orderBy("_day")
-    past = F.lit(None)
-    for back in range(depth, 0, -1):
-        earlier = F.lag("_tail", back).over(days)
-        past = earlier if back == depth else F.concat(earlier, F.coalesce(past, F.array()))
-    carried = tail.select(by, "_day", F.slice(F.coalesce(past, F.array()), 1, depth).alias("_carried"))
-
-    spec = Window.partitionBy(by, "_day").orderBy(*order)
-    out = rows.join(carried, [by, "_day"], "left").withColumn("_pos", F.row_number().over(spec))
+    hours = Window.partitionBy(by).orderBy("_hour")
+    earlier = F.flatten(F.filter(F.array(*[F.lag("_tail", k).over(hours) for k in range(1, depth + 1)]), F.isnotnull))
+    carried = tails.select(by, "_hour", F.slice(earlier, 1, depth).alias("_carried"))
+
+    spec = Window.partitionBy(by, "_hour").orderBy(*order)
+    out = rows.join(carried, [by, "_hour"], "left").withColumn("_pos", F.row_number().over(spec))
     for k in lags:
         inside = F.lag(target, k).over(spec)
         before = F.get(F.col("_carried"), F.lit(k) - F.col("_pos"))["_value"]
         out = out.withColumn(f"{target}_lag_{k}", F.when(F.col("_pos") > k, inside).otherwise(before))
-    out = out.drop("_day", "_pos", "_carried")
+    out = out.drop("_hour", "_pos", "_carried")
     return out.na.drop(subset=[f"{target}_lag_{k}" for k in lags]) if drop_incomplete else out

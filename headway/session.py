@@ -8,22 +8,36 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Instants are compared across engines and feeds, so one zone is pinned; the
-# rest only lets the engine re-plan on real sizes and rewrite single partitions.
+# rest lets the engine re-plan on real sizes.
 _RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot join key even when a later step then needs one more exchange
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+# Streams on a cluster keep their window state on disk instead of on the heap.
+_CLUSTER_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
-    for key, value in _RUNTIME_CONF.items():
+    wanted = _RUNTIME_CONF if is_local(spark) else _RUNTIME_CONF | _CLUSTER_CONF
+    for key, value in wanted.items():
         spark.conf.set(key, value)
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by the cluster.
 
@@ -32,7 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local(spark):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     return "file://" + tempfile.mkdtemp(prefix="headway-")
 

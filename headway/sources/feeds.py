@@ -80,7 +80,9 @@ def union_hours(frames: list[DataFrame]) -> DataFrame:
 
 def hour_coverage(pings: DataFrame, date_column: str = "date", hour_column: str = "hour") -> DataFrame:
     """Per date: hours that delivered data and the list of hours that did not."""
-    per_day = pings.groupBy(date_column).agg(F.collect_set(F.col(hour_column).cast("int")).alias("_hours"))
+    hour = F.col(hour_column).cast("int")
+    # 24 values at most per date
+    per_day = pings.groupBy(date_column).agg(F.collect_set(F.when(hour.between(0, 23), hour)).alias("_hours"))
     missing = F.array_except(F.sequence(F.lit(0), F.lit(23)), F.col("_hours"))
     return per_day.select(
         date_column,
