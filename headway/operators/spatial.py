@@ -90,7 +90,25 @@ def radius_pairs(
     return left.join(right, keys, "inner").filter(condition).withColumn(distance, metres).drop(*keys)
 
 
-def incident_pairs(windows: DataFrame, incidents: DataFrame, radius_m: float = 500.0, bucket_days: int = 7) -> DataFrame:
+def _clipped(windows: DataFrame, incidents: DataFrame, longest_days: int) -> DataFrame:
+    """Incidents cut to the time range of the windows when some run very long.
+
+    Open-ended incidents would otherwise be listed for every bucket of the far
+    future. The windows are only asked for their range when that is needed.
+    """
+    length = F.unix_timestamp("end_time") - F.unix_timestamp("start_time")
+    longest = incidents.agg(F.max(length)).first()[0]
+    if longest is None or longest <= longest_days * 86_400:
+        return incidents.withColumns({"_from": F.col("start_time"), "_to": F.col("end_time")})
+    first, last = windows.agg(F.min("window_start"), F.max("window_start")).first()
+    lower, upper = (F.lit(v).cast("timestamp") for v in (first, last))
+    cut = incidents.withColumns({"_from": F.greatest("start_time", lower), "_to": F.least("end_time", upper)})
+    return cut.filter(F.col("_from") <= F.col("_to"))
+
+
+def incident_pairs(
+    windows: DataFrame, incidents: DataFrame, radius_m: float = 500.0, bucket_days: int = 7, longest_days: int = 400
+) -> DataFrame:
     """Windows with every incident active at that time within the radius, bounds included.
 
     Incidents are listed per cell and per time bucket. A bucket of a week
@@ -102,18 +120,18 @@ def incident_pairs(windows: DataFrame, incidents: DataFrame, radius_m: float = 5
     def bucket(instant: str) -> Column:
         return F.floor(F.unix_timestamp(instant) / seconds)
 
-    span = F.sequence(bucket("start_time"), bucket("end_time"))
-    usable = incidents.filter(F.col("start_time") <= F.col("end_time")).select(
-        "event_id", "deviation_id", "start_time", "end_time",
+    valid = incidents.filter(F.col("start_time") <= F.col("end_time"))
+    usable = _clipped(windows, valid, longest_days).select(
+        "event_id", "deviation_id", "start_time", "end_time", "_from", "_to",
         "severity_code", "affected_road",
         F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"),
     )
     return radius_pairs(
         windows, usable, radius_m, ("lat_mean", "lon_mean"), ("_lat", "_lon"),
         sphere_m=MEAN_RADIUS_M,
-        extra_keys={"_bucket": (bucket("window_start"), span)},
+        extra_keys={"_bucket": (bucket("window_start"), F.sequence(bucket("_from"), bucket("_to")))},
         residual=F.col("window_start").between(F.col("start_time"), F.col("end_time")),
-    ).drop("_lat", "_lon")
+    ).drop("_lat", "_lon", "_from", "_to")
 
 
 def incident_summary(pairs: DataFrame, keys: list[str]) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +49,11 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not is_local(spark):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
     return "file://" + tempfile.mkdtemp(prefix="headway-")
 
 

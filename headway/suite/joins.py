@@ -151,6 +151,15 @@ def closest_stop(t):
     return spatial.closest_stop(t.requests, t.stop_times.join(t.stops, "stop_id"))
 
 
+@query("top1_nearest", f"""SELECT request_id, min(round({haversine_sql('r.lat', 'r.lon', 's.stop_lat', 's.stop_lon', 6371000.0)}, 3)) AS distance_m
+    FROM requests r JOIN stops s ON abs(r.lat - s.stop_lat) < 0.06 AND abs(r.lon - s.stop_lon) < 0.11
+    WHERE {haversine_sql('r.lat', 'r.lon', 's.stop_lat', 's.stop_lon', 6371000.0)} <= 5000 GROUP BY 1""")
+def top1_nearest(t):
+    """Distance to the closest stop of all, for requests with a stop within 5 km."""
+    near = spatial.radius_pairs(t.requests, t.stops, 5000.0, ("lat", "lon"), ("stop_lat", "stop_lon"))
+    return near.groupBy("request_id").agg(F.round(F.min("distance_m"), 3).alias("distance_m"))
+
+
 @query("nearest_hour_weather", """WITH tg AS (SELECT event_id, date_trunc('hour', ts) AS h FROM events),
     hs AS (SELECT DISTINCT h FROM tg),
     m AS (SELECT h, "timestamp" AS w, temperature_2m, row_number() OVER (PARTITION BY h ORDER BY abs(epoch(h) - epoch("timestamp")), "timestamp") AS rn

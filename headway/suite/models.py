@@ -69,8 +69,8 @@ def hindcast_model(t):
     return inference.hindcast(t.windows, t.weather, t.holidays, "2024-01-29", scorer, generated_at="2024-01-30 10:30:00")
 
 
-@query("grid_forecast")
-def grid_forecast(t):
+@query("grid_forecast_model")
+def grid_forecast_model(t):
     """Class mix of the map when the trained model scores the grid."""
     train, _ = split(t)
     scorer = model.model_scorer(model.train(train, trees=TREES))

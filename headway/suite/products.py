@@ -67,6 +67,13 @@ def slot_class_counts(t):
     return products.slot_class_counts(cells)
 
 
+@query("grid_forecast", f"""SELECT CAST(hour AS BIGINT) AS hour, CAST(weekday AS BIGINT) AS weekday, lat_id, lon_id, CAST({_RULE} AS BIGINT) AS predicted_occupancy
+    FROM ({_SLOT_FLAGS}) CROSS JOIN range(40) a(lat_id) CROSS JOIN range(50) b(lon_id)""")
+def grid_forecast(t):
+    cells = inference.grid_forecast(last_days(t), stop_box(t), t.weather, t.holidays)
+    return cells.select("hour", "weekday", "lat_id", "lon_id", "predicted_occupancy")
+
+
 _MIX = "CASE occupancy_mode WHEN 0 THEN NULL ELSE 'c' || occupancy_mode || ':' || n END"
 
 

@@ -79,6 +79,12 @@ def yes_flag(t):
     )
 
 
+@query("dow_shift", "SELECT event_id, isodow(ts) - 1 AS day_of_week FROM events")
+def dow_shift(t):
+    monday_is_one = F.weekday("ts") + 1
+    return t.table("events").select("event_id", clock.zero_based_weekday(monday_is_one).alias("day_of_week"))
+
+
 @query("weekend_default", """SELECT CAST(d AS VARCHAR) AS date, coalesce(is_work_free, isodow(d) >= 6) AS is_work_free, coalesce(is_red_day, isodow(d) = 7) AS is_red_day,
     coalesce(is_work_free, false) AS batch_work_free FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events) LEFT JOIN holidays ON d = date""")
 def weekend_default(t):

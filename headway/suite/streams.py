@@ -29,13 +29,21 @@ def _drained(t, stream):
     return t.spark.read.parquet(path)
 
 
-@query("stream_window_1min", f"""SELECT trip_id, {_TS}, vehicle_id, round(avg_speed, 7) AS avg_speed, CAST(n_positions AS BIGINT) AS n_positions, round(lat_mean, 7) AS lat_mean,
+@query("stream_window_1h", f"""SELECT trip_id, {_TS}, vehicle_id, round(avg_speed, 7) AS avg_speed, CAST(n_positions AS BIGINT) AS n_positions, round(lat_mean, 7) AS lat_mean,
     CAST(occupancy_mode AS BIGINT) AS occupancy_mode, CAST(day_of_week AS BIGINT) AS day_of_week {_CLOSED}""")
-def stream_window_1min(t):
+def stream_window_1h(t):
     rows = _drained(t, hour_windows(t))
     return rows.select("trip_id", "window_start", "vehicle_id", "avg_speed", "n_positions", "lat_mean", "occupancy_mode", "day_of_week")
 
 
+@query("stream_window_1min", """SELECT trip_id, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, n_positions, round(max_speed, 7) AS max_speed, round(lat_min, 7) AS lat_min
+    FROM (SELECT trip_id, date_trunc('minute', "timestamp") AS w, count(speed) AS n_positions, max(speed) AS max_speed, min(position_lat) AS lat_min FROM pings GROUP BY 1, 2)
+    WHERE w + INTERVAL 1 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""")
+def stream_window_1min(t):
+    rows = _drained(t, sw.stream_windows(_StreamIns(t.spark, t.sf_dir).pings))
+    return rows.select("trip_id", "window_start", "n_positions", "max_speed", "lat_min")
+
+
 @query("stream_enrich", f"""SELECT trip_id, {_TS}, temperature_2m, is_work_free FROM (SELECT f.trip_id, f.window_start, h.temperature_2m, f.is_work_free FROM flagged f LEFT JOIN weather_hour h ON f.window_start = h."timestamp")
     WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""")
 def stream_enrich(t):

@@ -73,6 +73,16 @@ def test_incident_bounds_are_inclusive(spark):
     assert (feature["num_nearby_traffic_events"], feature["has_nearby_event"]) == (2, 1)
 
 
+def test_open_ended_incidents_are_cut_to_the_windows(spark):
+    w = windows(spark, [("a", T0, 58.4, 15.6), ("b", T0 + dt.timedelta(days=900), 58.4, 15.6)])
+    rows = [
+        ("forever", "1", T0 - dt.timedelta(days=2000), dt.datetime(9999, 12, 31), 58.4, 15.6, "1", "E4"),
+        ("over", "1", T0 - dt.timedelta(days=2000), T0 - dt.timedelta(days=1), 58.4, 15.6, "1", "E4"),
+    ]
+    got = [(r["trip_id"], r["event_id"]) for r in spatial.incident_pairs(w, incidents(spark, rows)).collect()]
+    assert sorted(got) == [("a", "forever"), ("b", "forever")]
+
+
 def test_windows_without_match_or_place_keep_zeros(spark):
     w = windows(spark, [("a", T0, 58.4, 15.6), ("b", T0, None, None)])
     rows = [("x", "1", T0, T0, 10.0, 10.0, "1", "E4")]
