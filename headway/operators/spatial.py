@@ -3,9 +3,8 @@
 A radius join is an equi-join on grid cells. Every point lies in one cell; a
 target is listed once in each cell its bounding box touches. Each true pair
 therefore meets exactly once, and the exact distance test runs inside the
-join. The cell side is about the radius: a target has about nine copies, and a
-point is tested against little more than what lies around it. Cells do not
-wrap at the date line.
+join. The cell side is about twice the radius, which gives a target about four
+copies. Cells do not wrap at the date line.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ _EPS_DEG = 1e-7
 
 def _cell_sides_deg(radius_m: float, sphere_m: float) -> tuple[float, float]:
     """Height and width of a cell; any constant pair is exact, this one suits 55-65 degrees north."""
-    height = max(math.degrees(radius_m / sphere_m), 1e-6)
+    height = max(math.degrees(radius_m / sphere_m) * 2, 1e-6)
     return height, height * 2
 
 
@@ -111,9 +110,9 @@ def incident_pairs(
 ) -> DataFrame:
     """Windows with every incident active at that time within the radius, bounds included.
 
-    Incidents are listed per cell and per time bucket. A bucket of a week
-    keeps the copies of long-running incidents few; the exact time test is
-    part of the join condition either way.
+    Incidents are listed per cell and per time bucket. A bucket of a week keeps
+    the copies of long-running incidents few and still spreads a busy cell over
+    many keys; the exact time test is part of the join condition either way.
     """
     seconds = bucket_days * 86_400
 
@@ -183,19 +182,21 @@ def _place_visits(stops: DataFrame, payload: list[str]) -> DataFrame:
     Every other arrival of that minute is further away from any full minute.
     A busy terminal thereby shrinks to two rows per minute of the clock.
     """
-    visit = F.struct(*payload, "stop_sequence", "_arrival")
-    tie = [F.col("trip_id"), F.col("stop_sequence")]
+    rest = [c for c in payload if c != "trip_id"]
+    row = ["trip_id", "stop_sequence", *rest]
+    clock = F.col("_arrival")
     ends = (
         stops.withColumn("_arrival", clock_seconds(F.col("arrival_time")))
-        .groupBy("stop_lat", "stop_lon", F.floor(F.col("_arrival") / 60).alias("_minute"))
+        .groupBy("stop_lat", "stop_lon", F.floor(clock / 60).alias("_minute"))
         .agg(
-            F.min_by(visit, F.struct("_arrival", *tie)).alias("first"),
-            F.min_by(visit, F.struct(-F.col("_arrival"), *tie)).alias("last"),
+            F.min(F.struct(clock.alias("_rank"), *row)).alias("first"),
+            F.min(F.struct((-clock).alias("_rank"), *row)).alias("last"),
         )
     )
-    return ends.select(
-        "stop_lat", "stop_lon", F.inline(F.array_distinct(F.array("first", "last")))
-    ).withColumn("_clock_hour", F.floor(F.col("_arrival") / 3600))
+    visits = ends.select("stop_lat", "stop_lon", F.inline(F.array("first", "last"))).withColumn(
+        "_arrival", F.abs("_rank")
+    )
+    return visits.withColumn("_clock_hour", F.floor(clock / 3600)).drop("_rank")
 
 
 def nearest_trip(requests: DataFrame, stops: DataFrame, max_radius_m: float = 500.0) -> DataFrame:
