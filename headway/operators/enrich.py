@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from headway.functions.clock import default_red_day, default_work_free
 from headway.operators.cleaning import fill_weather
 from headway.operators.windows import first_per_key
 from headway.session import written
@@ -59,13 +60,23 @@ def join_weather(windows: DataFrame, weather: DataFrame, measures: list[str] | N
     return keyed.join(per_hour, "_hour", "left").drop("_hour")
 
 
-def join_holidays(windows: DataFrame, holidays: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Left join on the date; repeated dates keep one row, missing flags are false."""
+def join_holidays(
+    windows: DataFrame, holidays: DataFrame, columns: list[str] | None = None, weekend: bool = False
+) -> DataFrame:
+    """Left join on the date; repeated dates keep one row.
+
+    Missing flags are false, or follow the weekend rule when asked to.
+    """
     columns = columns or HOLIDAY_FEATURES
     order = [F.col(c).desc_nulls_last() for c in columns]
     per_day = first_per_key(holidays.select("date", *columns), ["date"], order)
     joined = windows.join(per_day, "date", "left")
-    flags = {c: F.coalesce(F.col(c), F.lit(False)) for c in columns if c.startswith("is_")}
+    day = F.col("date")
+    rules = {"is_work_free": default_work_free, "is_red_day": default_red_day}
+    flags = {
+        c: rules[c](F.col(c), day, weekend) if c in rules else F.coalesce(F.col(c), F.lit(False))
+        for c in columns if c.startswith("is_")
+    }
     return joined.withColumns(flags)
 
 

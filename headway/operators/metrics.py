@@ -25,9 +25,8 @@ CURRENT_MODEL_VERSION = 4
 
 
 def share_of_total(counts: DataFrame, count: str = "n_rows", percent: str = "percent") -> DataFrame:
-    """Add each count's percentage of the sum; the sum is a one-row side."""
-    total = counts.agg(F.sum(count).alias("_total"))
-    return counts.crossJoin(F.broadcast(total)).withColumn(percent, 100.0 * F.col(count) / F.col("_total")).drop("_total")
+    """Add each count's percentage of the sum; runs over one row per counted value."""
+    return counts.withColumn(percent, 100.0 * F.col(count) / F.sum(count).over(Window.partitionBy()))
 
 
 def class_distribution(df: DataFrame, label: str = "occupancy_mode") -> DataFrame:
@@ -51,13 +50,14 @@ def class_weights(
 ) -> DataFrame:
     """Balanced weight n / (k * n_class) times the class multiplier, capped unless cap is None."""
     counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n_rows"))
-    whole = counts.agg(F.sum("n_rows").alias("_n"), F.count("*").alias("_k"))
+    # totals over one row per class
+    whole = Window.partitionBy()
     factor = F.lit(1.0)
     for cls, value in (multipliers or CLASS_MULTIPLIERS).items():
         factor = F.when(F.col(label) == cls, F.lit(value)).otherwise(factor)
-    balanced = F.col("_n") / (F.col("_k") * F.col("n_rows"))
+    balanced = F.sum("n_rows").over(whole) / (F.count("*").over(whole) * F.col("n_rows"))
     weight = balanced * factor if cap is None else F.least(balanced * factor, F.lit(cap))
-    return counts.crossJoin(F.broadcast(whole)).select(
+    return counts.select(
         label, "n_rows", balanced.alias("balanced_weight"), weight.alias("class_weight")
     )
 
@@ -81,16 +81,18 @@ def pair_counts(df: DataFrame, actual: str, predicted: str, by: list[str] = ())
 
 
 def _per_class(pairs: DataFrame, by: list[str]) -> DataFrame:
-    """Support, predicted count and hits per class present on either side."""
-    hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)
+    """Support, predicted count, hits and class distance per class present on either side."""
+    n, none = F.col("n"), F.lit(0).cast("bigint")
+    hit = F.when(F.col("actual") == F.col("predicted"), n).otherwise(none)
+    off = F.abs(F.col("actual") - F.col("predicted")) * n
+    names = ["class", "support", "pred_count", "hits", "off"]
     sides = F.array(
-        F.struct(F.col("actual").alias("class"), F.col("n").alias("a"), F.lit(0).cast("bigint").alias("p"), hit.alias("h")),
-        F.struct(F.col("predicted").alias("class"), F.lit(0).cast("bigint").alias("a"), F.col("n").alias("p"), F.lit(0).cast("bigint").alias("h")),
-    )
-    return (
-        pairs.select(*by, F.inline(sides)).groupBy(*by, "class")
-        .agg(F.sum("a").alias("support"), F.sum("p").alias("pred_count"), F.sum("h").alias("hits"))
+        *[
+            F.struct(*[c.alias(name) for c, name in zip(columns, names)])
+            for columns in ((F.col("actual"), n, none, hit, off), (F.col("predicted"), none, n, none, none))
+        ]
     )
+    return pairs.select(*by, F.inline(sides)).groupBy(*by, "class").agg(*[F.sum(c).alias(c) for c in names[1:]])
 
 
 def _zero_safe(numerator, denominator) -> Column:
@@ -112,17 +114,14 @@ def weighted_metrics_from_pairs(pairs: DataFrame, by: list[str] = ()) -> DataFra
     def weighted(c: str) -> Column:
         return F.sum(F.col(c) * F.col("support")) / F.sum("support")
 
-    quality = rates.groupBy(*by).agg(
+    return rates.groupBy(*by).agg(
         F.sum("support").alias("n_rows"),
         (F.sum("hits") / F.sum("support")).alias("accuracy"),
         weighted("precision").alias("precision"),
         weighted("recall").alias("recall"),
         weighted("f1").alias("f1_weighted"),
+        (F.sum("off") / F.sum("support")).alias("mae"),
     )
-    error = pairs.groupBy(*by).agg(
-        (F.sum(F.abs(F.col("actual") - F.col("predicted")) * F.col("n")) / F.sum("n")).alias("mae")
-    )
-    return quality.join(error, by) if by else quality.crossJoin(F.broadcast(error))
 
 
 def weighted_metrics(df: DataFrame, actual: str, predicted: str, by: list[str] = ()) -> DataFrame:

@@ -20,12 +20,12 @@ DEFAULT_LAT, DEFAULT_LON = 58.41, 15.62
 FILL_OPACITY = 0.35
 
 
-def service_hours(days: DataFrame) -> DataFrame:
-    """Every hour 5..23 of each date, with instant, hour and weekday (Monday = 0)."""
+def service_hours(days: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """Every hour 5..23 of each row's date, with instant, hour and weekday (Monday = 0)."""
     hours = F.sequence(F.lit(FIRST_HOUR), F.lit(LAST_HOUR))
-    spread = days.select("date", F.explode(hours).alias("hour"))
+    spread = days.select(*keep, "date", F.explode(hours).alias("hour"))
     at = F.timestamp_seconds(F.unix_timestamp(F.col("date").cast("timestamp")) + F.col("hour") * 3600)
-    return spread.select("date", "hour", F.weekday("date").cast("int").alias("weekday"), at.alias("window_start"))
+    return spread.select(*keep, "date", "hour", F.weekday("date").cast("int").alias("weekday"), at.alias("window_start"))
 
 
 def forecast_days(as_of, spark, days: int = FORECAST_DAYS) -> DataFrame:
@@ -37,14 +37,13 @@ def forecast_days(as_of, spark, days: int = FORECAST_DAYS) -> DataFrame:
 def forecast_spine(trips: DataFrame, days: DataFrame) -> DataFrame:
     """Every distinct trip for every service hour of the forecast dates.
 
-    The hour side has days x 19 rows whatever the data size; it is attached to
-    each trip as an array and exploded, so there is no cross join to plan and
-    the trips never move for it.
+    The dates are read to the driver, two as a rule; each trip row then
+    expands in place and is never shuffled or joined for it.
     """
     keep = ["trip_id", "route_short_name", "route_long_name"]
     one = first_per_key(trips.select(*keep), ["trip_id"], [F.col(c).asc_nulls_last() for c in keep[1:]])
-    slots = service_hours(days).agg(F.array_sort(F.collect_list(F.struct("window_start", "date", "hour", "weekday"))).alias("slots"))
-    return one.crossJoin(F.broadcast(slots)).select(*keep, F.inline("slots"))
+    dates = [F.lit(row["date"]) for row in days.select("date").distinct().orderBy("date").collect()]
+    return service_hours(one.withColumn("date", F.explode(F.array(*dates).cast("array<date>"))), keep)
 
 
 def with_vehicle_defaults(df: DataFrame, lat=DEFAULT_LAT, lon=DEFAULT_LON) -> DataFrame:
@@ -71,8 +70,8 @@ def grid_points(bounds: DataFrame, lat_steps: int = LAT_STEPS, lon_steps: int =
 
 def grid_spine(slots: DataFrame, bounds: DataFrame, lat_steps: int = LAT_STEPS, lon_steps: int = LON_STEPS) -> DataFrame:
     """Every grid point of the one bounds row for every slot."""
-    # bounds is a single row: attach it, then expand within the row
-    return grid_points(slots.crossJoin(F.broadcast(bounds)), lat_steps, lon_steps)
+    box = bounds.select(*REGION_BOUNDS).first()
+    return grid_points(slots.withColumns({k: F.lit(box[k]) for k in REGION_BOUNDS}), lat_steps, lon_steps)
 
 
 def slot_class_counts(cells: DataFrame) -> DataFrame:

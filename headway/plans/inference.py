@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.operators.cleaning import day_or_latest, fill_weather, flags_to_int, ids_to_int
-from headway.operators.enrich import HOLIDAY_FEATURES, join_holidays, nearest_hour, training_set
+from headway.operators.enrich import HOLIDAY_FEATURES, hour_lookup, join_holidays, nearest_hour, training_set
 from headway.operators.metrics import CURRENT_MODEL_VERSION, weighted_metrics
 from headway.operators.products import (
     forecast_days, forecast_spine, grid_spine, service_hours, slot_geojson, slot_rows, stamped, with_vehicle_defaults,
@@ -15,10 +15,17 @@ from headway.plans.model import TARGET, Scorer, ordered_features, rule_scorer
 from headway.session import written
 
 
-def slot_conditions(days: DataFrame, weather: DataFrame, holidays: DataFrame) -> DataFrame:
-    """Service hours of the days with the nearest weather and the day's flags."""
-    slots = nearest_hour(service_hours(days), weather, "window_start").drop("w_hour")
-    return join_holidays(fill_weather(slots), holidays)
+def slot_conditions(days: DataFrame, weather: DataFrame, holidays: DataFrame, for_map: bool = False) -> DataFrame:
+    """Service hours of the days with weather and holiday flags.
+
+    Trip forecasts take the nearest weather and read a missing holiday row as
+    an ordinary day. The map takes the weather of exactly that hour, defaults
+    where there is none, and reads a missing holiday row by the weekend rule.
+    """
+    hours = service_hours(days)
+    if for_map:
+        return join_holidays(hour_lookup(hours, weather, "window_start"), holidays, weekend=True)
+    return join_holidays(fill_weather(nearest_hour(hours, weather, "window_start").drop("w_hour")), holidays)
 
 
 def trip_forecast(
@@ -72,17 +79,16 @@ def hindcast(
     )
     # scored once, read for the metrics and for the result
     scored = written(scored, "hindcast")
-    metrics = weighted_metrics(scored, "actual_occupancy_mode", "predicted_occupancy_mode").drop("n_rows")
-    # one row of metrics
-    rows = scored.crossJoin(F.broadcast(metrics)).withColumn("model_version", F.lit(model_version))
-    return stamped(rows, generated_at)
+    metrics = weighted_metrics(scored, "actual_occupancy_mode", "predicted_occupancy_mode").drop("n_rows").first()
+    run = {name: F.lit(value).cast("double") for name, value in metrics.asDict().items()}
+    return stamped(scored.withColumns({**run, "model_version": F.lit(model_version)}), generated_at)
 
 
 def grid_forecast(
     days: DataFrame, bounds: DataFrame, weather: DataFrame, holidays: DataFrame, scorer: Scorer = rule_scorer, **steps
 ) -> DataFrame:
     """Predicted cells of all slots in one plan; each slot uses its own date's conditions."""
-    cells = grid_spine(slot_conditions(days, weather, holidays), bounds, **steps)
+    cells = grid_spine(slot_conditions(days, weather, holidays, for_map=True), bounds, **steps)
     wide = with_vehicle_defaults(cells, F.col("lat"), F.col("lon"))
     wide = flags_to_int(wide.withColumns({"trip_id": F.lit(0), "day_of_week": F.col("weekday")}), HOLIDAY_FEATURES)
     return scorer(wide)

@@ -15,6 +15,7 @@ _DAYS = "SELECT DISTINCT CAST(ts AS DATE) AS date FROM events QUALIFY dense_rank
 _SLOTS = f"""SELECT d.date, CAST(h AS INTEGER) AS hour, CAST(isodow(d.date) - 1 AS INTEGER) AS weekday, d.date::TIMESTAMP + to_hours(h::INTEGER) AS window_start
     FROM ({_DAYS}) d CROSS JOIN range(5, 24) r(h)"""
 _SLOT_FLAGS = f"""SELECT s.*, coalesce(is_work_free, false) AS is_work_free, coalesce(is_red_day, false) AS is_red_day FROM ({_SLOTS}) s LEFT JOIN holidays USING (date)"""
+_MAP_FLAGS = f"""SELECT s.*, coalesce(is_work_free, isodow(date) >= 6) AS is_work_free, coalesce(is_red_day, isodow(date) = 7) AS is_red_day FROM ({_SLOTS}) s LEFT JOIN holidays USING (date)"""
 _BOX = "SELECT min(stop_lat) - 0.02::DOUBLE AS min_lat, max(stop_lat) + 0.02::DOUBLE AS max_lat, min(stop_lon) - 0.02::DOUBLE AS min_lon, max(stop_lon) + 0.02::DOUBLE AS max_lon FROM stops"
 
 
@@ -61,14 +62,14 @@ def grid_spine(t):
     return cells.select("hour", "weekday", "lat_id", "lon_id", "lat", "lon")
 
 
-@query("slot_class_counts", f"SELECT CAST(hour AS BIGINT) AS hour, CAST(weekday AS BIGINT) AS weekday, CAST({_RULE} AS BIGINT) AS class, 2000 AS n_cells FROM ({_SLOT_FLAGS})")
+@query("slot_class_counts", f"SELECT CAST(hour AS BIGINT) AS hour, CAST(weekday AS BIGINT) AS weekday, CAST({_RULE} AS BIGINT) AS class, 2000 AS n_cells FROM ({_MAP_FLAGS})")
 def slot_class_counts(t):
     cells = inference.grid_forecast(last_days(t), stop_box(t), t.weather, t.holidays)
     return products.slot_class_counts(cells)
 
 
 @query("grid_forecast", f"""SELECT CAST(hour AS BIGINT) AS hour, CAST(weekday AS BIGINT) AS weekday, lat_id, lon_id, CAST({_RULE} AS BIGINT) AS predicted_occupancy
-    FROM ({_SLOT_FLAGS}) CROSS JOIN range(40) a(lat_id) CROSS JOIN range(50) b(lon_id)""")
+    FROM ({_MAP_FLAGS}) CROSS JOIN range(40) a(lat_id) CROSS JOIN range(50) b(lon_id)""")
 def grid_forecast(t):
     cells = inference.grid_forecast(last_days(t), stop_box(t), t.weather, t.holidays)
     return cells.select("hour", "weekday", "lat_id", "lon_id", "predicted_occupancy")
@@ -101,13 +102,13 @@ _COLOR = "CASE pred WHEN 1 THEN '#84cc16' WHEN 2 THEN '#eab308' WHEN 3 THEN '#f9
     ',' ORDER BY lat_id, lon_id) || ']}}' AS geojson
     FROM (SELECT hour, weekday, lat_id, lon_id, {_RULE} AS pred, min_lat + lat_id * ((max_lat - min_lat) / 14) AS lat, min_lon + lon_id * ((max_lon - min_lon) / 19) AS lon,
           (max_lat - min_lat) / 14 AS lat_step, (max_lon - min_lon) / 19 AS lon_step
-          FROM ({_SLOT_FLAGS}) CROSS JOIN ({_BOX}) CROSS JOIN range(15) a(lat_id) CROSS JOIN range(20) b(lon_id)) GROUP BY 1, 2""")
+          FROM ({_MAP_FLAGS}) CROSS JOIN ({_BOX}) CROSS JOIN range(15) a(lat_id) CROSS JOIN range(20) b(lon_id)) GROUP BY 1, 2""")
 def slot_geojson(t):
     cells = inference.grid_forecast(last_days(t), stop_box(t), t.weather, t.holidays, lat_steps=15, lon_steps=20)
     return products.slot_geojson(cells)
 
 
-@query("slot_sink", f"""SELECT CAST(hour AS BIGINT) AS hour, CAST(weekday AS BIGINT) AS weekday, 2000 AS n_features, CAST({_RULE} AS BIGINT) AS first_class, '2024-01-30 10:30:00' AS generated_at FROM ({_SLOT_FLAGS})""")
+@query("slot_sink", f"""SELECT CAST(hour AS BIGINT) AS hour, CAST(weekday AS BIGINT) AS weekday, 2000 AS n_features, CAST({_RULE} AS BIGINT) AS first_class, '2024-01-30 10:30:00' AS generated_at FROM ({_MAP_FLAGS})""")
 def slot_sink(t):
     rows = inference.heatmap(last_days(t), stop_box(t), t.weather, t.holidays, generated_at="2024-01-30 10:30:00")
     feature = "features array<struct<properties:struct<pred_class:int>>>"

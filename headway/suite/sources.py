@@ -48,10 +48,8 @@ def flatten_positions(t):
 @query("flatten_positions_files", """SELECT event_type AS trip_id, count(*) AS n_pings FROM events WHERE CAST(props->>'$.k' AS INTEGER) % 10 <> 0 GROUP BY 1""")
 def flatten_positions_files(t):
     path = scratch_path(t.spark, "feed")
-    parts = landed_messages(t).select(
-        "value", F.get_json_object("value", "$.date").alias("date"), F.get_json_object("value", "$.hour").alias("hour")
-    )
-    parts.write.partitionBy("date", "hour").text(path)
+    parts = landed_messages(t).select("value", F.get_json_object("value", "$.date").alias("date"))
+    parts.hint("rebalance", "date").write.partitionBy("date").text(path)
     pings = feeds.flatten_positions(feeds.read_feed_messages(t.spark, path))
     return pings.filter(F.col("vehicle_id").isNotNull()).groupBy("trip_id").agg(F.count("*").alias("n_pings"))
 

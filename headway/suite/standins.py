@@ -180,11 +180,12 @@ class StandIns:
 
     @cached_property
     def calendar_dates(self) -> DataFrame:
-        """One exception per supplier and nation: additions, removals and an unknown type."""
-        return self.table("supplier").crossJoin(self.table("nation")).select(
+        """Twenty-five exceptions per supplier: additions, removals and an unknown type."""
+        numbered = self.table("supplier").withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(24))))
+        return numbered.select(
             F.col("s_suppkey").cast("string").alias("service_id"),
-            F.date_add(F.lit("2024-01-01").cast("date"), ((F.col("s_suppkey") * 7 + F.col("n_nationkey") * 5) % 90).cast("int")).alias("date"),
-            ((F.col("s_suppkey") + F.col("n_nationkey")) % 3 + 1).cast("int").alias("exception_type"),
+            F.date_add(F.lit("2024-01-01").cast("date"), ((F.col("s_suppkey") * 7 + F.col("n") * 5) % 90).cast("int")).alias("date"),
+            ((F.col("s_suppkey") + F.col("n")) % 3 + 1).cast("int").alias("exception_type"),
         )
 
     # -- incidents and requests -------------------------------------------
@@ -305,8 +306,8 @@ CTES = {
     )
     + """, DATE '2024-01-01' + (s_suppkey % 60)::INTEGER AS start_date,
         DATE '2024-01-01' + (s_suppkey % 60)::INTEGER + (s_nationkey + 3) AS end_date FROM supplier""",
-    "calendar_dates": """SELECT CAST(s_suppkey AS VARCHAR) AS service_id, DATE '2024-01-01' + ((s_suppkey * 7 + n_nationkey * 5) % 90)::INTEGER AS date,
-        ((s_suppkey + n_nationkey) % 3 + 1)::INTEGER AS exception_type FROM supplier CROSS JOIN nation""",
+    "calendar_dates": """SELECT CAST(s_suppkey AS VARCHAR) AS service_id, DATE '2024-01-01' + ((s_suppkey * 7 + n * 5) % 90)::INTEGER AS date,
+        ((s_suppkey + n) % 3 + 1)::INTEGER AS exception_type FROM supplier CROSS JOIN range(25) r(n)""",
     "order_windows": f"""SELECT CAST(o_orderkey AS VARCHAR) AS trip_id, o_orderdate AS window_start,
         {spread_sql('o_orderkey', 7919, 1000, BOX_LAT)} AS lat_mean, {spread_sql('o_orderkey', 104729, 1000, BOX_LON)} AS lon_mean FROM orders""",
     "incidents": f"""SELECT CAST(c_custkey AS VARCHAR) AS event_id, CAST(c_nationkey AS VARCHAR) AS deviation_id,

@@ -121,6 +121,13 @@ def test_holiday_join_defaults_to_false(spark):
     assert (row["is_work_free"], row["is_red_day"], row["is_holiday"]) == (False, False, False)
 
 
+def test_weekend_rule_for_missing_holidays(spark):
+    none = spark.sql("select date'2024-01-08' date, true is_work_free, true is_red_day, true is_day_before_holiday where false")
+    row = enrich.join_holidays(windows_frame(spark), none, weekend=True).first()
+    # a Saturday
+    assert (row["is_work_free"], row["is_red_day"], row["is_day_before_holiday"]) == (True, False, False)
+
+
 def test_nearest_hour_prefers_earlier_and_reaches_other_days(spark):
     weather = spark.sql("select timestamp'2024-01-01 00:00:00' timestamp, 1D temperature_2m union all select timestamp'2024-01-03 00:00:00', 3D")
     targets = spark.sql("""select 1 id, timestamp'2024-01-02 00:40:00' target_time union all select 2, timestamp'2024-01-02 01:00:00'
