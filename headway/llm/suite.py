@@ -1,6 +1,6 @@
 """All queries of the training-data operators."""
 
-from headway.llm import mixing  # noqa: F401
+from headway.llm import bpe, licenses, mixing, quality, simhash, urls  # noqa: F401
 from headway.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
