@@ -65,13 +65,13 @@ def text_key(text: Column) -> Column:
     return F.coalesce(F.md5(text.cast("binary")), F.lit("-"))
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
+def keep_rows(docs: DataFrame, kept: DataFrame, once: bool = False) -> DataFrame:
     """The rows of `docs` whose (doc_id, text) is in `kept`, which has the columns doc_id and text_md5.
 
-    Null ids and null texts match themselves; repeated rows stay repeated.
+    Null ids and null texts match themselves. Repeated rows stay repeated, or with `once` become one.
     """
-    key, = fresh(docs, "text_md5")
-    wanted = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_md5").alias("_kept_md5")).distinct()
-    marked = docs.withColumn(key, text_key(F.col("text")))
-    on = marked["doc_id"].eqNullSafe(wanted["_kept_id"]) & (marked[key] == wanted["_kept_md5"])
-    return marked.join(wanted, on, "left_semi").drop(key)
+    key, = fresh(docs, "row_key")
+    named = lambda doc_id, md5: F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), md5).cast("binary"))
+    wanted = kept.select(named(F.col("doc_id"), F.col("text_md5")).alias(key)).distinct()
+    found = docs.withColumn(key, named(F.col("doc_id"), text_key(F.col("text")))).join(wanted, key, "left_semi")
+    return (found.dropDuplicates([key]) if once else found).select([F.col(f"`{c}`") for c in docs.columns])
