@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.session import prepare
+from headway.session import prepare, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +76,24 @@ def keep_rows(docs: DataFrame, kept: DataFrame, once: bool = False) -> DataFrame
     wanted = kept.select(named(F.col("doc_id"), F.col("text_md5")).alias(key)).distinct()
     found = docs.withColumn(key, named(F.col("doc_id"), text_key(F.col("text")))).join(wanted, key, "left_semi")
     return (found.dropDuplicates([key]) if once else found).select([F.col(f"`{c}`") for c in docs.columns])
+
+
+class Scratch:
+    """Written tables of one job in the shared folder, which it drops as soon as nothing needs them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.paths[name] = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Deletes tables whose readers have all been written themselves, and lets go of finished shuffles."""
+        jvm = self.spark.sparkContext._jvm
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        gc.collect()
+        jvm.System.gc()

@@ -1,6 +1,6 @@
 """All queries of the training-data operators."""
 
-from headway.llm import bpe, html, jaccard, licenses, mixing, quality, simhash, toxicity, urls  # noqa: F401
+from headway.llm import bpe, html, jaccard, licenses, mixing, quality, simhash, substrings, toxicity, urls  # noqa: F401
 from headway.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
