@@ -86,14 +86,19 @@ class Scratch:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = self.paths[name] = scratch_path(self.spark, name)
+        self.release()
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def release(self) -> None:
+        """Lets go of the shuffle files of finished jobs, which otherwise stay until the driver happens to collect garbage."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
-        """Deletes tables whose readers have all been written themselves, and lets go of finished shuffles."""
+        """Deletes tables whose readers have all been written themselves."""
         jvm = self.spark.sparkContext._jvm
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        gc.collect()
-        jvm.System.gc()
+        self.release()

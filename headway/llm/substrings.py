@@ -22,19 +22,16 @@ SHARD_WORDS = 300_000
 # stands for a null doc_id: no document is after it
 LAST = (1 << 63) - 1
 
-_ROWS = "doc_id long, doc long, mark long, n_words long, kept_sha256 string, anchors array<struct<anchor: long, piece: long, start: int>>"
+_ROWS = "doc long, mark long, n_words long, anchors array<long>, pieces array<long>, starts array<int>"
 _PASSAGES = "anchor long, piece long, first long, last long, several boolean, words string, windows array<long>"
 _PHRASES = "anchor long, piece long, first long, phrase string"
-_KEPT = "doc long, mark long, n_removed long, kept_sha256 string, spans array<struct<start: int, end: int>>, kept string"
-_ROWS_ARROW = pa.schema([
-    ("doc_id", pa.int64()), ("doc", pa.int64()), ("mark", pa.int64()), ("n_words", pa.int64()), ("kept_sha256", pa.string()),
-    ("anchors", pa.list_(pa.struct([("anchor", pa.int64()), ("piece", pa.int64()), ("start", pa.int32())])))])
+_KEPT = "doc_id long, mark long, n_words long, n_removed long, kept_sha256 string, spans array<struct<start: int, end: int>>, kept string"
 _PASSAGES_ARROW = pa.schema([
     ("anchor", pa.int64()), ("piece", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("several", pa.bool_()),
     ("words", pa.string()), ("windows", pa.list_(pa.int64()))])
 _PHRASES_ARROW = pa.schema([("anchor", pa.int64()), ("piece", pa.int64()), ("first", pa.int64()), ("phrase", pa.string())])
 _KEPT_ARROW = pa.schema([
-    ("doc", pa.int64()), ("mark", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
+    ("doc_id", pa.int64()), ("mark", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
     ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("kept", pa.string())])
 
 _BASE = 0x2545F4914F6CDD1D
@@ -86,20 +83,22 @@ class Windows:
         return self.hashed(self.starts, self.ends + (WINDOW - 1))
 
 
-def sha256(words: list[bytes]) -> str:
-    return hashlib.sha256(b" ".join(words)).hexdigest()
-
-
 def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
+        docs, marks, sizes, anchors, pieces, starts = [], [], [], [], [], []
         for doc, mark, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
             words = words_of(text)
-            own, anchors = Windows(words), []
+            own = Windows(words)
             if own.n:
-                anchors = [{"anchor": a, "piece": p, "start": s} for a, p, s in zip(own.anchors.tolist(), own.pieces.tolist(), own.starts.tolist())]
-            rows.append({"doc_id": doc, "doc": LAST if doc is None else doc, "mark": mark, "n_words": len(words), "kept_sha256": sha256(words), "anchors": anchors})
-        yield pa.RecordBatch.from_pylist(rows, schema=_ROWS_ARROW)
+                docs.append(LAST if doc is None else doc)
+                marks.append(mark)
+                sizes.append(len(words))
+                anchors.append(own.anchors)
+                pieces.append(own.pieces)
+                starts.append(own.starts.astype(np.int32))
+        lists = [pa.array(x, pa.list_(kind)) for x, kind in ((anchors, pa.int64()), (pieces, pa.int64()), (starts, pa.int32()))]
+        columns = [pa.array(x, pa.int64()) for x in (docs, marks, sizes)] + lists
+        yield pa.RecordBatch.from_arrays(columns, names=["doc", "mark", "n_words", "anchors", "pieces", "starts"])
 
 
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,13 +108,13 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, rows = words_of(text), []
             own = Windows(words)
             end_of = dict(zip(own.starts.tolist(), own.ends.tolist()))
+            every = own.hashed(np.arange(own.n), np.arange(own.n) + WINDOW)
             for piece in wanted:
                 start, end = piece["start"], end_of[piece["start"]]
-                at = np.arange(start, end)
                 rows.append({
                     "anchor": piece["anchor"], "piece": piece["piece"], "first": piece["first"], "last": piece["last"], "several": piece["several"],
                     "words": b" ".join(words[start:end + WINDOW - 1]).decode("utf-8", "replace"),
-                    "windows": own.hashed(at, at + WINDOW).tolist() if piece["several"] else None})
+                    "windows": every[start:end] if piece["several"] else None})
             yield pa.RecordBatch.from_pylist(rows, schema=_PASSAGES_ARROW)
 
 
@@ -176,12 +175,15 @@ def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 phrases.add(text, first)
                 continue
             words = words_of(text)
-            gone = phrases.covered(words, doc)
-            kept = [w for w, g in zip(words, gone) if not g]
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
-            spans = [{"start": s, "end": e} for s, e in zip(edges[::2].tolist(), edges[1::2].tolist())]
-            rows.append({"doc": doc, "mark": mark, "n_removed": int(gone.sum()), "kept_sha256": sha256(kept), "spans": spans,
-                         "kept": b" ".join(kept).decode("utf-8", "replace")})
+            gone = phrases.covered(words, LAST if doc is None else doc)
+            row = {"doc_id": doc, "mark": mark, "n_words": len(words), "n_removed": int(gone.sum())}
+            if row["n_removed"]:
+                words = [w for w, g in zip(words, gone) if not g]
+                edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
+                row["spans"] = [{"start": s, "end": e} for s, e in zip(edges[::2].tolist(), edges[1::2].tolist())]
+                row["kept"] = b" ".join(words).decode("utf-8", "replace")
+            row["kept_sha256"] = hashlib.sha256(b" ".join(words)).hexdigest()
+            rows.append(row)
         yield pa.RecordBatch.from_pylist(rows, schema=_KEPT_ARROW)
 
 
@@ -190,7 +192,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), F.col("text").cast("binary").alias("text"))
 
 
-def deduplicated(docs: DataFrame, with_text: bool = False) -> DataFrame:
+def deduplicated(docs: DataFrame) -> DataFrame:
     """Removes from every row of `docs` (doc_id, text) the words of passages that start in an earlier document.
 
     A word goes if a window of 50 words covers it whose word sequence also starts in a row with a smaller
@@ -199,21 +201,23 @@ def deduplicated(docs: DataFrame, with_text: bool = False) -> DataFrame:
 
     Confirm: anchors, one for about 22 words, find the pieces that occur in several documents; of an anchor
     with different pieces, window hashes find the earliest document of each window. Runs of windows with one
-    earliest document are the recurring phrases. Compile: documents with such phrases are dealt into shards of
-    bounded size, and the phrases a shard needs become its automaton, each phrase once. Stream: the shard's
-    documents run through it whole, and every occurrence is located.
+    earliest document are the recurring phrases. Compile: documents are dealt into shards of bounded size,
+    and the phrases that recur in a shard's documents become its automaton, each phrase once. Stream: all
+    documents run whole through the automaton of their shard, which locates every occurrence.
 
-    Returns doc_id, mark (xxhash64 of the text), n_words, n_removed, kept_sha256, spans (removed word ranges;
-    null: none), and with `with_text` kept, the kept words joined by blanks (null: nothing was removed).
+    Returns doc_id, mark (xxhash64 of the text), n_words, n_removed, kept_sha256, and for rows that lose words
+    spans (the removed word ranges) and kept (the words left, joined by blanks); both null for other rows.
     """
     scratch = Scratch(docs.sparkSession)
     plain = keyed(docs)
     rows = scratch.write(plain.mapInArrow(_scanned, _ROWS), "substring-rows")
-    places = rows.select("doc", "mark", F.explode("anchors").alias("a")).select("doc", "mark", "a.anchor", "a.piece", "a.start")
+    shards = max(1, -(-(rows.agg(F.sum("n_words")).first()[0] or 0) // SHARD_WORDS))
+    places = rows.select("doc", "mark", F.explode(F.arrays_zip("anchors", "pieces", "starts")).alias("a")).select(
+        "doc", "mark", F.col("a.anchors").alias("anchor"), F.col("a.pieces").alias("piece"), F.col("a.starts").alias("start"))
     shared = places.groupBy(F.col("anchor").alias("_anchor")).agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("_anchor")
     shared = scratch.write(shared, "substring-anchors")
     places = scratch.write(places.join(shared, F.col("anchor") == F.col("_anchor")).drop("_anchor"), "substring-places")
-    scratch.drop("substring-anchors")
+    scratch.drop("substring-rows", "substring-anchors")
 
     pieces = places.groupBy("anchor", "piece").agg(F.min(F.struct("doc", "mark", "start")).alias("at"), F.max("doc").alias("last"))
     pieces = scratch.write(pieces, "substring-pieces")
@@ -230,34 +234,29 @@ def deduplicated(docs: DataFrame, with_text: bool = False) -> DataFrame:
     firsts = windows.join(earliest, (F.col("anchor") == F.col("_anchor")) & (F.col("window") == F.col("_window")))
     firsts = firsts.groupBy(F.col("anchor").alias("_anchor"), F.col("piece").alias("_piece")).agg(
         F.collect_set(F.struct("at", F.col("_first").alias("first"))).alias("firsts"))
+    firsts = scratch.write(firsts, "substring-firsts")
+    scratch.drop("substring-windows")
     known = passages.join(firsts, (F.col("anchor") == F.col("_anchor")) & (F.col("piece") == F.col("_piece")), "left")
     phrases = known.select("anchor", "piece", "first", "last", "several", "words", "firsts").mapInArrow(_phrases, _PHRASES)
     phrases = scratch.write(phrases.dropDuplicates(["anchor", "piece", "first", "phrase"]), "substring-phrases")
-    scratch.drop("substring-passages", "substring-windows")
+    scratch.drop("substring-passages", "substring-firsts")
 
+    shard = F.pmod(F.xxhash64("doc_id", "mark"), F.lit(shards)).alias("shard")
     ids = phrases.select(F.col("anchor").alias("_anchor"), F.col("piece").alias("_piece"), "first", F.xxhash64("phrase").alias("number"))
     hits = places.join(ids, (F.col("anchor") == F.col("_anchor")) & (F.col("piece") == F.col("_piece"))).where("first < doc")
-    needed = scratch.write(hits.select("doc", "mark", "anchor", "piece", "first", "number").distinct(), "substring-needed")
-    targets = needed.select("doc", "mark").distinct()
-    sizes = rows.select("doc", "mark", "n_words").join(targets, ["doc", "mark"], "left_semi")
-    shards = max(1, -(-(sizes.agg(F.sum("n_words")).first()[0] or 0) // SHARD_WORDS))
-    shard = F.pmod(F.xxhash64("doc", "mark"), F.lit(shards)).alias("shard")
-    orders = needed.select(shard, F.col("anchor").alias("_anchor"), F.col("piece").alias("_piece"), F.col("first").alias("_first"), F.col("number").alias("_number")).distinct()
-    same = (F.col("anchor") == F.col("_anchor")) & (F.col("piece") == F.col("_piece")) & (F.col("first") == F.col("_first")) & (F.xxhash64("phrase") == F.col("_number"))
+    hits = hits.select(F.when(F.col("doc") != LAST, F.col("doc")).alias("doc_id"), "mark", "_anchor", "_piece", F.col("first").alias("_first"), "number")
+    # a phrase goes once to each shard, whatever the number of documents there that hold it
+    needed = scratch.write(hits.select(shard, "_anchor", "_piece", "_first", "number").distinct(), "substring-needed")
+    scratch.drop("substring-places")
+    same = ["_anchor", "_piece", "_first", "number"]
+    sent = phrases.select(F.col("anchor").alias("_anchor"), F.col("piece").alias("_piece"), F.col("first").alias("_first"), "phrase", F.xxhash64("phrase").alias("number"))
     none = F.lit(None).cast("long")
-    sent = phrases.join(orders, same).select("shard", none.alias("doc"), none.alias("mark"), "first", F.col("phrase").cast("binary").alias("text"))
-    streamed = plain.withColumn("doc", F.coalesce("doc_id", F.lit(LAST))).join(targets, ["doc", "mark"], "left_semi").select(
-        shard, "doc", "mark", none.alias("first"), "text")
-    both = sent.unionByName(streamed).repartition("shard").sortWithinPartitions("shard", F.col("first").isNull())
-    kept = both.mapInArrow(_located, _KEPT)
-    kept = scratch.write((kept if with_text else kept.drop("kept")).dropDuplicates(["doc", "mark"]), "substring-kept")
-    scratch.drop("substring-places", "substring-phrases", "substring-needed")
-
-    found = kept.select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), "n_removed", F.col("kept_sha256").alias("sha256"), "spans", *(["kept"] if with_text else []))
-    out = rows.join(found, (F.col("doc") == F.col("_doc")) & (F.col("mark") == F.col("_mark")), "left")
-    return out.select(
-        "doc_id", "mark", "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("sha256", "kept_sha256").alias("kept_sha256"),
-        "spans", *(["kept"] if with_text else []))
+    sent = sent.join(needed, same).select("shard", none.alias("doc_id"), none.alias("mark"), F.col("_first").alias("first"), F.col("phrase").cast("binary").alias("text"))
+    both = sent.unionByName(plain.select(shard, "doc_id", "mark", none.alias("first"), "text"))
+    both = both.repartition("shard").sortWithinPartitions("shard", F.col("first").isNull())
+    kept = scratch.write(both.mapInArrow(_located, _KEPT), "substring-kept")
+    scratch.drop("substring-phrases", "substring-needed")
+    return kept
 
 
 def without_passages(docs: DataFrame) -> DataFrame:
@@ -266,7 +265,7 @@ def without_passages(docs: DataFrame) -> DataFrame:
     A text that loses words becomes its kept words joined by blanks, and n_chars its length; a text that loses
     all of them goes. Other rows stay as they are.
     """
-    cut = deduplicated(docs, with_text=True).where("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "kept").distinct()
+    cut = deduplicated(docs).where("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "kept").distinct()
     mark, kept = fresh(docs, "text_mark", "kept_text")
     cut = cut.withColumnRenamed("kept", kept)
     marked = docs.withColumn(mark, F.xxhash64("text"))
