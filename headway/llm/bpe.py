@@ -54,32 +54,70 @@ def load(text: str):
     return loaded
 
 
+# whole numbers are kept in streams: one byte for each number, and one, two or four more for larger ones
+_MID, _TOP, _RAW = 128, 128 + 112 * 256, 128 + 112 * 256 + (15 << 16)
+
+
 def packed(numbers: np.ndarray) -> bytes:
-    """Compressed whole numbers below 2**32: all lowest bytes, then all next ones; few bits for small numbers."""
-    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+    """Compressed whole numbers below 2**32, few bits for small ones."""
+    n = numbers.astype(np.int64)
+    mid, top, raw = (n >= _MID) & (n < _TOP), (n >= _TOP) & (n < _RAW), n >= _RAW
+    head = np.where(mid, 128 + ((n - _MID) >> 8), np.where(top, 240 + ((n - _TOP) >> 16), np.where(raw, 255, n))).astype(np.uint8)
+    streams = head, ((n[mid] - _MID) & 255).astype(np.uint8), ((n[top] - _TOP) & 65535).astype("<u2"), n[raw].astype("<u4")
+    return joined(*(zstandard.ZstdCompressor(level=3).compress(x.tobytes()) for x in streams))
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
+    kinds = np.uint8, np.uint8, "<u2", "<u4"
+    head, mid, top, raw = (np.frombuffer(zstandard.ZstdDecompressor().decompress(x), kind).astype(np.int64) for x, kind in zip(parted(data), kinds))
+    is_mid, is_top, is_raw = (head >= 128) & (head < 240), (head >= 240) & (head < 255), head == 255
+    head[is_mid] = _MID + ((head[is_mid] - 128) << 8) + mid
+    head[is_top] = _TOP + ((head[is_top] - 240) << 16) + top
+    head[is_raw] = raw
+    return head
+
+
+def joined(*parts: bytes) -> bytes:
+    return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
+
+
+def parted(data: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(data):
+        end = at + 8 + int.from_bytes(data[at:at + 8], "little")
+        out.append(data[at + 8:end])
+        at = end
+    return out
+
+
+def places_coded(at: np.ndarray, distinct: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of word positions, and which words repeat. Words are numbered as they first occur: a first
+    occurrence is 0, another one the number of its word among those that repeat."""
+    repeats = np.bincount(at, minlength=distinct) > 1
+    seen = np.maximum.accumulate(at) if len(at) else at
+    first = at > np.concatenate([[-1], seen[:-1]])
+    return np.where(first, 0, np.cumsum(repeats)[at]), repeats
+
+
+def places_decoded(codes: np.ndarray, repeats: np.ndarray) -> np.ndarray:
+    at = np.empty(len(codes), np.int64)
+    first = codes == 0
+    at[first] = np.arange(first.sum())
+    at[~first] = np.flatnonzero(repeats)[codes[~first] - 1]
+    return at
 
 
 def _block_rows(block: int, index: dict[bytes, int], places: list[np.ndarray], doc_ids: list, sizes: list[int]) -> pa.RecordBatch:
-    """The table of a block in order of frequency, dealt into buckets, and the positions of its words."""
-    at = np.concatenate(places) if places else np.zeros(0, np.int64)
-    order = np.argsort(-np.bincount(at, minlength=len(index)), kind="stable")
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    known = list(index)
-    words = [known[i] for i in order]
+    """The positions of a block's words, and its distinct words dealt into buckets, in the order they first occur."""
+    words = list(index)
+    codes, repeats = places_coded(np.concatenate(places).astype(np.int64), len(words))
     buckets = np.fromiter((xxhash.xxh3_64_intdigest(w) % BUCKETS for w in words), np.int64, len(words))
-    docs, dealt = packed(rank[at]), packed(buckets)
-    rows = [{"block": block, "bucket": -1, "payload": len(docs).to_bytes(8, "little") + docs + dealt, "doc_ids": doc_ids, "sizes": sizes}]
+    payload = joined(packed(codes), packed(buckets), packed(repeats))
+    rows = [{"block": block, "bucket": -1, "payload": payload, "doc_ids": doc_ids, "sizes": sizes}]
     by_bucket = np.argsort(buckets, kind="stable")
     for part in np.split(by_bucket, np.flatnonzero(np.diff(buckets[by_bucket])) + 1):
         if len(part):
-            payload = zstandard.ZstdCompressor(level=3).compress(b" ".join(words[i] for i in part))
+            payload = zstandard.ZstdCompressor(level=12).compress(b" ".join([words[i] for i in part]))
             rows.append({"block": block, "bucket": int(buckets[part[0]]), "payload": payload})
     return pa.RecordBatch.from_pylist(rows, schema=_BLOCK_ARROW)
 
@@ -91,7 +129,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = text.as_py() or b""
             words = words_of(text)
-            places.append(np.fromiter((index.setdefault(w, len(index)) for w in words), np.uint32, len(words)))
+            places.append(np.fromiter([index.setdefault(w, len(index)) for w in words], np.uint32, len(words)))
             doc_ids.append(doc)
             sizes.append(len(words))
             held += len(text)
@@ -113,8 +151,11 @@ def _encoder(vocabulary):
                 words = zstandard.ZstdDecompressor().decompress(payload.as_py()).split(b" ")
                 new = [w for w in words if w not in known]
                 for word, got in zip(new, tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)):
-                    known[word] = " ".join(map(str, got.ids))
-                reply = zstandard.ZstdCompressor(level=3).compress(",".join(known[w] for w in words).encode())
+                    known[word] = got.ids
+                own = [known[w] for w in words]
+                counts = np.fromiter(map(len, own), np.int64, len(own))
+                ids = np.fromiter((i for x in own for i in x), np.int64)
+                reply = joined(packed(counts), packed(ids))
                 yield pa.RecordBatch.from_pylist([{"block": block.as_py(), "bucket": bucket, "payload": reply}], schema=_REPLY_ARROW)
 
     return encoded
@@ -133,23 +174,17 @@ def _assembler(vocabulary):
 
 def _documents(payload: bytes, doc_ids: list, sizes: list[int], replies: list[dict] | None, pieces: list[str]) -> Iterator[pa.RecordBatch]:
     """The documents of a block: ids put at every word's position, and the text that their pieces spell."""
-    cut = 8 + int.from_bytes(payload[:8], "little")
-    at, buckets = unpacked(payload[8:cut]), unpacked(payload[cut:])
+    codes, buckets, repeats = map(unpacked, parted(payload))
+    at = places_decoded(codes, repeats)
     by_bucket = np.argsort(buckets, kind="stable")
-    ids = [np.zeros(0, np.int32)] * len(buckets)
-    spelled = [""] * len(buckets)
-    place = 0
-    for reply in sorted(replies or (), key=lambda r: r["bucket"]):
-        for text in zstandard.ZstdDecompressor().decompress(reply["payload"]).decode().split(","):
-            own = [int(x) for x in text.split()]
-            ids[by_bucket[place]] = own
-            spelled[by_bucket[place]] = " ".join([pieces[i] for i in own])
-            place += 1
-    if place != len(buckets):
-        raise ValueError(f"{len(buckets)} distinct words, {place} encoded")
-    flat = np.fromiter((i for own in ids for i in own), np.int32)
-    counts = np.fromiter(map(len, ids), np.int64, len(ids))
-    starts = np.concatenate([[0], np.cumsum(counts)])[:-1] if len(ids) else np.zeros(0, np.int64)
+    replies = [tuple(map(unpacked, parted(r["payload"]))) for r in sorted(replies or (), key=lambda r: r["bucket"])]
+    sizes_got = np.concatenate([r[0] for r in replies]) if replies else np.zeros(0, np.int64)
+    flat = np.concatenate([r[1] for r in replies]).astype(np.int32) if replies else np.zeros(0, np.int32)
+    if len(sizes_got) != len(buckets):
+        raise ValueError(f"{len(buckets)} distinct words, {len(sizes_got)} encoded")
+    counts, starts = np.zeros(len(buckets), np.int64), np.zeros(len(buckets), np.int64)
+    counts[by_bucket], starts[by_bucket] = sizes_got, np.cumsum(sizes_got) - sizes_got
+    spelled = [" ".join([pieces[i] for i in flat[s:s + n].tolist()]) for s, n in zip(starts.tolist(), counts.tolist())]
     rows, held, begin = [], 0, 0
     for doc, size in zip(doc_ids, sizes):
         own = at[begin:begin + size]
