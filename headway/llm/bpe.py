@@ -58,18 +58,23 @@ def load(text: str):
 _MID, _TOP, _RAW = 128, 128 + 112 * 256, 128 + 112 * 256 + (15 << 16)
 
 
+def squeezed(data: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=9).compress(data.tobytes())
+
+
 def packed(numbers: np.ndarray) -> bytes:
-    """Compressed whole numbers below 2**32, few bits for small ones."""
-    n = numbers.astype(np.int64)
+    """Compressed whole numbers below 2**31, few bits for small ones."""
+    n = numbers.astype(np.int32)
     mid, top, raw = (n >= _MID) & (n < _TOP), (n >= _TOP) & (n < _RAW), n >= _RAW
-    head = np.where(mid, 128 + ((n - _MID) >> 8), np.where(top, 240 + ((n - _TOP) >> 16), np.where(raw, 255, n))).astype(np.uint8)
+    head = n.astype(np.uint8)
+    head[mid], head[top], head[raw] = 128 + ((n[mid] - _MID) >> 8), 240 + ((n[top] - _TOP) >> 16), 255
     streams = head, ((n[mid] - _MID) & 255).astype(np.uint8), ((n[top] - _TOP) & 65535).astype("<u2"), n[raw].astype("<u4")
-    return joined(*(zstandard.ZstdCompressor(level=3).compress(x.tobytes()) for x in streams))
+    return joined(*map(squeezed, streams))
 
 
 def unpacked(data: bytes) -> np.ndarray:
     kinds = np.uint8, np.uint8, "<u2", "<u4"
-    head, mid, top, raw = (np.frombuffer(zstandard.ZstdDecompressor().decompress(x), kind).astype(np.int64) for x, kind in zip(parted(data), kinds))
+    head, mid, top, raw = (np.frombuffer(zstandard.ZstdDecompressor().decompress(x), kind).astype(np.int32) for x, kind in zip(parted(data), kinds))
     is_mid, is_top, is_raw = (head >= 128) & (head < 240), (head >= 240) & (head < 255), head == 255
     head[is_mid] = _MID + ((head[is_mid] - 128) << 8) + mid
     head[is_top] = _TOP + ((head[is_top] - 240) << 16) + top
@@ -95,12 +100,12 @@ def places_coded(at: np.ndarray, distinct: int) -> tuple[np.ndarray, np.ndarray]
     occurrence is 0, another one the number of its word among those that repeat."""
     repeats = np.bincount(at, minlength=distinct) > 1
     seen = np.maximum.accumulate(at) if len(at) else at
-    first = at > np.concatenate([[-1], seen[:-1]])
-    return np.where(first, 0, np.cumsum(repeats)[at]), repeats
+    first = at > np.concatenate([np.array([-1], np.int32), seen[:-1]])
+    return np.where(first, 0, np.cumsum(repeats, dtype=np.int32)[at]), repeats
 
 
 def places_decoded(codes: np.ndarray, repeats: np.ndarray) -> np.ndarray:
-    at = np.empty(len(codes), np.int64)
+    at = np.empty(len(codes), np.int32)
     first = codes == 0
     at[first] = np.arange(first.sum())
     at[~first] = np.flatnonzero(repeats)[codes[~first] - 1]
@@ -110,7 +115,7 @@ def places_decoded(codes: np.ndarray, repeats: np.ndarray) -> np.ndarray:
 def _block_rows(block: int, index: dict[bytes, int], places: list[np.ndarray], doc_ids: list, sizes: list[int]) -> pa.RecordBatch:
     """The positions of a block's words, and its distinct words dealt into buckets, in the order they first occur."""
     words = list(index)
-    codes, repeats = places_coded(np.concatenate(places).astype(np.int64), len(words))
+    codes, repeats = places_coded(np.concatenate(places), len(words))
     buckets = np.fromiter((xxhash.xxh3_64_intdigest(w) % BUCKETS for w in words), np.int64, len(words))
     payload = joined(packed(codes), packed(buckets), packed(repeats))
     rows = [{"block": block, "bucket": -1, "payload": payload, "doc_ids": doc_ids, "sizes": sizes}]
@@ -129,7 +134,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = text.as_py() or b""
             words = words_of(text)
-            places.append(np.fromiter([index.setdefault(w, len(index)) for w in words], np.uint32, len(words)))
+            places.append(np.fromiter([index.setdefault(w, len(index)) for w in words], np.int32, len(words)))
             doc_ids.append(doc)
             sizes.append(len(words))
             held += len(text)
@@ -144,6 +149,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _encoder(vocabulary):
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, bucket, known = load(vocabulary.value), None, {}
+        wide = tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
         for batch in batches:
             for block, at, payload in zip(*(batch.column(i) for i in range(3))):
                 if at.as_py() != bucket:  # rows come sorted by bucket
@@ -155,7 +161,7 @@ def _encoder(vocabulary):
                 own = [known[w] for w in words]
                 counts = np.fromiter(map(len, own), np.int64, len(own))
                 ids = np.fromiter((i for x in own for i in x), np.int64)
-                reply = joined(packed(counts), packed(ids))
+                reply = joined(packed(counts), squeezed(ids.astype("<u4" if wide else "<u2")))
                 yield pa.RecordBatch.from_pylist([{"block": block.as_py(), "bucket": bucket, "payload": reply}], schema=_REPLY_ARROW)
 
     return encoded
@@ -177,7 +183,9 @@ def _documents(payload: bytes, doc_ids: list, sizes: list[int], replies: list[di
     codes, buckets, repeats = map(unpacked, parted(payload))
     at = places_decoded(codes, repeats)
     by_bucket = np.argsort(buckets, kind="stable")
-    replies = [tuple(map(unpacked, parted(r["payload"]))) for r in sorted(replies or (), key=lambda r: r["bucket"])]
+    kind = "<u4" if len(pieces) > 1 << 16 else "<u2"
+    replies = [parted(r["payload"]) for r in sorted(replies or (), key=lambda r: r["bucket"])]
+    replies = [(unpacked(n), np.frombuffer(zstandard.ZstdDecompressor().decompress(ids), kind)) for n, ids in replies]
     sizes_got = np.concatenate([r[0] for r in replies]) if replies else np.zeros(0, np.int64)
     flat = np.concatenate([r[1] for r in replies]).astype(np.int32) if replies else np.zeros(0, np.int32)
     if len(sizes_got) != len(buckets):
