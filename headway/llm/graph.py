@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.session import written
+from headway.llm.common import Scratch
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,15 +16,17 @@ def components(edges: DataFrame) -> DataFrame:
     pre-aggregated and its rows can be split. Rounds are written to the shared folder; the driver sees two
     numbers per round.
     """
-    current = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "components")
-    before = None
+    scratch, turn = Scratch(edges.sparkSession), 0
+    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    current, before = scratch.write(edges, "components-0"), None
     while True:
         state = current.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")).first()
         if before == state:
             return current.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
                 current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-        before = state
-        current = written(_small_star(_large_star(current)), "components")
+        before, turn = state, turn + 1
+        current = scratch.write(_small_star(_large_star(current)), f"components-{turn}")
+        scratch.drop(f"components-{turn - 1}")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

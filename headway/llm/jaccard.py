@@ -11,9 +11,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm.common import keep_rows, query, table, text_key, words_of
+from headway.llm.common import Scratch, keep_rows, query, table, text_key, words_of
 from headway.llm.graph import components
-from headway.session import written
 
 SHINGLE_WORDS = 5
 THRESHOLD_PERCENT = 80
@@ -216,15 +215,20 @@ def joined(docs: DataFrame) -> DataFrame:
     by links; null ids do not count), copies, n_texts (other texts linked), n_links (other rows linked, copies
     among them), first (whether this row is the one of its class that stays: smallest doc_id, then row_id).
     """
+    scratch = Scratch(docs.sparkSession)
     plain = docs.select(F.col("doc_id").cast("long"), text_key(F.col("text")), F.col("text").cast("binary"))
-    rows = written(plain.mapInArrow(_signed, _SIGNED), "jaccard-rows")
-    sets = written(rows.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("row_id").alias("rep"), F.count("*").alias("copies")), "jaccard-sets")
+    rows = scratch.write(plain.mapInArrow(_signed, _SIGNED), "jaccard-rows")
+    sets = rows.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("row_id").alias("rep"), F.count("*").alias("copies"))
+    sets = scratch.write(sets, "jaccard-sets")
     reps = sets.join(rows.select("row_id", "doc_id", "text_md5", "bands"), F.col("rep") == F.col("row_id"))
-    keys = written(reps.select("rep", F.explode("bands").alias("band")), "jaccard-bands")
+    keys = scratch.write(reps.select("rep", F.explode("bands").alias("band")), "jaccard-bands")
     shared = keys.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("band", "low")
-    edges = keys.join(written(shared, "jaccard-shared"), "band").where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
-    members = components(edges).select(F.col("node").alias("rep"), F.col("root").alias("component"))
-    found = written(_verified(docs, rows, sets, written(members, "jaccard-members")), "jaccard-links")
+    shared = scratch.write(shared, "jaccard-shared")
+    edges = keys.join(shared, "band").where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
+    members = scratch.write(components(edges).select(F.col("node").alias("rep"), F.col("root").alias("component")), "jaccard-members")
+    scratch.drop("jaccard-bands", "jaccard-shared")
+    found = scratch.write(_verified(docs, rows, sets, members), "jaccard-links")
+    scratch.drop("jaccard-members")
 
     of_text = found.groupBy(F.col("rep").alias("_rep")).agg(F.sum("texts").alias("texts"), F.sum("rows").alias("rows"))
     roots = components(found.where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
@@ -233,7 +237,8 @@ def joined(docs: DataFrame) -> DataFrame:
         F.col("set_key").alias("_key"), F.coalesce("root", "rep").alias("root"), "copies", F.coalesce("texts", F.lit(0)).alias("n_texts"),
         (F.coalesce("rows", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = rows.drop("bands").join(texts, F.col("set_key") == F.col("_key"), "left").drop("_key", "set_key")
-    out = written(out.withColumn("root", F.coalesce("root", "row_id")), "jaccard-out")
+    out = scratch.write(out.withColumn("root", F.coalesce("root", "row_id")), "jaccard-out")
+    scratch.drop("jaccard-rows", "jaccard-sets", "jaccard-links")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_id")
     classes = out.groupBy(F.col("root").alias("_root")).agg(F.min(order).alias("least"))
     return out.join(classes, F.col("root") == F.col("_root")).select(
