@@ -80,7 +80,7 @@ def numeric_share(df: DataFrame) -> DataFrame:
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Project to a fixed schema; absent columns become null, bad values null."""
+    """Project to a fixed schema; absent columns become null, bad values null (`misfits` counts those)."""
     have = set(df.columns)
     columns = []
     for field in schema.fields:
@@ -89,6 +89,13 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(columns)
 
 
+def misfits(df: DataFrame, schema: StructType) -> DataFrame:
+    """One row: for each column of the schema, how many values `conform` would turn into null."""
+    have = set(df.columns)
+    lost = {f.name: F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull() for f in schema.fields if f.name in have}
+    return df.agg(*[F.count_if(lost[f.name]).alias(f.name) if f.name in lost else F.lit(0).cast("bigint").alias(f.name) for f in schema.fields])
+
+
 def fill_weather(df: DataFrame, zero_is_missing: bool = False, defaults: dict | None = None) -> DataFrame:
     """Constants for missing weather; optionally zeros count as missing too."""
     defaults = {k: v for k, v in (defaults or WEATHER_DEFAULTS).items() if k in df.columns}

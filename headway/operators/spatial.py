@@ -89,16 +89,11 @@ def radius_pairs(
     return left.join(right, keys, "inner").filter(condition).withColumn(distance, metres).drop(*keys)
 
 
-def _clipped(windows: DataFrame, incidents: DataFrame, longest_days: int) -> DataFrame:
-    """Incidents cut to the time range of the windows when some run very long.
+def _clipped(windows: DataFrame, incidents: DataFrame) -> DataFrame:
+    """Incidents cut to the time range of the windows.
 
-    Open-ended incidents would otherwise be listed for every bucket of the far
-    future. The windows are only asked for their range when that is needed.
+    Open-ended incidents would otherwise be listed for every bucket of the far future.
     """
-    length = F.unix_timestamp("end_time") - F.unix_timestamp("start_time")
-    longest = incidents.agg(F.max(length)).first()[0]
-    if longest is None or longest <= longest_days * 86_400:
-        return incidents.withColumns({"_from": F.col("start_time"), "_to": F.col("end_time")})
     first, last = windows.agg(F.min("window_start"), F.max("window_start")).first()
     lower, upper = (F.lit(v).cast("timestamp") for v in (first, last))
     cut = incidents.withColumns({"_from": F.greatest("start_time", lower), "_to": F.least("end_time", upper)})
@@ -106,7 +101,7 @@ def _clipped(windows: DataFrame, incidents: DataFrame, longest_days: int) -> Dat
 
 
 def incident_pairs(
-    windows: DataFrame, incidents: DataFrame, radius_m: float = 500.0, bucket_days: int = 7, longest_days: int = 400
+    windows: DataFrame, incidents: DataFrame, radius_m: float = 500.0, bucket_days: int = 7
 ) -> DataFrame:
     """Windows with every incident active at that time within the radius, bounds included.
 
@@ -120,7 +115,7 @@ def incident_pairs(
         return F.floor(F.unix_timestamp(instant) / seconds)
 
     valid = incidents.filter(F.col("start_time") <= F.col("end_time"))
-    usable = _clipped(windows, valid, longest_days).select(
+    usable = _clipped(windows, valid).select(
         "event_id", "deviation_id", "start_time", "end_time", "_from", "_to",
         "severity_code", "affected_road",
         F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"),

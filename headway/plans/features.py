@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampType,
 )
@@ -50,10 +51,13 @@ def combined_features(windows: DataFrame, incidents: DataFrame, weather: DataFra
 
 
 def run_day(store: TableStore, pings: DataFrame, incidents: DataFrame, weather: DataFrame, holidays: DataFrame) -> DataFrame:
-    """Store windows and combined features of any number of days; returns the latter."""
+    """Store windows and combined features of the days of the pings; returns the features of those days.
+
+    Only the stored windows of these days are read, enriched and rewritten; other days keep their files.
+    """
     window_spec, combined_spec = CATALOG["vehicle_trip_agg_fg"], CATALOG["combined_features_daily"]
-    store.upsert(window_spec, trip_windows(pings))
-    windows = store.read(window_spec)
+    days = store.upsert(window_spec, trip_windows(pings))
+    windows = store.read(window_spec).filter(F.col(window_spec.partition).isin(days))
     combined = combined_features(windows, incidents, weather, holidays)
     store.upsert(combined_spec, combined)
-    return store.read(combined_spec)
+    return store.read(combined_spec).filter(F.col(combined_spec.partition).isin(days))

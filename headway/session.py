@@ -17,10 +17,7 @@ _RUNTIME_CONF = {
     # split a hot join key even when a later step then needs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-}
-
-# Streams on a cluster keep their window state on disk instead of on the heap.
-_CLUSTER_CONF = {
+    # streams keep their window state on disk instead of on the heap
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
@@ -29,8 +26,7 @@ _CLUSTER_CONF = {
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
-    wanted = _RUNTIME_CONF if is_local(spark) else _RUNTIME_CONF | _CLUSTER_CONF
-    for key, value in wanted.items():
+    for key, value in _RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
 

@@ -47,9 +47,24 @@ INCIDENT_SOURCE = "trafikverket"
 
 
 def read_feed_messages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed messages below date=/hour= folders; unreadable lines are skipped."""
-    schema = f"{FEED_MESSAGE}, date string, hour int"
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    """Landed messages, one per line, below date=/hour= folders.
+
+    A line that does not fit the schema keeps what could be read of it, and its text in `bad_line`;
+    `bad_records` counts such lines.
+    """
+    lines = spark.read.text(path)
+    schema = f"{FEED_MESSAGE}, date string, hour int, bad_line string"
+    read = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad_line"})
+    messages = lines.filter(F.trim("value") != "").withColumn("m", read)
+    folder = {"date": F.date_format("date", "yyyy-MM-dd") if dict(lines.dtypes).get("date") == "date" else F.col("date").cast("string"),
+              "hour": F.col("hour").cast("int")}
+    own = [folder[c].alias(c) if c in lines.columns else F.col(f"m.{c}") for c in ("date", "hour")]
+    return messages.select("m.entity", *own, "m.bad_line")
+
+
+def bad_records(messages: DataFrame) -> DataFrame:
+    """Lines and bad lines per date."""
+    return messages.groupBy("date").agg(F.count("*").alias("n_lines"), F.count("bad_line").alias("n_bad"))
 
 
 def flatten_positions(messages: DataFrame) -> DataFrame:

@@ -94,8 +94,8 @@ class TableStore:
                 return table
         return None
 
-    def upsert(self, spec: TableSpec, batch: DataFrame) -> None:
-        """Insert or replace by key; the later event time wins, then the batch.
+    def upsert(self, spec: TableSpec, batch: DataFrame) -> list:
+        """Insert or replace by key; the later event time wins, then the batch. Returns the partition values of the batch.
 
         Only partitions the batch touches are read and rewritten; the write
         stages its files and swaps whole partitions at commit, so a repeated
@@ -107,9 +107,9 @@ class TableStore:
             not_null_gate(staged, list(spec.not_null), spec.folder)
         current = self.read(spec)
         merged = staged.withColumn("_fresh", F.lit(1))
+        # partition values of one batch, a few days as a rule: literals prune the scan
+        touched = sorted(row[0] for row in staged.select(spec.partition).distinct().collect())
         if current is not None:
-            # partition values of one batch, a few days as a rule: literals prune the scan
-            touched = [row[0] for row in staged.select(spec.partition).distinct().collect()]
             old = current.filter(F.col(spec.partition).isin(touched)).withColumn("_fresh", F.lit(0))
             merged = merged.unionByName(old, allowMissingColumns=True)
         order: list[Column] = [F.col(spec.event_time).desc_nulls_last()] if spec.event_time else []
@@ -117,6 +117,7 @@ class TableStore:
         order += [F.col("_fresh").desc(), *[F.col(c).asc_nulls_last() for c in rest if _orderable(staged, c)]]
         newest = first_per_key(merged, list(spec.keys), order).drop("_fresh")
         self.write(spec, newest)
+        return touched
 
     def write(self, spec: TableSpec, df: DataFrame) -> None:
         """Replace the partitions that occur in the frame."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,17 +26,22 @@ _DATES = {"calendar": ["start_date", "end_date"], "calendar_dates": ["date"]}
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One timetable file (or folder of files) of a feed.
 
-    The header decides which column is which; files of different agencies may
-    order or extend their columns.
+    The header of each file decides which column is which; files of different
+    agencies may order or extend their columns, so files with the same header
+    are read together. The driver reads the header of every file: a feed has
+    one file of a kind, or one per agency.
     """
     path = f"{folder}/{name}.txt"
-    names = spark.read.option("header", True).csv(path).columns
     wanted = {f.split()[0]: f.split()[1] for f in SCHEMAS[name].split(", ")}
-    raw = spark.read.schema(", ".join(f"`{c}` string" for c in names)).option("header", True).csv(path)
-    typed = [
-        (F.col(f"`{c}`").try_cast(t) if c in names else F.lit(None).cast(t)).alias(c) for c, t in wanted.items()
-    ]
-    table = raw.select(typed)
+    groups: dict[tuple, list[str]] = {}
+    for row in spark.read.format("binaryFile").load(path).select("path").orderBy("path").collect():
+        header = spark.read.option("header", True).csv(row["path"]).columns
+        groups.setdefault(tuple(header), []).append(row["path"])
+    parts = []
+    for names, files in groups.items():
+        raw = spark.read.schema(", ".join(f"`{c}` string" for c in names)).options(header=True, enforceSchema=False).csv(files)
+        parts.append(raw.select([(F.col(f"`{c}`").try_cast(t) if c in names else F.lit(None).cast(t)).alias(c) for c, t in wanted.items()]))
+    table = reduce(DataFrame.unionByName, parts)
     return table.withColumns({c: parse_day(F.col(c)) for c in _DATES.get(name, [])}) if name in _DATES else table
 
 

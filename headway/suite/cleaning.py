@@ -75,6 +75,17 @@ def conform_schema(t):
     return c.conform(t.windows, _SLIM)
 
 
+_NUMBERS = StructType([
+    StructField("trip_id", LongType()), StructField("vehicle_id", IntegerType()), StructField("speed", DoubleType()), StructField("absent", DoubleType()),
+])
+
+
+@query("conform_misfits", """SELECT count(trip_id) - count(TRY_CAST(trip_id AS BIGINT)) AS trip_id, count(vehicle_id) - count(TRY_CAST(vehicle_id AS INTEGER)) AS vehicle_id,
+    CAST(0 AS BIGINT) AS speed, CAST(0 AS BIGINT) AS absent FROM pings""")
+def conform_misfits(t):
+    return c.misfits(t.pings, _NUMBERS)
+
+
 _FILL = """SELECT feed_entity_id, {temp} AS temperature_2m, {wind} AS wind_speed_10m FROM pings"""
 
 

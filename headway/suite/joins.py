@@ -8,6 +8,8 @@ from headway.operators.cleaning import WEATHER_DEFAULTS
 from headway.operators.products import stamped
 from headway.plans import features
 from headway.plans.model import rule_scorer
+from headway.session import scratch_path
+from headway.sources.tables import CATALOG, TableStore
 from headway.suite.registry import query
 from headway.suite.standins import haversine_sql
 
@@ -191,11 +193,28 @@ def forecast_lookup(t):
     return enrich.forecast_lookup(requests, forecast).select("feed_entity_id", "predicted_occupancy", "confidence")
 
 
-@query("combined_features", f"""SELECT f.trip_id, {_TS}, n_positions, round(lat_mean, 7) AS lat_mean, CAST(occupancy_mode AS BIGINT) AS occupancy_mode, temperature_2m, is_work_free, is_holiday
-    FROM flagged f LEFT JOIN weather_hour h ON f.window_start = h."timestamp" """.replace("strftime(window_start", "strftime(f.window_start"))
+_ROUNDED = ", ".join(f"round({c}, 7) AS {c}" for c in (
+    "avg_speed max_speed speed_std lat_min lat_max lat_mean lon_min lon_max lon_mean bearing_min bearing_max "
+    "temperature_2m precipitation rain snowfall wind_speed_10m wind_gusts_10m").split())
+_WHOLE = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in "n_positions occupancy_mode hour day_of_week relative_humidity_2m cloud_cover weather_code".split())
+
+
+@query("combined_features", f"""SELECT trip_id, {_TS}, vehicle_id, {_ROUNDED}, {_WHOLE}, CAST(date AS VARCHAR) AS date,
+    CAST(n_events IS NOT NULL AS BIGINT) AS has_nearby_event, coalesce(n_events, 0) AS num_nearby_traffic_events, severity AS nearby_event_severity,
+    roads AS affected_roads, is_work_free, is_red_day, is_day_before_holiday, is_holiday
+    FROM flagged LEFT JOIN (SELECT * EXCLUDE (date, hour), "timestamp" AS window_start FROM weather_hour) USING (window_start)
+    LEFT JOIN day_incident_sums USING (trip_id, window_start)""")
 def combined_features(t):
-    # hour windows lie in 2024 and the incidents in the 1990s: the radius join runs and finds nothing
-    wide = features.combined_features(t.windows, t.incidents, t.weather, t.holidays)
-    return wide.filter("has_nearby_event = 0").select(
-        "trip_id", "window_start", "n_positions", "lat_mean", "occupancy_mode", "temperature_2m", "is_work_free", "is_holiday"
-    )
+    return features.combined_features(t.windows, t.day_incidents, t.weather, t.holidays)
+
+
+@query("run_day_twice", """SELECT trip_id, strftime(date_trunc('minute', "timestamp"), '%Y-%m-%d %H:%M:%S') AS window_start, count(speed) AS n_positions,
+    "timestamp" >= TIMESTAMP '2024-01-16' AS second_run FROM pings GROUP BY 1, 2, 4""")
+def run_day_twice(t):
+    """The daily job over the first half of the month and then over the second, which returns its own days only."""
+    store, first = TableStore(t.spark, scratch_path(t.spark, "days")), F.col("timestamp") < F.lit("2024-01-16").cast("timestamp")
+    features.run_day(store, t.pings.filter(first), t.day_incidents, t.weather, t.holidays)
+    second = features.run_day(store, t.pings.filter(~first), t.day_incidents, t.weather, t.holidays).select("trip_id", "window_start", F.lit(True).alias("_s"))
+    every = store.read(CATALOG["combined_features_daily"]).join(second, ["trip_id", "window_start"], "left")
+    return every.select("trip_id", "window_start", "n_positions", F.coalesce("_s", F.lit(False)).alias("second_run"))
+

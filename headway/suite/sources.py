@@ -54,6 +54,18 @@ def flatten_positions_files(t):
     return pings.filter(F.col("vehicle_id").isNotNull()).groupBy("trip_id").agg(F.count("*").alias("n_pings"))
 
 
+@query("bad_records", """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, count(*) AS n_lines, count(*) FILTER (event_id % 9 = 0 OR event_id % 11 = 0) AS n_bad
+    FROM events GROUP BY 1""")
+def bad_records(t):
+    """Every ninth line is cut short, every eleventh has a text where a number belongs; none of them is lost."""
+    lines = landed_messages(t).withColumn("n", F.get_json_object("value", "$.entity[0].id").cast("bigint"))
+    cut = F.when(F.col("n") % 9 == 0, F.expr("left(value, length(value) - 3)")).when(
+        F.col("n") % 11 == 0, F.regexp_replace("value", r'"timestamp":\d+', '"timestamp":"soon"')).otherwise(F.col("value"))
+    path = scratch_path(t.spark, "feed-bad")
+    lines.select(cut.alias("value"), F.get_json_object("value", "$.date").alias("date")).hint("rebalance", "date").write.partitionBy("date").text(path)
+    return feeds.bad_records(feeds.read_feed_messages(t.spark, path)).select(F.col("date").cast("string").alias("date"), "n_lines", "n_bad")
+
+
 @query("hour_coverage", """SELECT CAST(d AS VARCHAR) AS date, 24 - count(*) FILTER (n IS NULL) AS hours_with_data, count(*) FILTER (n IS NULL) AS empty_hours,
     coalesce(string_agg(CASE WHEN n IS NULL THEN CAST(h AS VARCHAR) END, ',' ORDER BY h), '') AS missing_hours
     FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events WHERE value > 100) CROSS JOIN range(24) r(h)

@@ -212,6 +212,18 @@ class StandIns:
             (F.col("c_custkey") % 7 == 0).alias("valid_until_further_notice"),
         )
 
+    @cached_property
+    def day_incidents(self) -> DataFrame:
+        """The incidents again, in the month of the pings and around the middle of the box, where windows have their means."""
+        key = F.col("event_id").cast("bigint")
+        start = F.timestamp_seconds(F.lit(1704067200) + key * 37 % 30 * 86400)
+        days = F.when(key % 7 == 0, 1).otherwise(key % 10)
+        return self.incidents.withColumns({
+            "start_time": start, "end_time": F.timestamp_seconds(F.unix_timestamp(start) + days * 86400),
+            "latitude": F.lit(BOX_LAT + 0.18) + (key * 31 % 997) / 997 * F.lit(0.04),
+            "longitude": F.lit(BOX_LON + 0.18) + (key * 17 % 991) / 991 * F.lit(0.04),
+        })
+
     @cached_property
     def requests(self) -> DataFrame:
         """One lookup per customer: a place, a time of day and a trip."""
@@ -318,6 +330,18 @@ CTES = {
         c_custkey % 7 = 0 AS valid_until_further_notice FROM customer""",
     "requests": f"""SELECT c_custkey AS request_id, CAST(c_custkey AS VARCHAR) AS trip_id, {spread_sql('c_custkey', 31, 997, BOX_LAT)} AS lat,
         {spread_sql('c_custkey', 17, 991, BOX_LON)} AS lon, TIMESTAMP '2024-01-01' + to_minutes((c_custkey * 613 % 1440)::INTEGER) AS "at" FROM customer""",
+    "day_incidents": f"""SELECT * REPLACE (TIMESTAMP '2024-01-01' + to_days((k * 37 % 30)::INTEGER) AS start_time,
+        TIMESTAMP '2024-01-01' + to_days((k * 37 % 30 + CASE WHEN k % 7 = 0 THEN 1 ELSE k % 10 END)::INTEGER) AS end_time,
+        ({BOX_LAT + 0.18}::DOUBLE + (k * 31 % 997)::DOUBLE / 997 * 0.04::DOUBLE) AS latitude,
+        ({BOX_LON + 0.18}::DOUBLE + (k * 17 % 991)::DOUBLE / 991 * 0.04::DOUBLE) AS longitude) FROM (SELECT *, CAST(event_id AS BIGINT) AS k FROM incidents)""",
+    "near_day_incidents": f"""SELECT w.trip_id, w.window_start, i.* FROM windows w JOIN day_incidents i
+        ON w.window_start BETWEEN i.start_time AND i.end_time AND i.start_time <= i.end_time
+        WHERE {haversine_sql('w.lat_mean', 'w.lon_mean', 'i.latitude', 'i.longitude', 6371008.8)} <= 500""",
+    "day_incident_sums": """SELECT trip_id, window_start, CAST(sum(n) AS BIGINT) AS n_events, max(sev)::DOUBLE AS severity,
+        string_agg(affected_road, ',' ORDER BY first_start, first_event) AS roads
+        FROM (SELECT trip_id, window_start, affected_road, count(*) AS n, max(TRY_CAST(severity_code AS INTEGER)) AS sev,
+              min(start_time) AS first_start, arg_min(event_id, {'s': start_time, 'e': event_id}) AS first_event
+              FROM near_day_incidents GROUP BY 1, 2, 3) GROUP BY 1, 2""",
     "near_incidents": f"""SELECT w.trip_id, w.window_start, i.* FROM order_windows w JOIN incidents i
         ON w.window_start BETWEEN i.start_time AND i.end_time AND i.start_time <= i.end_time
         WHERE {haversine_sql('w.lat_mean', 'w.lon_mean', 'i.latitude', 'i.longitude', 6371008.8)} <= 500""",

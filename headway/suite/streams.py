@@ -16,7 +16,8 @@ class _StreamIns(StandIns):
     """The same ping view over a file stream."""
 
     def table(self, name: str):
-        return sw.read_stream(self.spark, self.sf_dir, SCHEMAS[name], f"{name}.parquet")
+        # a pattern, as a stream takes a plain path for a folder; this one fits a file and a folder of that name
+        return sw.read_stream(self.spark, f"{self.sf_dir}/{name}.parque[t]", SCHEMAS[name])
 
 
 def hour_windows(t):
@@ -26,7 +27,7 @@ def hour_windows(t):
 def _drained(t, stream):
     path = scratch_path(t.spark, "stream")
     sw.drain_to_files(stream, path, scratch_path(t.spark, "stream-state"))
-    return t.spark.read.parquet(path)
+    return t.spark.read.schema(stream.schema).parquet(path)
 
 
 @query("stream_window_1h", f"""SELECT trip_id, {_TS}, vehicle_id, round(avg_speed, 7) AS avg_speed, CAST(n_positions AS BIGINT) AS n_positions, round(lat_mean, 7) AS lat_mean,
