@@ -79,12 +79,13 @@ class StandIns:
 
     @cached_property
     def weather(self) -> DataFrame:
-        """Two stations that report per hour with an error or sign-up event; some hours have none."""
+        """Two stations that report from all events; those of every eleventh hour count for the hour before, so it has no report."""
         k = F.get_json_object("props", "$.k").cast("int")
-        hour = F.date_trunc("hour", "ts")
+        seconds = F.unix_timestamp(F.date_trunc("hour", "ts"))
+        hour = F.timestamp_seconds(seconds - F.when(F.floor(seconds / 3600) % 11 == 0, 3600).otherwise(0))
         return (
-            self.table("events").filter(F.col("event_type").isin("error", "signup"))
-            .groupBy(hour.alias("timestamp"), F.when(F.col("event_type") == "error", 58.0).otherwise(58.5).alias("latitude"))
+            self.table("events")
+            .groupBy(hour.alias("timestamp"), F.when(F.col("event_id") % 2 == 0, 58.0).otherwise(58.5).alias("latitude"))
             .agg(
                 F.max("value").alias("temperature_2m"),
                 F.count("*").cast("double").alias("relative_humidity_2m"),
@@ -101,10 +102,10 @@ class StandIns:
 
     @cached_property
     def holidays(self) -> DataFrame:
-        """Dates with a large event; the others have no holiday row."""
-        d = F.weekday("date")
+        """Every third date, found from all events; the others have no holiday row."""
+        d, day = F.weekday("date"), F.to_date("ts")
         return (
-            self.table("events").filter("value > 250").select(F.to_date("ts").alias("date")).distinct()
+            self.table("events").select(F.date_sub(day, F.unix_date(day) % 3).alias("date")).distinct()
             .select(
                 "date", (d >= 5).alias("is_work_free"), (d == 6).alias("is_red_day"),
                 (d == 4).alias("is_day_before_holiday"), F.when(d == 6, "Sunday").alias("holiday_name"),
@@ -279,16 +280,17 @@ CTES = {
         LEFT JOIN (SELECT trip_id, window_start, occupancy_status FROM (SELECT trip_id, date_trunc('hour', "timestamp") AS window_start, occupancy_status,
                 row_number() OVER (PARTITION BY trip_id, date_trunc('hour', "timestamp") ORDER BY count(*) DESC, occupancy_status) AS rn
                 FROM pings WHERE occupancy_status IS NOT NULL GROUP BY 1, 2, 3) WHERE rn = 1) o USING (trip_id, window_start)""",
-    "weather": f"""SELECT date_trunc('hour', ts) AS "timestamp", CASE WHEN event_type = 'error' THEN 58.0 ELSE 58.5 END::DOUBLE AS latitude,
+    "weather": f"""SELECT reported AS "timestamp", CASE WHEN event_id % 2 = 0 THEN 58.0 ELSE 58.5 END::DOUBLE AS latitude,
         max(value) AS temperature_2m, count(*)::DOUBLE AS relative_humidity_2m, min(value) AS precipitation, min(value) / 2 AS rain,
         greatest(max(value) - 100, 0.0::DOUBLE) AS snowfall, max({_K})::DOUBLE AS cloud_cover, max(value) - min(value) AS wind_speed_10m,
         max(value) * 1.5::DOUBLE AS wind_gusts_10m, min({_K})::BIGINT AS weather_code, 15.6::DOUBLE AS longitude,
-        CAST(date_trunc('hour', ts) AS DATE) AS date, CAST(hour(date_trunc('hour', ts)) AS BIGINT) AS hour
-        FROM events WHERE event_type IN ('error', 'signup') GROUP BY 1, 2, 13, 14""",
+        CAST(reported AS DATE) AS date, CAST(hour(reported) AS BIGINT) AS hour
+        FROM (SELECT *, date_trunc('hour', ts) - to_hours(CASE WHEN epoch(date_trunc('hour', ts))::BIGINT // 3600 % 11 = 0 THEN 1 ELSE 0 END) AS reported FROM events)
+        GROUP BY 1, 2, 13, 14""",
     "weather_hour": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "timestamp" ORDER BY latitude) AS rn FROM weather) WHERE rn = 1""",
     "holidays": """SELECT date, isodow(date) >= 6 AS is_work_free, isodow(date) = 7 AS is_red_day, isodow(date) = 5 AS is_day_before_holiday,
         CASE WHEN isodow(date) = 7 THEN 'Sunday' END AS holiday_name
-        FROM (SELECT DISTINCT CAST(ts AS DATE) AS date FROM events WHERE value > 250)""",
+        FROM (SELECT DISTINCT CAST(ts AS DATE) - ((CAST(ts AS DATE) - DATE '1970-01-01') % 3)::INTEGER AS date FROM events)""",
     "flagged": """SELECT w.*, coalesce(h.is_work_free, false) AS is_work_free, coalesce(h.is_red_day, false) AS is_red_day,
         coalesce(h.is_day_before_holiday, false) AS is_day_before_holiday, h.holiday_name IS NOT NULL AS is_holiday
         FROM windows w LEFT JOIN holidays h USING (date)""",
