@@ -10,7 +10,7 @@ from headway.plans import inference, model
 from headway.suite.products import last_days, stop_box, today
 from headway.suite.registry import query
 
-TREES = 20
+TREES = 200
 
 
 def labelled(t):

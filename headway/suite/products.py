@@ -100,11 +100,11 @@ _COLOR = "CASE pred WHEN 1 THEN '#84cc16' WHEN 2 THEN '#eab308' WHEN 3 THEN '#f9
 @query("slot_geojson", f"""SELECT CAST(hour AS BIGINT) AS hour, CAST(weekday AS BIGINT) AS weekday, '{{"type":"FeatureCollection","features":[' || string_agg(
     '{{"type":"Feature","properties":{{"color":"' || {_COLOR} || '","fillOpacity":0.35,"pred_class":' || pred || '}},"geometry":{{"type":"Polygon","coordinates":[[' || {_RING} || ']]}}}}',
     ',' ORDER BY lat_id, lon_id) || ']}}' AS geojson
-    FROM (SELECT hour, weekday, lat_id, lon_id, {_RULE} AS pred, min_lat + lat_id * ((max_lat - min_lat) / 14) AS lat, min_lon + lon_id * ((max_lon - min_lon) / 19) AS lon,
-          (max_lat - min_lat) / 14 AS lat_step, (max_lon - min_lon) / 19 AS lon_step
-          FROM ({_MAP_FLAGS}) CROSS JOIN ({_BOX}) CROSS JOIN range(15) a(lat_id) CROSS JOIN range(20) b(lon_id)) GROUP BY 1, 2""")
+    FROM (SELECT hour, weekday, lat_id, lon_id, {_RULE} AS pred, min_lat + lat_id * ((max_lat - min_lat) / 39) AS lat, min_lon + lon_id * ((max_lon - min_lon) / 49) AS lon,
+          (max_lat - min_lat) / 39 AS lat_step, (max_lon - min_lon) / 49 AS lon_step
+          FROM ({_MAP_FLAGS}) CROSS JOIN ({_BOX}) CROSS JOIN range(40) a(lat_id) CROSS JOIN range(50) b(lon_id)) GROUP BY 1, 2""")
 def slot_geojson(t):
-    cells = inference.grid_forecast(last_days(t), stop_box(t), t.weather, t.holidays, lat_steps=15, lon_steps=20)
+    cells = inference.grid_forecast(last_days(t), stop_box(t), t.weather, t.holidays, lat_steps=40, lon_steps=50)
     return products.slot_geojson(cells)
 
 
