@@ -10,8 +10,9 @@ copies. Cells do not wrap at the date line.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.clock import clock_seconds, within_seconds
@@ -171,27 +172,21 @@ def incident_features(windows: DataFrame, incidents: DataFrame, radius_m: float
 _VISIT_COLUMNS = ["trip_id", "route_short_name", "route_long_name", "trip_headsign", "stop_name", "stop_headsign"]
 
 
-def _place_visits(stops: DataFrame, payload: list[str]) -> DataFrame:
-    """Visits that can win for a target on a full minute: first and last arrival per place and minute.
-
-    Every other arrival of that minute is further away from any full minute.
-    A busy terminal thereby shrinks to two rows per minute of the clock.
-    """
+def _visit_ends(stops: DataFrame, payload: list[str], clock_unit: int) -> DataFrame:
+    """First and last visit of every place in each unit of the clock; `last` is null where it is the first again."""
     rest = [c for c in payload if c != "trip_id"]
     row = ["trip_id", "stop_sequence", *rest]
     clock = F.col("_arrival")
     ends = (
         stops.withColumn("_arrival", clock_seconds(F.col("arrival_time")))
-        .groupBy("stop_lat", "stop_lon", F.floor(clock / 60).alias("_minute"))
+        .groupBy("stop_lat", "stop_lon", F.floor(clock / clock_unit).alias("_unit"))
         .agg(
-            F.min(F.struct(clock.alias("_rank"), *row)).alias("first"),
-            F.min(F.struct((-clock).alias("_rank"), *row)).alias("last"),
+            F.min(F.struct(clock.alias("_rank"), *row)).alias("_first"),
+            F.min(F.struct((-clock).alias("_rank"), *row)).alias("_last"),
         )
     )
-    visits = ends.select("stop_lat", "stop_lon", F.inline(F.array("first", "last"))).withColumn(
-        "_arrival", F.abs("_rank")
-    )
-    return visits.withColumn("_clock_hour", F.floor(clock / 3600)).drop("_rank")
+    # equal arrivals have one winner at both ends, which need not travel twice
+    return ends.withColumn("_last", F.when(F.col("_last._rank") != -F.col("_first._rank"), F.col("_last")))
 
 
 def nearest_trip(requests: DataFrame, stops: DataFrame, max_radius_m: float = 500.0) -> DataFrame:
@@ -201,56 +196,87 @@ def nearest_trip(requests: DataFrame, stops: DataFrame, max_radius_m: float = 50
     that remain, stops served within an hour of the request beat the others;
     then distance, arrival gap, trip and sequence decide.
 
-    On-time visits are found by an equi-join on place and clock hour. Only
-    requests that end without one look at other visits, and then only at
-    those of their closest place.
+    The place is settled first: each place carries the first and last arrival
+    of its clock hours, which tell whether it is served in time, so no visit
+    is joined to a place that loses. Only the winning place of a request then
+    meets visits: both ends of the other hours, and the ends of each minute of
+    the request's own hour. Every other visit is further away in time.
     """
     payload = [c for c in _VISIT_COLUMNS if c in stops.columns]
     place = ["stop_lat", "stop_lon"]
     target_s = F.hour("at") * 3600 + F.minute("at") * 60
+    target, hour = F.col("_target"), F.floor(F.col("_target") / 3600)
     wanted = requests.select("request_id", "lat", "lon", target_s.alias("_target"))
-    # three passes read the pairs of requests and distinct places
-    near = written(
-        radius_pairs(wanted, stops.select(*place).distinct(), max_radius_m * 2, ("lat", "lon"), tuple(place))
-        .select("request_id", "_target", *place, "distance_m"),
-        "near-places",
+
+    hours = _visit_ends(stops, payload, 3600)
+    last_s = F.coalesce(-F.col("_last._rank"), F.col("_first._rank"))
+    # one short entry per clock hour, whatever the number of visits
+    served = hours.groupBy(*place).agg(
+        F.collect_list(F.struct(F.col("_first._rank").alias("early"), last_s.alias("late"))).alias("_served")
     )
-    visits = _place_visits(stops, payload)
-    gap = F.coalesce(F.abs(F.col("_arrival") - F.col("_target")), F.lit(2**31 - 1))
-    winner = F.struct(*payload, "distance_m")
-    outside = F.when(F.col("distance_m") <= max_radius_m, 0).otherwise(1)
-
-    hour = F.floor(F.col("_target") / 3600)
-    timely = (
-        near.withColumn("_clock_hour", F.explode(F.sequence(hour - 1, hour + 1)))
-        .join(visits, [*place, "_clock_hour"])
-        .filter(within_seconds(F.col("_arrival"), F.col("_target")))
-        .groupBy("request_id")
-        .agg(
-            F.min(outside).alias("_outside"),
-            F.min_by(winner, F.struct(outside, "distance_m", gap, "trip_id", "stop_sequence")).alias("_best"),
-        )
+
+    def in_time(ends: Column) -> Column:
+        # visits of the own hour are always in time, of other hours the nearer end is
+        own = F.coalesce(F.floor(ends["early"] / 3600) == hour, F.lit(False))
+        return own | within_seconds(ends["early"], target) | within_seconds(ends["late"], target)
+
+    tier = F.when(F.col("distance_m") <= max_radius_m, 0).otherwise(2) + F.when(
+        F.exists("_served", in_time), 0
+    ).otherwise(1)
+    near = radius_pairs(wanted, served, max_radius_m * 2, ("lat", "lon"), tuple(place))
+    ranked = near.select("request_id", "_target", *place, "distance_m", tier.alias("_tier"))
+    # rank keeps places that tie; losers are dropped before the shuffle
+    order = Window.partitionBy("request_id").orderBy("_tier", "distance_m")
+    chosen = ranked.withColumn("_rank", F.rank().over(order)).filter("_rank = 1").drop("_rank", "_tier")
+
+    ends = F.filter(F.array("_first", "_last"), F.isnotnull)
+    other_hours = (
+        chosen.join(hours, place)
+        .filter(~F.coalesce(F.col("_unit") == hour, F.lit(False)))
+        .select("request_id", "_target", "distance_m", F.explode(ends).alias("_visit"))
     )
-    closest = near.groupBy("request_id").agg(F.min("distance_m").alias("distance_m"))
-    chosen = closest.join(timely, "request_id", "left")
-    has_inner = F.col("distance_m") <= max_radius_m
-    settled = F.col("_best").isNotNull() & ((F.col("_outside") == 0) | ~has_inner)
-    late = (
-        chosen.filter(~settled).select("request_id", "distance_m")
-        .join(near, ["request_id", "distance_m"])
-        .join(visits, place)
-        .groupBy("request_id")
-        .agg(F.min_by(winner, F.struct(gap, "trip_id", "stop_sequence")).alias("_best"))
+    minutes = _visit_ends(stops, payload, 60).withColumn("_hour", F.floor(F.col("_unit") / 60))
+    own_hour = (
+        chosen.withColumn("_hour", hour).join(minutes, [*place, "_hour"])
+        .select("request_id", "_target", "distance_m", F.explode(ends).alias("_visit"))
+    )
+    gap = F.coalesce(F.abs(F.abs(F.col("_visit._rank")) - target), F.lit(2**31 - 1))
+    best = (
+        other_hours.unionByName(own_hour)
+        .groupBy("request_id", "distance_m")
+        .agg(F.min_by("_visit", F.struct(gap, F.col("_visit.trip_id"), F.col("_visit.stop_sequence"))).alias("_best"))
     )
-    best = chosen.filter(settled).select("request_id", "_best").unionByName(late)
     renamed = {"stop_name": "closest_stop", "stop_headsign": "closest_stop_headsign"}
     return best.select(
         "request_id",
         *[F.col(f"_best.{c}").alias(renamed.get(c, c)) for c in payload],
-        metres_rounded(F.col("_best.distance_m")).alias("distance_m"),
+        metres_rounded(F.col("distance_m")).alias("distance_m"),
     )
 
 
+def nearest_place(
+    requests: DataFrame, places: DataFrame, max_radius_m: float = 5000.0, first_radius_m: float = 50.0
+) -> DataFrame:
+    """Distance from each request (request_id, lat, lon) to its nearest place; none beyond the radius.
+
+    The radius doubles until a request has met a place; only the requests that
+    have not go on. A request is thereby compared with the few places of the
+    circle in which it finds its first, not with all within the widest radius.
+    Places (stop_lat, stop_lon) of equal position count once.
+    """
+    spots = written(places.select("stop_lat", "stop_lon").distinct(), "places")
+    left = written(requests.select("request_id", "lat", "lon"), "requests")
+    found, radius = [], min(first_radius_m, max_radius_m)
+    while True:
+        pairs = radius_pairs(left, spots, radius, ("lat", "lon"), ("stop_lat", "stop_lon"))
+        # each round feeds the answer and the next round's requests
+        found.append(written(pairs.groupBy("request_id").agg(F.min("distance_m").alias("distance_m")), "nearest"))
+        if radius >= max_radius_m:
+            return reduce(DataFrame.unionByName, found)
+        left = left.join(found[-1], "request_id", "left_anti")
+        radius = min(radius * 2, max_radius_m)
+
+
 def closest_stop(requests: DataFrame, stops: DataFrame) -> DataFrame:
     """For each request (request_id, trip_id, lat, lon) the nearest stop of that trip."""
     joined = requests.join(stops, "trip_id")

@@ -133,17 +133,19 @@ _NEAREST = f"""
     WITH pl AS (SELECT DISTINCT stop_lat, stop_lon FROM stops JOIN stop_times USING (stop_id)),
     nr AS (SELECT request_id, r."at" AS t_at, stop_lat, stop_lon, {haversine_sql('r.lat', 'r.lon', 'p.stop_lat', 'p.stop_lon', 6371000.0)} AS d
            FROM requests r JOIN pl p ON abs(r.lat - p.stop_lat) < 0.01 AND abs(r.lon - p.stop_lon) < 0.02),
-    c AS (SELECT request_id, d, trip_id, stop_sequence, stop_name, arrival_s, abs(arrival_s - (hour(t_at) * 3600 + minute(t_at) * 60)) AS gap
+    c AS (SELECT request_id, d, trip_id, stop_sequence, stop_name, stop_headsign, arrival_s, abs(arrival_s - (hour(t_at) * 3600 + minute(t_at) * 60)) AS gap
           FROM nr JOIN stops USING (stop_lat, stop_lon) JOIN stop_times USING (stop_id) WHERE d <= 1000),
     k AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY (CASE WHEN d <= 500 THEN 0 ELSE 2 END) + (CASE WHEN gap <= 3600 THEN 0 ELSE 1 END),
           d, gap, trip_id, stop_sequence) AS rn FROM c)
-    SELECT request_id, trip_id, stop_name AS closest_stop, CAST(round_even(d, 0) AS BIGINT) AS distance_m FROM k WHERE rn = 1"""
+    SELECT request_id, trip_id, trip_headsign, stop_name AS closest_stop, stop_headsign AS closest_stop_headsign, route_short_name, route_long_name,
+    CAST(round_even(d, 0) AS BIGINT) AS distance_m FROM k LEFT JOIN trips USING (trip_id) LEFT JOIN routes USING (route_id) WHERE rn = 1"""
 
 
 @query("nearest_trip", _NEAREST)
 def nearest_trip(t):
-    found = spatial.nearest_trip(t.requests, t.stop_times.join(t.stops, "stop_id"))
-    return found.select("request_id", "trip_id", "closest_stop", "distance_m")
+    fact = enrich.trip_stops_fact(t.stop_times, t.stops, check=False)
+    dim = enrich.trip_dim(t.trips, t.routes, t.agency, check=False)
+    return spatial.nearest_trip(t.requests, enrich.many_to_one(fact, dim, ["trip_id"], "trips", False))
 
 
 @query("closest_stop", f"""SELECT request_id, stop_name, stop_headsign FROM requests LEFT JOIN (SELECT request_id, stop_name, stop_headsign FROM (SELECT request_id, stop_name, stop_headsign,
@@ -158,8 +160,7 @@ def closest_stop(t):
     WHERE {haversine_sql('r.lat', 'r.lon', 's.stop_lat', 's.stop_lon', 6371000.0)} <= 5000 GROUP BY 1""")
 def top1_nearest(t):
     """Distance to the closest stop of all, for requests with a stop within 5 km."""
-    near = spatial.radius_pairs(t.requests, t.stops, 5000.0, ("lat", "lon"), ("stop_lat", "stop_lon"))
-    return near.groupBy("request_id").agg(F.round(F.min("distance_m"), 3).alias("distance_m"))
+    return spatial.nearest_place(t.requests, t.stops).withColumn("distance_m", F.round("distance_m", 3))
 
 
 @query("nearest_hour_weather", """WITH tg AS (SELECT event_id, date_trunc('hour', ts) AS h FROM events),

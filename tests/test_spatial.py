@@ -155,6 +155,26 @@ def test_nearest_trip_equals_brute_force_at_busy_terminal(spark):
         assert got[i] == min(stops, key=order)[0]
 
 
+def test_nearest_place_equals_brute_force(spark):
+    """Requests with a place at hand, far off, at the edge and none within the radius; many places share a position."""
+    import random
+
+    dice = random.Random(8)
+    places = [(58.0 + dice.uniform(0, 0.01), 15.0 + dice.uniform(0, 0.02)) for _ in range(80)] * 3 + [(58.5, 15.5), (None, 15.0)]
+    requests = [(i, 58.0 + dice.uniform(-0.06, 0.06), 15.0 + dice.uniform(-0.1, 0.1)) for i in range(80)]
+    requests += [(100, 58.5, 15.5), (101, 59.5, 15.5), (102, None, 15.0)]
+    r = spark.createDataFrame(requests, "request_id int, lat double, lon double")
+    p = spark.createDataFrame(places, "stop_lat double, stop_lon double")
+    got = {x["request_id"]: x["distance_m"] for x in spatial.nearest_place(r, p).collect()}
+    want = {}
+    for i, lat, lon in requests:
+        if lat is not None:
+            best = min(metres(lat, lon, a, b, 6_371_000.0) for a, b in places[:-1])
+            if best <= 5000:
+                want[i] = pytest.approx(best, abs=1e-6)
+    assert got == want and 10 < len(want) < 80
+
+
 def test_closest_stop_of_trip(spark):
     stops = spark.createDataFrame([stop("a", 1, "08:00:00", 900, "x"), stop("a", 2, "08:00:00", 300, "y"), stop("b", 1, "08:00:00", 1, "z")], STOP)
     requests = spark.createDataFrame([(1, "a", 58.41, 15.62), (2, "none", 58.41, 15.62)], "request_id int, trip_id string, lat double, lon double")
