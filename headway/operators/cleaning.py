@@ -160,14 +160,15 @@ def active_on_day(df: DataFrame, day_start, day_end) -> DataFrame:
 def day_or_latest(df: DataFrame, as_of, date_column: str = "date") -> DataFrame:
     """Rows of the given day, or of the newest day when that day has none.
 
-    The day is settled first by a one-row aggregate, so the data pass is a
-    literal date filter that prunes partitions.
+    The wanted day is tried first with a literal filter that prunes
+    partitions; only without it is the newest day looked up, from the date
+    column alone.
     """
-    day = F.lit(as_of).cast("date")
-    chosen = df.agg(
-        F.coalesce(F.max(F.when(F.col(date_column) == day, F.col(date_column))), F.max(date_column)).alias("d")
-    ).first()["d"]
-    return df.filter(F.col(date_column) == F.lit(chosen))
+    wanted = df.filter(F.col(date_column) == F.lit(as_of).cast("date"))
+    if not wanted.isEmpty():
+        return wanted
+    newest = df.agg(F.max(date_column)).first()[0]
+    return df.filter(F.col(date_column) == F.lit(newest))
 
 
 def weather_range_end(end, as_of) -> Column:

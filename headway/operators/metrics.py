@@ -181,10 +181,15 @@ def hourly_comparison(monitor: DataFrame) -> DataFrame:
 
 def version_filter(monitor: DataFrame, current: int = CURRENT_MODEL_VERSION, chosen: int | None = None) -> DataFrame:
     """Rows of the chosen version; by default the current one, or the newest when it is absent."""
-    if chosen is None:
-        v = F.col("model_version")
-        chosen = monitor.agg(F.coalesce(F.max(F.when(v == current, v)), F.max(v)).alias("v")).first()["v"]
-    return monitor.filter(F.col("model_version") == F.lit(chosen))
+    version = F.col("model_version")
+    if chosen is not None:
+        return monitor.filter(version == F.lit(chosen))
+    # stops at the first row of the current version
+    rows = monitor.filter(version == F.lit(current))
+    if not rows.isEmpty():
+        return rows
+    newest = monitor.agg(F.max(version)).first()[0]
+    return monitor.filter(version == F.lit(newest))
 
 
 def day_delta(daily: DataFrame) -> DataFrame:
@@ -249,9 +254,10 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def available_dates(windows: DataFrame, last: int = 5) -> DataFrame:
-    """The newest dates of the table with their row counts."""
+    """The newest dates of the table with their row counts; a stored window table counts by its partition column."""
+    day = F.col("date") if "date" in windows.columns else F.to_date("window_start")
     return (
-        windows.groupBy(F.to_date("window_start").alias("date")).agg(F.count("*").alias("n_rows"))
+        windows.groupBy(day.alias("date")).agg(F.count("*").alias("n_rows"))
         .orderBy(F.col("date").desc()).limit(last)
     )
 

@@ -3,11 +3,19 @@
 A table is a folder <root>/<name>_v<version>, partitioned by a value that its
 key determines. An upsert therefore touches only the partitions its batch
 falls into, and running it twice gives the same table.
+
+Every write goes to a new batch= folder and counts only once a single small
+file in <table>.commits says which partitions it replaces. A job that dies
+before that leaves the table as it was. A table has one writer at a time;
+readers are not disturbed, because replaced folders stay until someone
+removes them.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import re
+import uuid
+from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,15 +85,39 @@ class TableStore:
     def path(self, spec: TableSpec, version: int | None = None) -> str:
         return f"{self.root}/{spec.name}_v{version or spec.version}"
 
-    def read(self, spec: TableSpec, version: int | None = None) -> DataFrame | None:
-        """The table, or None when nothing was written yet."""
+    def _commits(self, spec: TableSpec) -> DataFrame | None:
+        """Log of the table: commit number, partition value as text ('' for null), batch folder that holds it."""
         try:
-            return self.spark.read.parquet(self.path(spec, version))
+            return self.spark.read.schema("commit bigint, value string, batch string").parquet(self.path(spec) + ".commits")
         except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
 
+    def _live(self, spec: TableSpec) -> dict[str, list[str]]:
+        """Batch folders and the partition values that readers take from each; one entry per partition."""
+        log = self._commits(spec)
+        live: dict[str, list[str]] = {}
+        if log is not None:
+            for value, batch in log.groupBy("value").agg(F.max_by("batch", "commit")).orderBy("value").collect():
+                live.setdefault(batch, []).append(value)
+        return live
+
+    def partitions(self, spec: TableSpec) -> list[str]:
+        """Partition values of the table as text, from its log alone."""
+        return sorted(value for values in self._live(spec).values() for value in values)
+
+    def read(self, spec: TableSpec, version: int | None = None) -> DataFrame | None:
+        """The table, or None when nothing was written yet."""
+        spec = replace(spec, version=version or spec.version)
+        live = self._live(spec)
+        if not live:
+            return None
+        # exactly the current folders: replaced ones are neither listed nor opened
+        path = self.path(spec)
+        folders = [f"{path}/batch={b}/{spec.partition}={_folder_name(v)}" for b, values in live.items() for v in values]
+        return self.spark.read.option("basePath", path).parquet(*folders).drop("batch")
+
     def newest_with_rows(self, spec: TableSpec, versions: list[int]) -> DataFrame | None:
         """First of the given versions that holds rows."""
         for version in versions:
@@ -97,9 +129,9 @@ class TableStore:
     def upsert(self, spec: TableSpec, batch: DataFrame) -> list:
         """Insert or replace by key; the later event time wins, then the batch. Returns the partition values of the batch.
 
-        Only partitions the batch touches are read and rewritten; the write
-        stages its files and swaps whole partitions at commit, so a repeated
-        or restarted run ends in the same table.
+        Only partitions the batch touches are read and rewritten. They are
+        switched by one commit, so a run that stops at any point leaves the old
+        table, and a repeated run ends in the same table.
         """
         # the batch feeds several passes: write it once instead of recomputing it
         staged = written(batch.withColumn(spec.partition, F.expr(spec.partition_expr)), spec.folder)
@@ -108,9 +140,9 @@ class TableStore:
         current = self.read(spec)
         merged = staged.withColumn("_fresh", F.lit(1))
         # partition values of one batch, a few days as a rule: literals prune the scan
-        touched = sorted(row[0] for row in staged.select(spec.partition).distinct().collect())
+        touched = [row[0] for row in staged.select(spec.partition).distinct().orderBy(spec.partition).collect()]
         if current is not None:
-            old = current.filter(F.col(spec.partition).isin(touched)).withColumn("_fresh", F.lit(0))
+            old = current.filter(_holds(spec.partition, touched)).withColumn("_fresh", F.lit(0))
             merged = merged.unionByName(old, allowMissingColumns=True)
         order: list[Column] = [F.col(spec.event_time).desc_nulls_last()] if spec.event_time else []
         rest = [c for c in staged.columns if c not in spec.keys]
@@ -121,21 +153,67 @@ class TableStore:
 
     def write(self, spec: TableSpec, df: DataFrame) -> None:
         """Replace the partitions that occur in the frame."""
-        write_partitioned(df, self.path(spec), spec.partition)
+        self._switch(spec, self._stage(spec, df))
+
+    def _stage(self, spec: TableSpec, df: DataFrame) -> str:
+        """Write a batch folder that no reader sees yet."""
+        batch = f"b{uuid.uuid4().hex}"
+        write_partitioned(df, f"{self.path(spec)}/batch={batch}", spec.partition)
+        return batch
+
+    def _switch(self, spec: TableSpec, batch: str) -> None:
+        """Make the partitions of a batch folder current, by one file that appears whole or not at all."""
+        log = self._commits(spec)
+        last = 0 if log is None else log.agg(F.coalesce(F.max("commit"), F.lit(0))).first()[0]
+        path = self.path(spec)
+        try:
+            rows = self.spark.read.option("basePath", path).parquet(f"{path}/batch={batch}")
+        except AnalysisException as error:
+            if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # an empty frame has no partitions
+                return
+            raise
+        # no data column is read for the partition values
+        values = rows.select(_as_text(spec.partition).alias("value")).distinct()
+        entry = values.select(F.lit(last + 1).cast("bigint").alias("commit"), "value", F.lit(batch).alias("batch"))
+        entry.coalesce(1).write.mode("append").parquet(path + ".commits")
 
     def rows_per_day(self, spec: TableSpec, instant: str, day=None, last: int = 5) -> DataFrame:
-        """Row counts of the newest days, and of the wanted day even when it has none."""
-        table = self.read(spec)
-        counts = table.groupBy(F.to_date(instant).alias("date")).agg(F.count("*").alias("n_rows"))
+        """Row counts of the newest days, and of the wanted day even when it has none.
+
+        In a table partitioned by that day, the log names the days, and only their partitions are counted.
+        """
+        table, date = self.read(spec), F.to_date(instant)
+        wanted_day = F.lit(day).cast("date")
+        if spec.partition_expr == f"to_date({instant})":
+            date = F.col(spec.partition)
+            newest = [F.lit(v).cast("date") for v in self.partitions(spec) if v][-last:]
+            table = table.filter(date.isin(*newest, *([] if day is None else [wanted_day])))
+        counts = table.groupBy(date.alias("date")).agg(F.count("*").alias("n_rows"))
         recent = counts.orderBy(F.col("date").desc()).limit(last)
         if day is None:
             return recent
-        wanted = table.filter(F.to_date(instant) == F.lit(day).cast("date")).agg(
-            F.lit(day).cast("date").alias("date"), F.count("*").alias("n_rows")
-        )
+        wanted = table.filter(date == wanted_day).agg(wanted_day.alias("date"), F.count("*").alias("n_rows"))
         return recent.unionByName(wanted).distinct()
 
 
+# Characters that partition folders escape, and the folder name of null.
+_ESCAPED = r"""[\x00-\x1f\x7f"#%'*/:=?\\{\[\]^]"""
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _folder_name(value: str) -> str:
+    return re.sub(_ESCAPED, lambda c: f"%{ord(c[0]):02X}", value) or _NULL_FOLDER
+
+
+def _holds(partition: str, values: list) -> Column:
+    known = F.col(partition).isin([v for v in values if v is not None])
+    return known | F.col(partition).isNull() if None in values else known
+
+
+def _as_text(partition: str) -> Column:
+    return F.coalesce(F.col(partition).cast("string"), F.lit(""))
+
+
 def _orderable(df: DataFrame, column: str) -> bool:
     return df.schema[column].dataType.typeName() not in ("map", "variant")
 

@@ -168,6 +168,38 @@ def test_upsert_gate_and_untouched_partitions(spark):
     assert "PartitionFilters: [isnotnull(date" in plan
 
 
+def test_a_run_that_stops_before_the_switch_keeps_the_old_rows(spark, monkeypatch):
+    store, spec = TableStore(spark, scratch_path(spark, "t")), CATALOG["vehicle_trip_agg_fg"]
+    row = spark.sql("select 'a' trip_id, timestamp'2024-01-01 10:00:00' window_start, 1 n")
+    store.upsert(spec, row)
+    newer = row.unionAll(spark.sql("select 'b', timestamp'2024-01-01 11:00:00', 2"))
+    with monkeypatch.context() as broken:
+        broken.setattr(TableStore, "_switch", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            store.upsert(spec, newer)
+    assert [(r["trip_id"], r["n"]) for r in store.read(spec).collect()] == [("a", 1)]
+    store.upsert(spec, newer)
+    assert sorted((r["trip_id"], r["n"]) for r in store.read(spec).collect()) == [("a", 1), ("b", 2)]
+
+
+def test_odd_partition_values(spark):
+    store, spec = TableStore(spark, scratch_path(spark, "t")), CATALOG["static_trip_info_fg"]
+    rows = spark.sql("select * from values ('a', 'x=1/2 %', 1), ('b', null, 2), ('c', '2024-01-01', 3) t(trip_id, feed_date, n)")
+    store.upsert(spec, rows)
+    store.upsert(spec, rows.filter("n <> 3").withColumn("n", F.col("n") + 10))
+    assert sorted(r["n"] for r in store.read(spec).collect()) == [3, 11, 12]
+
+
+def test_rows_per_day_counts_only_the_days_it_returns(spark):
+    store, spec = TableStore(spark, scratch_path(spark, "t")), CATALOG["vehicle_trip_agg_fg"]
+    days = spark.sql("select 'a' trip_id, timestampadd(DAY, id, timestamp'2024-01-01 10:00:00') window_start from range(9)")
+    store.upsert(spec, days)
+    counted = store.rows_per_day(spec, "window_start", last=2)
+    assert sorted((r["date"].day, r["n_rows"]) for r in counted.collect()) == [(8, 1), (9, 1)]
+    scan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in scan and "ReadSchema: struct<>" in scan
+
+
 def test_slot_map_round_trip(spark):
     df = spark.createDataFrame([(5, 0, '{"type":"FeatureCollection"}'), (23, 6, "x")], "hour int, weekday int, geojson string")
     assert {tuple(r) for r in map_to_slots(slots_to_map(df)).collect()} == {tuple(r) for r in df.collect()}
