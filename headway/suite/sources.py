@@ -111,15 +111,20 @@ def gtfs_stop_times_scan(t):
 @query("shapes_normalise", """SELECT CAST(l_orderkey AS VARCHAR) AS shape_id, CAST(l_linenumber AS BIGINT) AS shape_pt_sequence, round(l_tax + 58, 7) AS shape_pt_lat, round(l_discount + 15, 7) AS shape_pt_lon,
     CASE WHEN l_returnflag <> 'R' THEN l_extendedprice END AS shape_dist_traveled FROM lineitem""")
 def shapes_normalise(t):
+    return timetable.normalise_shapes(raw_shapes(t))
+
+
+def raw_shapes(t):
+    """Shape points as text, as the file has them."""
+
     def text(c):
         return F.col(c).cast("string")
 
-    raw = t.table("lineitem").select(
+    return t.table("lineitem").select(
         text("l_orderkey").alias("shape_id"), text("l_linenumber").alias("shape_pt_sequence"),
         (F.col("l_tax") + 58).cast("string").alias("shape_pt_lat"), (F.col("l_discount") + 15).cast("string").alias("shape_pt_lon"),
         F.when(F.col("l_returnflag") == "R", "n/a").otherwise(text("l_extendedprice")).alias("shape_dist_traveled"),
     )
-    return timetable.normalise_shapes(raw)
 
 
 def situation_xml(t):
@@ -167,22 +172,26 @@ def incident_files(t):
     return typed.select("event_id", "deviation_id", "start_time", "end_time", "latitude", "longitude")
 
 
-@query("weather_unpivot", """SELECT strftime(((ts AT TIME ZONE 'Europe/Stockholm') AT TIME ZONE 'UTC'), '%Y-%m-%d %H:%M:%S') AS "timestamp", CAST(ts AS DATE)::VARCHAR AS date, CAST(hour(ts) AS BIGINT) AS hour,
-    temperature_2m, CAST(cloud_cover AS DOUBLE) AS cloud_cover, NULL::DOUBLE AS rain, latitude FROM (SELECT *, "timestamp" AS ts FROM weather)""".replace("SELECT *, \"timestamp\" AS ts FROM weather", "SELECT \"timestamp\" AS ts, temperature_2m, cloud_cover, latitude FROM weather"))
-def weather_unpivot(t):
+def landed_weather(t):
     """One response per station and day (at most 24 hours each)."""
     hours = F.array_sort(F.collect_list(F.struct(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm").alias("time"), "temperature_2m", "cloud_cover")))
     hourly = F.struct(*[F.col(f"h.{c}").alias(c) for c in ("time", "temperature_2m", "cloud_cover")])
-    landed = t.weather.groupBy("latitude", "longitude", "date").agg(hours.alias("h")).select(
+    return t.weather.groupBy("latitude", "longitude", "date").agg(hours.alias("h")).select(
         F.to_json(F.struct("latitude", "longitude", hourly.alias("hourly"))).alias("value")
     )
-    rows = feeds.unpivot_weather(feeds.parse_weather(landed, "value"))
+
+
+@query("weather_unpivot", """SELECT strftime(((ts AT TIME ZONE 'Europe/Stockholm') AT TIME ZONE 'UTC'), '%Y-%m-%d %H:%M:%S') AS "timestamp", CAST(ts AS DATE)::VARCHAR AS date, CAST(hour(ts) AS BIGINT) AS hour,
+    temperature_2m, CAST(cloud_cover AS DOUBLE) AS cloud_cover, NULL::DOUBLE AS rain, latitude FROM (SELECT *, "timestamp" AS ts FROM weather)""".replace("SELECT *, \"timestamp\" AS ts FROM weather", "SELECT \"timestamp\" AS ts, temperature_2m, cloud_cover, latitude FROM weather"))
+def weather_unpivot(t):
+    rows = feeds.unpivot_weather(feeds.parse_weather(landed_weather(t), "value"))
     assert set(WEATHER_MEASURES) < set(rows.columns)
     return rows.select("timestamp", "date", "hour", "temperature_2m", "cloud_cover", "rain", "latitude")
 
 
-@query("holiday_flatten", """SELECT CAST(date AS VARCHAR) AS date, weekofyear(date) AS week, isodow(date) AS day_of_week, is_work_free, is_red_day, is_day_before_holiday, holiday_name FROM holidays""")
-def holiday_flatten(t):
+def landed_holidays(t):
+    """One response per day."""
+
     def ja(c):
         return F.when(F.col(c), "Ja").otherwise("Nej")
 
@@ -192,6 +201,10 @@ def holiday_flatten(t):
         ja("is_red_day").alias("röd dag"), ja("is_day_before_holiday").alias("dag före arbetsfri helgdag"),
         blank_to_null(F.col("holiday_name")).alias("helgdag"),
     )
-    landed = t.holidays.select(F.to_json(F.struct(F.array(day).alias("dagar"))).alias("value"))
-    flat = feeds.flatten_holidays(feeds.parse_holidays(landed, "value"))
+    return t.holidays.select(F.to_json(F.struct(F.array(day).alias("dagar"))).alias("value"))
+
+
+@query("holiday_flatten", """SELECT CAST(date AS VARCHAR) AS date, weekofyear(date) AS week, isodow(date) AS day_of_week, is_work_free, is_red_day, is_day_before_holiday, holiday_name FROM holidays""")
+def holiday_flatten(t):
+    flat = feeds.flatten_holidays(feeds.parse_holidays(landed_holidays(t), "value"))
     return flat.select("date", "week", "day_of_week", "is_work_free", "is_red_day", "is_day_before_holiday", "holiday_name")
