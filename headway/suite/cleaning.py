@@ -133,9 +133,10 @@ def bool_to_int(t):
 
 
 @query("feature_select", """SELECT trip_id, vehicle_id, round(max_speed, 7) AS max_speed, n_positions, round(lat_mean, 7) AS lat_mean, round(lon_mean, 7) AS lon_mean,
-    CAST(hour AS BIGINT) AS hour, CAST(day_of_week AS BIGINT) AS day_of_week FROM windows""")
+    round(lat_min, 7) AS lat_min, round(lat_max, 7) AS lat_max, round(lon_min, 7) AS lon_min, round(lon_max, 7) AS lon_max, round(bearing_min, 7) AS bearing_min,
+    round(bearing_max, 7) AS bearing_max, CAST(hour AS BIGINT) AS hour, CAST(day_of_week AS BIGINT) AS day_of_week FROM windows""")
 def feature_select(t):
-    return model.select_features(t.windows).drop("lat_min", "lat_max", "lon_min", "lon_max", "bearing_min", "bearing_max")
+    return model.select_features(t.windows)
 
 
 @query("in_bounds", """SELECT stop_id FROM (SELECT stop_id, stop_lat * 1.02::DOUBLE AS lat, stop_lon AS lon FROM stops)

@@ -21,24 +21,52 @@ def split(t):
     return model.prepare(labelled(t))
 
 
-@query("prepare_data", """SELECT is_train, count(*) AS n_rows FROM (SELECT row_number() OVER (ORDER BY window_start, substr(md5(trip_id), 1, 12)) <= floor(count(*) OVER () * 0.8) AS is_train
-    FROM windows WHERE occupancy_mode IS NOT NULL) GROUP BY 1""")
+_IDS, _FLAGS = ("trip_id", "vehicle_id"), ("is_work_free", "is_red_day", "is_day_before_holiday")
+_WHOLE = ("n_positions", "hour", "day_of_week")
+_JOINED = """flagged LEFT JOIN (SELECT * EXCLUDE (date, hour), "timestamp" AS window_start FROM weather_hour) USING (window_start)"""
+
+
+def _feature_sql(name: str) -> str:
+    if name in _IDS or name in _FLAGS:
+        return name
+    return f"CAST({name} AS BIGINT) AS {name}" if name in _WHOLE else f"round({name}, 7) AS {name}"
+
+
+def _number_sql(name: str) -> str:
+    """The value that the feature vector holds: ids that are no numbers and missing flags are 0."""
+    if name in _IDS:
+        return f"coalesce(TRY_CAST({name} AS BIGINT), 0)::DOUBLE AS {name}"
+    return f"coalesce({name}, false)::INTEGER::DOUBLE AS {name}" if name in _FLAGS else f"round({name}::DOUBLE, 7) AS {name}"
+
+
+@query("prepare_data", """SELECT is_train, count(*) AS n_rows, count(*) FILTER (occupancy_mode IS NULL) AS n_unlabelled, CAST(sum(occupancy_mode) AS BIGINT) AS label_sum,
+    strftime(min(window_start), '%Y-%m-%d %H:%M:%S') AS first_window, strftime(max(window_start), '%Y-%m-%d %H:%M:%S') AS last_window, 0 AS n_missing, sum(is_work_free::INTEGER) AS n_work_free
+    FROM (SELECT *, row_number() OVER (ORDER BY window_start, substr(md5(trip_id), 1, 12)) <= floor(count(*) OVER () * 0.8) AS is_train
+    FROM flagged WHERE occupancy_mode IS NOT NULL) GROUP BY 1""")
 def prepare_data(t):
     train, test = split(t)
-    rows = train.select(F.lit(True).alias("is_train")).unionAll(test.select(F.lit(False)))
-    return rows.groupBy("is_train").agg(F.count("*").alias("n_rows"))
+    rows = train.withColumn("is_train", F.lit(True)).unionByName(test.withColumn("is_train", F.lit(False)))
+    return rows.groupBy("is_train").agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("occupancy_mode").isNull()).alias("n_unlabelled"),
+        F.sum("occupancy_mode").cast("bigint").alias("label_sum"), F.min("window_start").alias("first_window"), F.max("window_start").alias("last_window"),
+        F.count_if(F.concat(*[F.col(c).cast("string") for c in model.FEATURES]).isNull()).alias("n_missing"), F.sum("is_work_free").alias("n_work_free"),
+    )
 
 
-@query("feature_order_check", """SELECT trip_id, vehicle_id, CAST(hour AS BIGINT) AS hour, CAST(day_of_week AS BIGINT) AS day_of_week, is_work_free, round(max_speed, 7) AS max_speed FROM flagged""")
+@query("feature_order_check", f"""SELECT {", ".join(map(_feature_sql, model.FEATURES))}, '{",".join(model.FEATURES)}' AS column_order FROM {_JOINED}""")
 def feature_order_check(t):
-    return model.ordered_features(labelled(t)).select("trip_id", "vehicle_id", "hour", "day_of_week", "is_work_free", "max_speed")
+    ordered = model.ordered_features(labelled(t))
+    return ordered.withColumn("column_order", F.lit(",".join(ordered.columns)))
 
 
-@query("assemble", """SELECT trip_id, strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, 23 AS n_features FROM windows WHERE occupancy_mode IS NOT NULL""")
+@query("assemble", f"""SELECT trip_id AS trip_key, strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, {", ".join(map(_number_sql, model.FEATURES))}
+    FROM {_JOINED} WHERE occupancy_mode IS NOT NULL""")
 def assemble(t):
+    """The slots of the feature vector, each under the name of its feature; missing values are NaN in it."""
     rows = labelled(t).na.drop(subset=["occupancy_mode"]).withColumn("trip_key", F.col("trip_id"))
-    ready = model.assemble(flags_to_int(ids_to_int(rows)))
-    return ready.select(F.col("trip_key").alias("trip_id"), "window_start", F.size(vector_to_array("features")).alias("n_features"))
+    vector = model.assemble(flags_to_int(ids_to_int(rows))).select("trip_key", "window_start", vector_to_array("features").alias("v"))
+    slots = {name: F.nanvl(F.col("v")[i], F.lit(None).cast("double")) for i, name in enumerate(model.FEATURES)}
+    return vector.withColumns(slots).drop("v")
 
 
 @query("train_weighted")
