@@ -152,7 +152,7 @@ class MacroRecall(Evaluator):
         return True
 
 
-def random_search(train_df: DataFrame, draws: int = 20, folds: int = 2, parallelism: int = 2) -> CrossValidatorModel:
+def random_search(train_df: DataFrame, draws: int = 20, folds: int = 2, parallelism: int = 4) -> CrossValidatorModel:
     """Cross-validated search over randomly drawn tree settings, scored by macro recall."""
     rows = with_class_weight(train_df, TARGET).withColumn("label", F.col(TARGET).cast("double"))
     forest = RandomForestClassifier(labelCol="label", weightCol="class_weight", seed=SEED)
@@ -161,7 +161,7 @@ def random_search(train_df: DataFrame, draws: int = 20, folds: int = 2, parallel
     maps = [
         {
             forest.maxDepth: dice.randrange(3, 10),
-            forest.numTrees: dice.randrange(20, 61),
+            forest.numTrees: dice.randrange(100, 300),
             forest.subsamplingRate: dice.uniform(0.6, 1.0),
             forest.minInstancesPerNode: dice.randrange(1, 10),
         }

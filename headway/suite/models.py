@@ -117,14 +117,14 @@ def trip_forecast_model(t):
 @query("ordinal_model")
 def ordinal_model(t):
     train, test = split(t)
-    scored = model.score_ordinal(model.train_ordinal(train, rounds=5, depth=3), test)
+    scored = model.score_ordinal(model.train_ordinal(train), test)
     return scored.select("window_start", "trip_id", "occupancy_mode", "predicted_occupancy")
 
 
 @query("random_search")
 def random_search(t):
     train, _ = split(t)
-    return model.search_results(model.random_search(train, draws=2))
+    return model.search_results(model.random_search(train))
 
 
 @query("tune_features", """SELECT trip_id, strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, round(max_speed, 7) AS max_speed, CAST(n_positions AS BIGINT) AS n_positions FROM windows""")
