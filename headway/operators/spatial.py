@@ -172,21 +172,20 @@ def incident_features(windows: DataFrame, incidents: DataFrame, radius_m: float
 _VISIT_COLUMNS = ["trip_id", "route_short_name", "route_long_name", "trip_headsign", "stop_name", "stop_headsign"]
 
 
-def _visit_ends(stops: DataFrame, payload: list[str], clock_unit: int) -> DataFrame:
-    """First and last visit of every place in each unit of the clock; `last` is null where it is the first again."""
+def _minute_ends(stops: DataFrame, payload: list[str]) -> DataFrame:
+    """First and last visit of every place in each minute of the clock, with the clock hour."""
     rest = [c for c in payload if c != "trip_id"]
     row = ["trip_id", "stop_sequence", *rest]
     clock = F.col("_arrival")
-    ends = (
+    return (
         stops.withColumn("_arrival", clock_seconds(F.col("arrival_time")))
-        .groupBy("stop_lat", "stop_lon", F.floor(clock / clock_unit).alias("_unit"))
+        .groupBy("stop_lat", "stop_lon", F.floor(clock / 3600).alias("_hour"), F.floor(clock / 60).alias("_minute"))
         .agg(
             F.min(F.struct(clock.alias("_rank"), *row)).alias("_first"),
             F.min(F.struct((-clock).alias("_rank"), *row)).alias("_last"),
         )
+        .drop("_minute")
     )
-    # equal arrivals have one winner at both ends, which need not travel twice
-    return ends.withColumn("_last", F.when(F.col("_last._rank") != -F.col("_first._rank"), F.col("_last")))
 
 
 def nearest_trip(requests: DataFrame, stops: DataFrame, max_radius_m: float = 500.0) -> DataFrame:
@@ -208,12 +207,12 @@ def nearest_trip(requests: DataFrame, stops: DataFrame, max_radius_m: float = 50
     target, hour = F.col("_target"), F.floor(F.col("_target") / 3600)
     wanted = requests.select("request_id", "lat", "lon", target_s.alias("_target"))
 
-    hours = _visit_ends(stops, payload, 3600)
-    last_s = F.coalesce(-F.col("_last._rank"), F.col("_first._rank"))
+    # the visits are read once; hours and places are made from their minutes
+    minutes = written(_minute_ends(stops, payload), "visits")
+    hours = minutes.groupBy(*place, "_hour").agg(F.min("_first").alias("_first"), F.min("_last").alias("_last"))
     # one short entry per clock hour, whatever the number of visits
-    served = hours.groupBy(*place).agg(
-        F.collect_list(F.struct(F.col("_first._rank").alias("early"), last_s.alias("late"))).alias("_served")
-    )
+    span = F.struct(F.col("_first._rank").alias("early"), (-F.col("_last._rank")).alias("late"))
+    served = hours.groupBy(*place).agg(F.collect_list(span).alias("_served"))
 
     def in_time(ends: Column) -> Column:
         # visits of the own hour are always in time, of other hours the nearer end is
@@ -229,17 +228,12 @@ def nearest_trip(requests: DataFrame, stops: DataFrame, max_radius_m: float = 50
     order = Window.partitionBy("request_id").orderBy("_tier", "distance_m")
     chosen = ranked.withColumn("_rank", F.rank().over(order)).filter("_rank = 1").drop("_rank", "_tier")
 
-    ends = F.filter(F.array("_first", "_last"), F.isnotnull)
-    other_hours = (
-        chosen.join(hours, place)
-        .filter(~F.coalesce(F.col("_unit") == hour, F.lit(False)))
-        .select("request_id", "_target", "distance_m", F.explode(ends).alias("_visit"))
-    )
-    minutes = _visit_ends(stops, payload, 60).withColumn("_hour", F.floor(F.col("_unit") / 60))
-    own_hour = (
-        chosen.withColumn("_hour", hour).join(minutes, [*place, "_hour"])
-        .select("request_id", "_target", "distance_m", F.explode(ends).alias("_visit"))
-    )
+    # equal arrivals have one winner at both ends, which need not be compared twice
+    last = F.when(F.col("_last._rank") != -F.col("_first._rank"), F.col("_last"))
+    visit = F.explode(F.filter(F.array("_first", last), F.isnotnull)).alias("_visit")
+    wanted_columns = ["request_id", "_target", "distance_m", visit]
+    other_hours = chosen.join(hours, place).filter(~F.coalesce(F.col("_hour") == hour, F.lit(False))).select(*wanted_columns)
+    own_hour = chosen.withColumn("_hour", hour).join(minutes, [*place, "_hour"]).select(*wanted_columns)
     gap = F.coalesce(F.abs(F.abs(F.col("_visit._rank")) - target), F.lit(2**31 - 1))
     best = (
         other_hours.unionByName(own_hour)
