@@ -211,7 +211,7 @@ def joined(docs: DataFrame) -> DataFrame:
     the rest is verified on the whole sets. A component of any size is thus spread over tasks, and only counts
     and a forest of links leave a task, not pairs. A text of fewer than five words is one shingle; null,
     empty and blank texts link with nothing. Repeated rows are copies of each other; other columns are not
-    read. Returns a row per row: row_id, doc_id, text_md5, class_id (smallest doc_id among the texts connected
+    read. Returns a row per row: row_id, doc_id, text_md5, root (a row_id that names the class), class_id (smallest doc_id among the texts connected
     by links; null ids do not count), copies, n_texts (other texts linked), n_links (other rows linked, copies
     among them), first (whether this row is the one of its class that stays: smallest doc_id, then row_id).
     """
@@ -242,7 +242,7 @@ def joined(docs: DataFrame) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_id")
     classes = out.groupBy(F.col("root").alias("_root")).agg(F.min(order).alias("least"))
     return out.join(classes, F.col("root") == F.col("_root")).select(
-        "row_id", "doc_id", "text_md5", F.col("least.doc_id").alias("class_id"), F.coalesce("copies", F.lit(1)).alias("copies"),
+        "row_id", "doc_id", "text_md5", "root", F.col("least.doc_id").alias("class_id"), F.coalesce("copies", F.lit(1)).alias("copies"),
         F.coalesce("n_texts", F.lit(0)).alias("n_texts"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
         (F.col("row_id") == F.col("least.row_id")).alias("first"))
 

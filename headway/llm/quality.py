@@ -12,6 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headway.llm import jaccard
 from headway.llm.common import keep_rows, query, table, text_key, words_of
 from headway.session import written
 
@@ -26,7 +27,7 @@ MIN_LEFT_PERCENT = 30
 
 _SCHEMA = (
     "row_id long, doc_id long, text_md5 string, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-    "n_repeat_words long, body long, lines array<struct<line: long, words: long>>"
+    "n_repeat_words long, lines array<struct<line: long, words: long>>"
 )
 
 
@@ -51,7 +52,7 @@ def repeat_words(words: list[bytes], width: int = 3) -> int:
 
 
 def measure(text: bytes | None) -> dict:
-    """The counts of one UTF-8 text, its lines, and the hash of its longest line (ties: the smaller hash)."""
+    """The counts of one UTF-8 text, and its lines."""
     text = text or b""
     words = words_of(text)
     points = len(text.decode("utf-8", "replace"))
@@ -61,15 +62,14 @@ def measure(text: bytes | None) -> dict:
         if n:
             doubled += line in seen
             seen.add(line)
-            lines.append((len(line), line_hash(line), n))
+            lines.append({"line": line_hash(line), "words": n})
     return {
         "n_words": len(words),
         "word_chars": points - sum(map(text.count, (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r"))),
         "n_symbols": len(text) - len(text.translate(None, SYMBOLS)),
         "n_dup_lines": doubled,
         "n_repeat_words": repeat_words(words),
-        "body": max(lines, key=lambda x: (x[0], -x[1]))[1] if lines else 0,
-        "lines": [{"line": h, "words": n} for _, h, n in lines],
+        "lines": lines,
     }
 
 
@@ -85,7 +85,7 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 _ARROW = pa.schema([
     ("row_id", pa.int64()), ("doc_id", pa.int64()), ("text_md5", pa.string()), ("host", pa.string()), ("n_words", pa.int64()),
-    ("word_chars", pa.int64()), ("n_symbols", pa.int64()), ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()), ("body", pa.int64()),
+    ("word_chars", pa.int64()), ("n_symbols", pa.int64()), ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()),
     ("lines", pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64())]))),
 ])
 
@@ -95,8 +95,10 @@ def judged(docs: DataFrame, line_documents: int = LINE_DOCUMENTS, line_percent:
     """The counts and the verdict of every row of `docs` (doc_id, text, source).
 
     The host of a document is its source; null is a host of its own. A line is hashed lower-cased, with
-    digits as 0 and single blanks. Documents with the same longest line are one document to the line
-    counts, so exact and near copies do not turn their own text into boilerplate. A line above both limits
+    digits as 0 and single blanks. Texts of one class of `jaccard.joined`, linked by the similarity of their
+    whole texts, are one document to the line counts and to the host's size, so exact and near copies do not
+    turn their own text into boilerplate, while a line shared by unlike texts counts once for each of them,
+    however much of them it is. A line above both limits
     of its host is removed; a document that keeps less than `min_left_percent` of its words is rejected,
     and so is one that fails the base rules. A null or empty text has no words and fails them. Repeated rows
     are judged row by row. Other columns are not read. Returns row_id, doc_id, text_md5, host, the counts,
@@ -104,17 +106,23 @@ def judged(docs: DataFrame, line_documents: int = LINE_DOCUMENTS, line_percent:
     """
     plain = docs.select(F.col("doc_id").cast("long"), text_key(F.col("text")), F.col("source").cast("string"), F.col("text").cast("binary"))
     rows = written(plain.mapInArrow(_measured, _SCHEMA), "quality-rows")
-    lines = rows.where("n_words > 0").select("row_id", "host", "body", F.explode("lines").alias("l")).select("row_id", "host", "body", "l.line", "l.words")
-    # one row for each line and document of a host first: a line of every document is then a sum over all tasks
-    bodies = rows.where("n_words > 0").select("host", "body").distinct().groupBy("host").agg(F.count("*").alias("host_documents"))
-    counts = lines.select("host", "line", "body").distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
+    known = rows.where("n_words > 0")
+    # equal texts have equal lines and one class, so one row of each host stands for them
+    texts = known.groupBy("host", "text_md5").agg(F.min("row_id").alias("_row"))
+    classes = jaccard.joined(docs).groupBy(F.col("text_md5").alias("_md5")).agg(F.min("root").alias("class"))
+    members = written(texts.join(classes, F.col("text_md5") == F.col("_md5")).select("_row", "host", "class"), "quality-classes")
+    lines = known.select("row_id", "host", F.explode("lines").alias("l")).select("row_id", "host", "l.line", "l.words")
+    # one row for each line and class of a host first: a line of every document is then a sum over all tasks
+    bodies = members.select("host", "class").distinct().groupBy("host").agg(F.count("*").alias("host_documents"))
+    held = lines.select("row_id", "host", "line").join(members.select("_row", "class"), F.col("row_id") == F.col("_row"))
+    counts = held.select("host", "line", "class").distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
     many = counts.where(F.col("n") > line_documents).withColumnRenamed("host", "_host")
     on_host = many["_host"].eqNullSafe(bodies["host"])
     above = many.join(bodies, on_host).where(F.col("n") * 100 > line_percent * F.col("host_documents")).select("_host", F.col("line").alias("_line"))
     above = written(above, "quality-lines")
     hit = lines.join(above, lines["host"].eqNullSafe(above["_host"]) & (lines["line"] == above["_line"]), "left_semi")
     removed = hit.groupBy(F.col("row_id").alias("_row")).agg(F.sum("words").alias("removed"))
-    out = rows.drop("lines", "body").join(removed, F.col("row_id") == F.col("_row"), "left").drop("_row")
+    out = rows.drop("lines").join(removed, F.col("row_id") == F.col("_row"), "left").drop("_row")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     out = out.withColumn("n_removed_words", F.coalesce("removed", F.lit(0))).drop("removed").withColumn("base_failed", failed)
     left = 100 * (F.col("n_words") - F.col("n_removed_words")) >= min_left_percent * F.col("n_words")

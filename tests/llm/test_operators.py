@@ -121,6 +121,18 @@ def test_quality_rejects_depleted_documents(spark):
     assert brute.kept_by_quality(own) == [d != 5 for d, _, _ in own]
 
 
+def test_quality_counts_documents_that_are_mostly_one_shared_line(spark):
+    """The notice is the longest line of every document; each document is another text, by less than the threshold of copies."""
+    notice = " ".join(f"m{letters(j)}" for j in range(100))
+    own = [(i, notice + "\n" + " ".join(f"o{letters(i)}x{letters(j)}" for j in range(20)), "h") for i in range(40)]
+    # a copy, and a near copy in another line, are no documents of their own
+    own += [(100, own[0][1], "h"), (101, own[0][1] + "\nend", "h"), (102, " ".join(f"z{letters(j)}" for j in range(120)), "h")]
+    got = {r.doc_id: (r.kept, r.n_removed_words) for r in quality.judged(spark.createDataFrame(own, "doc_id long, text string, source string")).collect()}
+    assert got == {d: (d == 102, 0 if d == 102 else 100) for d, _, _ in own}
+    few = spark.createDataFrame(own[:20] + [(200 + i, *own[0][1:]) for i in range(20)], "doc_id long, text string, source string")
+    assert quality.judged(few).where("n_removed_words > 0").count() == 0  # 20 documents and their copies are not above the limit
+
+
 def test_simhash(spark, tables):
     docs = sorted(((d, t) for d, t, _ in documents(spark, tables[0])), key=lambda r: (r[0] is None, r[0], hashlib.md5((r[1] or "").encode()).hexdigest()))
     wanted = Counter()
