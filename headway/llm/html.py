@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,16 +23,22 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 UNREAD = frozenset(
-    "script style noscript template head title svg math iframe object embed canvas audio video select button textarea form nav footer aside menu dialog "
-    "map input option datalist fieldset label".split())
+    "script style noscript template head title svg math iframe object embed canvas audio video select button textarea nav footer aside menu dialog "
+    "map input option datalist label".split())
 CONTAINERS = frozenset("html body main article section div td center".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-# a word of class, id or role that marks what is not the article
-MARKS = frozenset(
-    "ad ads adv advert advertisement advertising advertorial adbox adsense adslot sponsor sponsored sponsors promo promotion promoted banner cookie cookies consent gdpr notice "
-    "notices notification alert sidebar aside rail menu menus nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar "
-    "comment comments commentlist reply replies respond disqus share sharing social related recommended newsletter subscribe subscription signup login "
+# a word of class, id or role that marks the text of others: advertisers, the site's own notices, readers
+OTHERS = frozenset(
+    "ad ads adv advert advertisement advertising advertorial adbox adsense adslot sponsor sponsored sponsors promo promotion promoted cookie cookies consent gdpr "
+    "comment comments commentlist reply replies respond disqus".split())
+# words that may as well name the frame of the article or its title: the element is left out unless its text says otherwise
+TITLES = frozenset("header masthead topbar banner".split())
+MARKS = TITLES | frozenset(
+    "notice notices notification alert sidebar aside rail menu menus nav navbar navigation breadcrumb breadcrumbs footer "
+    "share sharing social related recommended newsletter subscribe subscription signup login "
     "popup modal overlay widget toolbar pagination pager skip contentinfo complementary search form".split())
+# a name that starts with these says what stands beside the text
+BESIDE = frozenset("has no with without".split())
 # an element that starts here closes these open ones
 CLOSES = {
     "li": frozenset({"li"}), "dt": frozenset({"dt", "dd"}), "dd": frozenset({"dt", "dd"}), "tr": frozenset({"tr", "td", "th"}),
@@ -40,12 +47,28 @@ CLOSES = {
 STOPS = frozenset("ul ol dl table article section div main body td".split())
 
 
+class Line(NamedTuple):
+    text: str
+    tags: int
+    item: bool
+    linked: bool
+    path: tuple
+    heading: str | None
+    marks: tuple
+
+
+def _words(names: str) -> set[str]:
+    """The words of the names in an attribute, but of those that say what stands beside the text."""
+    split = [re.split(r"[^a-z]+", re.sub(r"\d+", "", name)) for name in names.split()]
+    return {w for words in split if words[0] not in BESIDE for w in words}
+
+
 class Lines(HTMLParser):
-    """Collects the lines of a page: text, tags, link text, containers, and whether it is outside the article by its markup."""
+    """Collects the lines of a page: text, tags, whether it is an item of links only or mostly links, containers, heading, marks above it."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open = []  # [tag, number, unread, heading zone]
+        self.open = []  # [tag, number, unread, marked elements up to here: (number, titles)]
         self.lines = []
         self.number = 0
         self._start()
@@ -57,35 +80,44 @@ class Lines(HTMLParser):
         words = "".join(self.text).split()
         if words:
             text = " ".join(words)
-            path = tuple((tag, number) for tag, number, _ in self.open if tag in CONTAINERS)
-            item = any(tag == "li" for tag, _, _ in self.open)
-            self.lines.append((text, self.tags, item and self.linked >= 0.8 * len(text), path))
+            path = tuple((tag, number) for tag, number, _, _ in self.open if tag in CONTAINERS)
+            names = [tag for tag, _, _, _ in self.open]
+            linked = self.linked >= 0.8 * len(text)
+            heading = next((tag for tag in names if tag in HEADINGS), None)
+            self.lines.append(Line(text, self.tags, "li" in names and linked, linked, path, heading, self.open[-1][3] if self.open else ()))
         self._start()
 
     @property
     def unread(self) -> bool:
         return bool(self.open) and self.open[-1][2]
 
-    def _marked(self, tag: str, attrs: list) -> bool:
+    def _unread(self, tag: str, attrs: list) -> bool:
         if tag in UNREAD:
             return True
         if tag in ("html", "body"):
             return False
-        if tag == "header" and not any(t in ("article", "main") for t, _, _ in self.open):
-            return True
         for name, value in attrs:
             value = (value or "").lower()
-            if name in ("class", "id", "role") and MARKS.intersection(re.split(r"[^a-z]+", re.sub(r"\d+", "", value))):
+            if name in ("class", "id", "role") and OTHERS.intersection(_words(value)):
                 return True
             if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
                 return True
         return False
 
+    def _marks(self, tag: str, attrs: list) -> tuple:
+        """Of a marked element, whether all its marks may name a title."""
+        if tag in ("html", "body"):
+            return ()
+        found = {w for name, value in attrs if name in ("class", "id", "role") for w in _words((value or "").lower())} & MARKS
+        if tag == "form" or tag == "header" and not any(x[0] in ("article", "main") for x in self.open):
+            found.add(tag)
+        return ((self.number, found <= TITLES),) if found else ()
+
     def handle_starttag(self, tag, attrs):
         if tag not in INLINE:
             self.end_line()
         if tag in ("article", "main"):  # an article does not stand in a menu or a footer that nobody closed
-            while self.open and self.open[-1][2] and not any(t == "article" for t, _, _ in self.open):
+            while self.open and (self.open[-1][2] or self.open[-1][3]) and not any(x[0] == "article" for x in self.open):
                 self.open.pop()
         closes = CLOSES.get(tag, frozenset()) if tag in INLINE or tag in CLOSES else frozenset({"p"})
         for at in range(len(self.open) - 1, -1, -1):
@@ -97,7 +129,8 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag not in VOID:
             self.number += 1
-            self.open.append((tag, self.number, self.unread or self._marked(tag, attrs)))
+            above = self.open[-1][3] if self.open else ()
+            self.open.append((tag, self.number, self.unread or self._unread(tag, attrs), above + self._marks(tag, attrs)))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -118,7 +151,7 @@ class Lines(HTMLParser):
     def handle_data(self, data):
         if not self.unread:
             self.text.append(data)
-            if any(tag == "a" for tag, _, _ in self.open):
+            if any(x[0] == "a" for x in self.open):
                 self.linked += len(data.strip())
 
 
@@ -129,21 +162,24 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(np.pad(ratios, reach, mode="edge"), kernel / kernel.sum(), mode="valid")
 
 
-def region(lines: list[tuple]) -> tuple | None:
+def clustered(lines: list[Line]) -> np.ndarray:
+    """Which lines are content: smoothed characters for each tag of at least their deviation."""
+    ratios = smoothed(np.array([len(x.text) / max(1, x.tags) for x in lines]))
+    return ratios >= min(ratios.std(), ratios.max())
+
+
+def region(lines: list[Line], content: np.ndarray) -> tuple | None:
     """The container of the content: the text of the lines above the threshold votes.
 
-    A line's ratio is its characters for each tag. Smoothed ratios of at least their deviation make the
-    content cluster. The region is the outermost article or main element that holds the wanted share of the
-    cluster's text, else the innermost other container that does.
+    The region is the outermost article or main element that holds the wanted share of the cluster's text,
+    else the innermost other container that does.
     """
-    ratios = smoothed(np.array([len(text) / max(1, tags) for text, tags, _, _ in lines]))
-    content = ratios >= min(ratios.std(), ratios.max())
     votes, total = {}, 0
-    for (text, _, _, path), is_content in zip(lines, content):
+    for line, is_content in zip(lines, content):
         if is_content:
-            total += len(text)
-            for container in path:
-                votes[container] = votes.get(container, 0) + len(text)
+            total += len(line.text)
+            for container in line.path:
+                votes[container] = votes.get(container, 0) + len(line.text)
     held = [c for c, n in votes.items() if n >= REGION_SHARE * total]
     named = [c for c in held if c[0] in ("article", "main")]
     articles = [c for c in named if c[0] == "article"] or named
@@ -152,21 +188,45 @@ def region(lines: list[tuple]) -> tuple | None:
     return max(held, key=lambda c: c[1]) if held else None
 
 
+def _read(lines: list[Line]) -> list[Line]:
+    """The lines that no mark excludes."""
+    return [x for x in lines if not x.marks]
+
+
 def main_text(html: str | None) -> str:
     """The article of a page as one line of text; empty for a null, empty or textless page.
 
-    Elements that by name, class, id or role are not the article are not read at all; of the rest, every line
-    of the content region is kept, however short, but list items that are links only.
+    Elements whose tag or name says that their text is not the article's are not read; names that may as well
+    belong to a frame of the article exclude an element that does not hold most of the clustered text. Of the
+    rest, every line of the content region is kept, however short. Where no article or main element is the
+    region, so is every line of the cluster outside it that is not mostly links, and all other lines of the
+    widest container around the region whose lines are all content, headings or the region's.
+    List items that are links only stay inside the region.
     """
     page = Lines()
     page.feed(html or "")
     page.close()
     page.end_line()
-    lines = [x for x in page.lines if not x[2]] or page.lines
-    if not lines:
+    lines = _read(page.lines)
+    voting = [x for x in lines if not x.item] or lines
+    if not voting:
         return ""
-    chosen = region(lines)
-    return " ".join(text for text, _, _, path in lines if chosen is None or chosen in path)
+    content = clustered(voting)
+    chosen = region(voting, content)
+    if chosen is not None and chosen[0] in ("article", "main"):
+        return " ".join(x.text for x in lines if chosen in x.path)
+    cluster = {id(x) for x, is_content in zip(voting, content) if is_content and not x.linked}
+    if chosen is not None:
+        around = next(x.path for x in voting if chosen in x.path)
+        for container in reversed(around[:around.index(chosen)]):
+            if container[0] in ("html", "body") or any(container in x.path and chosen not in x.path and id(x) not in cluster and not x.heading for x in lines):
+                break
+            chosen = container
+    whole = chosen is not None and chosen[0] not in ("html", "body")
+    at = [i for i, x in enumerate(lines) if id(x) in cluster]
+    within = range(at[0], at[-1] + 1) if at else range(len(lines))
+    inside = lambda x: chosen is None or chosen in x.path
+    return " ".join(x.text for i, x in enumerate(lines) if id(x) in cluster or inside(x) and (not x.item or whole or i in within or len(voting) == len(lines)))
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

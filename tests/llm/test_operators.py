@@ -193,6 +193,15 @@ def test_html():
     assert html.main_text("<nav>menu<article><p>Text in a menu nobody closed</article>") == "Text in a menu nobody closed"
 
 
+def test_html_keeps_content_beside_the_innermost_container():
+    text = " ".join(["word"] * 100)
+    story = ["Headline", "An intro " * 33 + "ends.", *[f"{text} {i}." for i in range(10)], "Closing words."]
+    body = f"<h1>{story[0]}</h1><div class=intro>{story[1]}</div><div class=text>" + "".join(f"<p>{p}</p>" for p in story[2:-1]) + f"</div><p>{story[-1]}</p>"
+    links = "".join(f"<div><a href=/{i}>Link {i}</a></div>" for i in range(12))
+    page = f"<body><div>{links}</div><div class=post>{body}</div><div>{links}</div></body>"
+    assert html.main_text(page) == " ".join(story)
+
+
 def test_html_pages(spark, tables):
     got = run(spark, "op2_html", tables[0], "page_id", "text", "n_chars")
     long = ("long text " * 20_000).strip()
