@@ -189,8 +189,21 @@ def region(lines: list[Line], content: np.ndarray) -> tuple | None:
 
 
 def _read(lines: list[Line]) -> list[Line]:
-    """The lines that no mark excludes."""
-    return [x for x in lines if not x.marks]
+    """The lines that no mark excludes. A marked element stays if it holds most of the clustered text, and titles in it stay anyway."""
+    plain = [x for x in lines if not x.item]
+    votes, total = {}, 0
+    if any(x.marks for x in plain):
+        for line, is_content in zip(plain, clustered(plain)):
+            if is_content and not line.linked:
+                total += len(line.text)
+                for number, _ in line.marks:
+                    votes[number] = votes.get(number, 0) + len(line.text)
+    out = []
+    for line in lines:
+        against = [titles for number, titles in line.marks if 2 * votes.get(number, 0) <= total]
+        if not against or line.heading and all(against):
+            out.append(line)
+    return out
 
 
 def main_text(html: str | None) -> str:

@@ -202,6 +202,18 @@ def test_html_keeps_content_beside_the_innermost_container():
     assert html.main_text(page) == " ".join(story)
 
 
+def test_html_reads_marked_elements_that_hold_the_text():
+    text = [" ".join(["word"] * 100) + f" {i}." for i in range(10)]
+    body, whole = "<h1>Head</h1>" + "".join(f"<p>{x}</p>" for x in text), " ".join(["Head", *text])
+    beside = "<div class=related><h3>Related</h3><p>Some teaser</p></div>"
+    assert html.main_text(f"<body><div class='article-header'><h1>Head</h1></div><div class=x>{body[13:]}</div></body>") == whole
+    assert html.main_text(f"<body><div class='layout has-sidebar'>{body}</div>{beside}</body>") == whole
+    assert html.main_text(f"<body>{beside}<form id=page><fieldset>{body}</fieldset></form></body>") == whole
+    assert html.main_text(f"<body>{beside}<div class='layout sidebar'>{body}</div><div id=comments>{body * 3}</div></body>") == whole
+    references = "<ul><li><a href=a>First reference</a></li><li><a href=b>Second reference</a></li></ul>"
+    assert html.main_text(f"<body>{references}<article>{body}{references}</article></body>") == whole + " First reference Second reference"
+
+
 def test_html_pages(spark, tables):
     got = run(spark, "op2_html", tables[0], "page_id", "text", "n_chars")
     long = ("long text " * 20_000).strip()
