@@ -158,6 +158,28 @@ def test_simhash_search_finds_all_within_the_radius(spark):
     assert got == {rows[i]: sum((every[i] ^ x).bit_count() <= simhash.RADIUS for x in every) for i in range(50)}
 
 
+def test_simhash_search_finds_near_copies(spark):
+    """Texts with 2 % of the words replaced, similarity about 0.82, and who they are copies of; also at odd and even small radii."""
+    import random
+    rng = random.Random(4)
+    docs = []
+    for i in range(60):
+        words = [f"w{rng.randrange(3000)}" for _ in range(300)]
+        docs.append((i, " ".join(words)))
+        for k in rng.sample(range(300), 6):
+            words[k] = f"n{i}x{k}"
+        docs.append((1000 + i, " ".join(words)))
+    prints = {d: simhash.fingerprint(t.encode()) for d, t in docs}
+    number = {d: (h % (1 << 64)) << 64 | l % (1 << 64) for d, (h, l) in prints.items()}
+    df = spark.createDataFrame([(d, h, l) for d, (h, l) in prints.items()], "doc_id long, high long, low long")
+    for radius in (simhash.RADIUS, 11, 1):
+        got = {(r.doc_id, r.near_doc_id): r.distance for r in simhash.near_documents(df.where("doc_id < 1000"), df, radius).collect()}
+        far = {(a, b): (number[a] ^ number[b]).bit_count() for a in range(60) for b in number if a != b}
+        assert got == {p: n for p, n in far.items() if n <= radius}
+    found = {(r.doc_id, r.near_doc_id) for r in simhash.near_documents(df.where("doc_id < 1000"), df).collect()}
+    assert sum((i, 1000 + i) in found for i in range(60)) >= 57 and len(found) <= 60
+
+
 def test_likeness_tells_edited_from_unrelated(spark):
     rows = QUERIES["op8_simhash"](spark, SF_DIR).where("n_chars > 300").select("near_edited", "near_next").collect()
     assert sum(r.near_edited for r in rows) / len(rows) > 0.72 and sum(r.near_next for r in rows) / len(rows) < 0.56
