@@ -13,8 +13,8 @@ from headway.session import prepare, scratch_path
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-# rows of one Arrow batch; texts can be long, so batches stay small
-BATCH_ROWS = "512"
+# rows and bytes of one Arrow batch; texts can be long, so batches stay small
+BATCH_ROWS, BATCH_BYTES = "512", "4000000"
 # a word is a run of anything but blank, tab and the four line controls
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -37,6 +37,7 @@ def query(name: str, oracle: str | None = None):
 def ready(spark: SparkSession) -> SparkSession:
     prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 

@@ -131,3 +131,29 @@ def mix(rows, weights=(3, 1, 2)):
             left -= part
             out[i] = (sizes[i], total[s], target[s], whole, part)
     return out
+
+
+def floored(vector, scale):
+    import numpy as np
+
+    return [math.floor(scale * float(np.float32(x))) for x in vector]
+
+
+def codes(rows, parts, entries, rounds):
+    """Codes and errors by vec_id, and the codebooks: plain rounds over all pairs of parts and entries."""
+    part = len(rows[0][1]) // parts
+    cut = {i: [v[p * part:(p + 1) * part] for p in range(parts)] for i, v in rows}
+    books = [[list(cut[i][p]) for i in sorted(cut)[:entries]] for p in range(parts)]
+
+    def nearest(value, book):
+        return min((sum((a - b) ** 2 for a, b in zip(value, entry)), number) for number, entry in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            held = defaultdict(list)
+            for v in cut.values():
+                held[nearest(v[p], books[p])[1]].append(v[p])
+            for number, own in held.items():
+                books[p][number] = [sum(x) // len(own) for x in zip(*own)]
+    found = {i: [nearest(v[p], books[p]) for p in range(parts)] for i, v in cut.items()}
+    return {i: ("".join(f"{n:02x}" for _, n in f), sum(d for d, _ in f)) for i, f in found.items()}, books

@@ -19,6 +19,13 @@ PAGES = [
     (1, "http://user@Sub.Example.com:80/news/a.html?x", "<html><body><nav>menu</nav><article><h1>Title</h1><p>First &amp; last<br>line</p></article></body></html>"),
     (1, "http://user@Sub.Example.com:80/news/a.html?x", None), (None, None, ""), (2, "not a url", "<p>" + "long text " * 20_000), (3, "https://example.com./", "<div class=ad>x</div>"),
 ]
+PLAIN = [(i, [((i * 7 + j) * 37 % 101 - 50) / 40 for j in range(16)], i * i % 5) for i in range(0, 400, 3)]
+VECTORS = PLAIN + PLAIN[:4] + [
+    (1000 + i, PLAIN[1][1], 1) for i in range(40)] + [  # a large group of copies
+    (1, None, 1), (2, [], 1), (4, [float("nan")] + [1.0] * 15, 1), (5, [float("-inf")] * 16, 2), (7, [None] + [1.0] * 15, 3), (None, [0.5] * 16, 1), (None, [0.5] * 16, 1),
+    (50, [0.25] * 16, None), (100, [1e30] * 16, 1), (200, [1.0] * 8, 1), (202, [2.0] * 8, 1), (203, [1.5] * 8, 2), (250, [1.0, 2.0], 1), (350, [0.0] * 16, 4),
+    (400, [30000.0] * 16, 2), (401, [20000.5] * 16, 2), (402, [15000.25] * 16, 3),
+]
 LABELS = [(1, 1, 0), (1, 0, 1), (7, None, 1), (None, 1, 1), (8, 1, 0), (9, 0, 1)]
 
 
@@ -34,6 +41,8 @@ def tables(spark, tmp_path_factory):
         spark.sql(f"SELECT *{clash} FROM odd").write.parquet(f"{folder}/documents.parquet")
         pages = spark.createDataFrame(PAGES, "page_id long, url string, html string").limit(len(PAGES) * many)
         pages.selectExpr("*", "1L AS row_id", "'t' AS text", "2 AS n_chars").write.parquet(f"{folder}/pages.parquet")
+        vectors = spark.createDataFrame(VECTORS, "vec_id long, embedding array<float>, label int").limit(len(VECTORS) * many)
+        vectors.selectExpr("*", "1L AS v", "true AS is_anchor", "2 AS _label", "'c' AS code", "3 AS error", "4 AS block").write.parquet(f"{folder}/embeddings.parquet")
         spark.createDataFrame(LABELS, "doc_id long, quality int, toxic int").limit(len(LABELS) * many).write.parquet(f"{folder}/labels.parquet")
         out.append(folder)
     return out

@@ -11,7 +11,7 @@ from compare import normal, rows_of_duckdb, rows_of_spark
 from pyspark.sql import functions as F
 
 import duckdb
-from headway.llm import html, jaccard, mixing, quality, simhash, substrings, toxicity, urls
+from headway.llm import byte_bpe, html, jaccard, mixing, negatives, quality, simhash, substrings, toxicity, urls, vector_codes
 from headway.llm.common import QUERIES, fresh
 from headway.llm.graph import components
 from headway.llm.suite import ORACLES
@@ -37,7 +37,7 @@ def test_empty_tables(spark, tables, name):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows_as_sql(spark, tables, name, odd):
     folder, con = tables[0] if odd else SF_DIR, duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet{'/*.parquet' if odd else ''}')")
     assert rows_of_spark(QUERIES[name](spark, folder)) == rows_of_duckdb(con, ORACLES[name])
 
@@ -295,3 +295,115 @@ def test_pipeline(spark, tables, odd):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = spark.read.parquet(f"{folder}/documents.parquet")
         assert stage(spark, docs, folder).columns == docs.columns
+
+
+def ranked_codec():
+    import public_tokenizers
+    import tiktoken
+
+    ranks, pattern = byte_bpe.vocabulary()
+    assert pattern == public_tokenizers.PATTERN
+    return byte_bpe.Codec(ranks, pattern), tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.mark.parametrize("odd", [True, False])
+def test_byte_bpe(spark, tables, odd):
+    folder, (_, library) = tables[0] if odd else SF_DIR, ranked_codec()
+    wanted = Counter()
+    for doc, text, _ in documents(spark, folder):
+        ids = library.encode_ordinary(text or "")
+        packed = b"".join(i.to_bytes(4, "little") for i in ids)
+        wanted[doc, len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(library.decode_bytes(ids)).hexdigest()] += 1
+    assert run(spark, "op12_byte_bpe", folder, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == wanted
+
+
+@pytest.mark.parametrize("leaf", [1, 3, 16])
+def test_byte_bpe_joins_at_every_border(monkeypatch, leaf):
+    """Strings without separators, cut anywhere: joined ids are those of merging the whole string."""
+    import random
+
+    monkeypatch.setattr(byte_bpe, "LEAF_BYTES", leaf)
+    (codec, library), some = ranked_codec(), random.Random(leaf)
+    for _ in range(400):
+        letters = some.sample(["a", "ab", "b", "the", "ing", "é", "漢", "का", "😀", "aaa", "7", "_"], some.choice([1, 2, 4]))
+        text = "".join(some.choice(letters) for _ in range(some.choice([2, 9, 70])))
+        data, cut = text.encode(), some.randrange(len(text.encode()) + 1)
+        whole = codec.merged(data)
+        assert codec.tree(data) == whole == codec.joined(codec.merged(data[:cut]), codec.merged(data[cut:]))
+        ids = library.encode_ordinary(text)
+        assert codec.encode(text) == b"".join(i.to_bytes(4, "little") for i in ids)
+
+
+def test_byte_bpe_of_a_long_run():
+    codec, library = ranked_codec()
+    for text in ("a" * 20_003, " " * 30_000 + "x", "".join(f"w{i * i % 977}" for i in range(9_000))):
+        assert codec.encode(text) == b"".join(i.to_bytes(4, "little") for i in library.encode_ordinary(text))
+
+
+def test_byte_bpe_in_steps(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "STEP", 3)
+    monkeypatch.setattr(byte_bpe, "KNOWN", 2)
+    codec, library = ranked_codec()
+    text = "It's 42 words, isn't it?\n\n  more of them " * 5
+    ids = codec.encode(text)
+    assert ids == b"".join(i.to_bytes(4, "little") for i in library.encode_ordinary(text))
+    assert codec.decode(__import__("numpy").frombuffer(ids, "<u4")) == text.encode()
+
+
+def test_negatives_in_many_blocks_groups_and_waves(spark, monkeypatch):
+    """Small blocks, several groups of anchors and several waves give the rows of SQL."""
+    for name, value in (("BLOCK_ROWS", 20), ("GROUP", 3), ("CHUNK", 2), ("WAVE", 2), ("GROWTH", 3)):
+        monkeypatch.setattr(negatives, name, value)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{SF_DIR}/embeddings.parquet') WHERE vec_id < 300")
+    rows = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").where("vec_id < 300").repartition(3)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    got = negatives.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+    assert rows_of_spark(got) == rows_of_duckdb(con, negatives.SQL)
+
+
+def test_segment_bounds_hold():
+    import numpy as np
+
+    some = np.random.default_rng(1)
+    for width, size in ((1, 3), (5, 1000), (64, 60), (64, 1 << 27)):
+        matrix = some.integers(-size, size, (40, width)) // some.integers(1, 50, (40, 1))
+        exact = matrix.astype(object) @ matrix.T.astype(object)
+        for segments in negatives.SEGMENTS:
+            means, spreads = (x.astype(float) for x in negatives.summary(matrix, segments))
+            assert (np.abs(exact.astype(float) - means @ means.T) <= spreads @ spreads.T).all()
+
+
+def test_vector_codes_in_small_blocks(spark, monkeypatch):
+    """Many blocks with deep trees, parts that are clusters so that whole nodes are assigned, and a repeated run."""
+    import numpy as np
+
+    monkeypatch.setattr(vector_codes, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(vector_codes, "LEAF_ROWS", 2)
+    some = np.random.default_rng(2)
+    rows = [(i, (np.repeat(some.integers(-9, 9, 4), 2) + some.normal(0, 0.01, 8)).tolist(), i % 3) for i in range(350)] + [(400 + i, [1.5] * 8, None) for i in range(120)]
+    data = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3)
+    got, books = vector_codes.compressed(data, scale=100, parts=4, entries=5, rounds=4)
+    plain = [(i, brute.floored(v, 100)) for i, v, _ in rows]
+    wanted, wanted_books = brute.codes(plain, 4, 5, 4)
+    assert books.tolist() == wanted_books
+    assert {r.vec_id: (r.code, r.error) for r in got.collect()} == wanted
+
+
+def test_vector_codes_of_few_rows(spark):
+    data = spark.createDataFrame([(3, [1.0, 2.0], 1), (1, [5.0, 6.0], 1), (1, [5.0, 6.0], 1), (None, [9.0, 9.0], None)], "vec_id long, embedding array<double>, label int")
+    got, books = vector_codes.compressed(data, scale=1, parts=2)
+    assert books.tolist() == [[[5], [1], [9]], [[6], [2], [9]]]
+    assert sorted((r.vec_id or 0, r.code, r.error) for r in got.collect()) == [(0, "0202", 0), (1, "0000", 0), (1, "0000", 0), (3, "0101", 0)]
+
+
+def test_whole_nodes_are_assigned_by_their_sums(monkeypatch):
+    """Two far clusters: no part is compared with an entry."""
+    import numpy as np
+
+    points = np.concatenate([np.arange(200).reshape(-1, 2), 10_000 + np.arange(200).reshape(-1, 2)]).astype(np.int64)
+    tree = vector_codes.PartTree(*vector_codes.PartTree.grown(points))
+    monkeypatch.setattr(vector_codes.PartTree, "_distances", None)
+    sums, counts, codes = tree.assigned(np.array([[0, 0], [10_000, 10_000]]), True)
+    assert counts.tolist() == [100, 100] and sums.tolist() == [points[:100].sum(0).tolist(), points[100:].sum(0).tolist()]
+    assert codes[np.argsort(tree.order)].tolist() == [0] * 100 + [1] * 100
