@@ -12,7 +12,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import jaccard
 from headway.llm.common import keep_rows, query, table, text_key, words_of
 from headway.session import written
 
@@ -24,6 +23,8 @@ LINE_DOCUMENTS = 20
 LINE_PERCENT = 2
 # a document is depleted if less than this share of its words is left without such lines
 MIN_LEFT_PERCENT = 30
+# two texts of which at most one word in so many is their own are near copies: (1 - 1/9) / (1 + 1/9) = 0.8
+OWN_SHARE = 9
 
 _SCHEMA = (
     "row_id long, doc_id long, text_md5 string, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
@@ -95,33 +96,34 @@ def judged(docs: DataFrame, line_documents: int = LINE_DOCUMENTS, line_percent:
     """The counts and the verdict of every row of `docs` (doc_id, text, source).
 
     The host of a document is its source; null is a host of its own. A line is hashed lower-cased, with
-    digits as 0 and single blanks. Texts of one class of `jaccard.joined`, linked by the similarity of their
-    whole texts, are one document to the line counts and to the host's size, so exact and near copies do not
-    turn their own text into boilerplate, while a line shared by unlike texts counts once for each of them,
-    however much of them it is. A line above both limits
-    of its host is removed; a document that keeps less than `min_left_percent` of its words is rejected,
-    and so is one that fails the base rules. A null or empty text has no words and fails them. Repeated rows
-    are judged row by row. Other columns are not read. Returns row_id, doc_id, text_md5, host, the counts,
-    base_failed, n_removed_words, kept.
+    digits as 0 and single blanks. A line is common on a host if more than `line_documents` different texts of
+    the host hold it. A document with at least a ninth of its words in other lines counts as itself, by its
+    text; one with less is a near copy of the documents that hold its common lines, and counts by the smallest
+    hash of these, which near copies share. So exact and near copies do not turn their own text into
+    boilerplate, and a notice counts for every document with a text of its own beside it. A line that more
+    documents than both limits hold is removed; a document that keeps less than `min_left_percent` of its words
+    is rejected, and so is one that fails the base rules. A null or empty text has no words and fails them.
+    Repeated rows are judged row by row. Other columns are not read. Returns row_id, doc_id, text_md5, host,
+    the counts, base_failed, n_removed_words, kept.
     """
     plain = docs.select(F.col("doc_id").cast("long"), text_key(F.col("text")), F.col("source").cast("string"), F.col("text").cast("binary"))
     rows = written(plain.mapInArrow(_measured, _SCHEMA), "quality-rows")
-    known = rows.where("n_words > 0")
-    # equal texts have equal lines and one class, so one row of each host stands for them
-    texts = known.groupBy("host", "text_md5").agg(F.min("row_id").alias("_row"))
-    classes = jaccard.joined(docs).groupBy(F.col("text_md5").alias("_md5")).agg(F.min("root").alias("class"))
-    members = written(texts.join(classes, F.col("text_md5") == F.col("_md5")).select("_row", "host", "class"), "quality-classes")
-    lines = known.select("row_id", "host", F.explode("lines").alias("l")).select("row_id", "host", "l.line", "l.words")
-    # one row for each line and class of a host first: a line of every document is then a sum over all tasks
-    bodies = members.select("host", "class").distinct().groupBy("host").agg(F.count("*").alias("host_documents"))
-    held = lines.select("row_id", "host", "line").join(members.select("_row", "class"), F.col("row_id") == F.col("_row"))
-    counts = held.select("host", "line", "class").distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
-    many = counts.where(F.col("n") > line_documents).withColumnRenamed("host", "_host")
-    on_host = many["_host"].eqNullSafe(bodies["host"])
-    above = many.join(bodies, on_host).where(F.col("n") * 100 > line_percent * F.col("host_documents")).select("_host", F.col("line").alias("_line"))
-    above = written(above, "quality-lines")
-    hit = lines.join(above, lines["host"].eqNullSafe(above["_host"]) & (lines["line"] == above["_line"]), "left_semi")
-    removed = hit.groupBy(F.col("row_id").alias("_row")).agg(F.sum("words").alias("removed"))
+    known = rows.where("n_words > 0").withColumn("text", F.xxhash64("text_md5"))
+    place = F.xxhash64(F.col("host").isNull(), "host", "l.line")
+    lines = known.select("row_id", "host", "text", F.explode("lines").alias("l")).select("row_id", "text", place.alias("place"), F.col("l.words").alias("words"))
+    # one row for each line and text of a host first: a line of every document is then a sum over all tasks
+    texts = lines.select("place", "text").distinct().groupBy("place").agg(F.count("*").alias("texts"))
+    common = written(texts.where(F.col("texts") > line_documents).select("place"), "quality-common")
+    hits = written(lines.join(common, "place", "left_semi").drop("text"), "quality-hits")
+    shared = hits.groupBy(F.col("row_id").alias("_row")).agg(F.sum("words").alias("shared"), F.min("place").alias("least"))
+    copy = OWN_SHARE * (F.col("n_words") - F.col("shared")) < F.col("n_words")
+    documents = known.join(shared, F.col("row_id") == F.col("_row"), "left").select("row_id", "host", F.when(copy, F.col("least")).otherwise(F.col("text")).alias("document"))
+    documents = written(documents, "quality-documents")
+    hosts = documents.select("host", "document").distinct().groupBy("host").agg(F.count("*").alias("host_documents"))
+    held = hits.select(F.col("row_id").alias("_row"), "place").join(documents, F.col("row_id") == F.col("_row")).select("place", "host", "document").distinct()
+    counts = held.groupBy("place", F.col("host").alias("_host")).agg(F.count("*").alias("n")).where(F.col("n") > line_documents)
+    above = counts.join(hosts, counts["_host"].eqNullSafe(hosts["host"])).where(F.col("n") * 100 > line_percent * F.col("host_documents")).select("place")
+    removed = hits.join(written(above, "quality-lines"), "place", "left_semi").groupBy(F.col("row_id").alias("_row")).agg(F.sum("words").alias("removed"))
     out = rows.drop("lines").join(removed, F.col("row_id") == F.col("_row"), "left").drop("_row")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     out = out.withColumn("n_removed_words", F.coalesce("removed", F.lit(0))).drop("removed").withColumn("base_failed", failed)

@@ -34,20 +34,24 @@ def quality(text):
 def kept_by_quality(rows, documents=20, percent=2, left=30):
     """rows: (doc_id, text, source). A boolean per row."""
     plain = lambda line: " ".join(re.sub(r"\d", "0", line.lower()).split())
-    held, hosts, bodies = defaultdict(set), defaultdict(set), []
-    for _, text, source in rows:
-        lines = [x for x in (text or "").split("\n") if words(x)]
-        body = max((len(x.encode()), plain(x)) for x in lines)[1] if lines else None
-        bodies.append(body)
-        for x in lines:
-            held[source, plain(x)].add(body)
-            hosts[source].add(body)
+    texts, held, hosts = defaultdict(set), defaultdict(set), defaultdict(set)
+    cut = [(text, source, [(plain(x), len(words(x))) for x in (text or "").split("\n") if words(x)]) for _, text, source in rows]
+    for text, source, lines in cut:
+        for line, _ in lines:
+            texts[source, line].add(text)
+    for text, source, lines in cut:
+        common = [(line, n) for line, n in lines if len(texts[source, line]) > documents]
+        own = sum(n for _, n in lines) - sum(n for _, n in common)
+        # which of the common lines stands for a near copy is a matter of hashes; any fixed order will do
+        document = min(line for line, _ in common) if 9 * own < sum(n for _, n in lines) else ("text", text)
+        if lines:
+            hosts[source].add(document)
+        for line, _ in common:
+            held[source, line].add(document)
     out = []
-    for _, text, source in rows:
-        n, gone = len(words(text)), 0
-        for x in (text or "").split("\n"):
-            if words(x) and len(held[source, plain(x)]) > max(documents, percent * len(hosts[source]) / 100):
-                gone += len(words(x))
+    for text, source, lines in cut:
+        n = len(words(text))
+        gone = sum(k for line, k in lines if len(held[source, line]) > max(documents, percent * len(hosts[source]) / 100))
         out.append(not quality(text)[5] and 100 * (n - gone) >= left * n)
     return out
 
