@@ -19,6 +19,8 @@ WINDOW = 50
 ANCHOR = 8
 # words of the documents that one automaton serves, expected number
 SHARD_WORDS = 300_000
+# windows whose anchors are looked for at a time
+STEP = 4096
 # stands for a null doc_id: no document is after it
 LAST = (1 << 63) - 1
 
@@ -66,8 +68,9 @@ class Windows:
         for i in range(ANCHOR):
             runs = runs * np.uint64(0x9E3779B97F4A7C15) + hashes[i:len(hashes) - ANCHOR + 1 + i]
         runs = _mixed(runs)
-        inside = np.lib.stride_tricks.sliding_window_view(runs, WINDOW - ANCHOR + 1)
-        at = inside.argmin(axis=1) + np.arange(self.n)
+        inside, at = np.lib.stride_tricks.sliding_window_view(runs, WINDOW - ANCHOR + 1), np.arange(self.n)
+        for begin in range(0, self.n, STEP):  # the search copies what it is given
+            at[begin:begin + STEP] += inside[begin:begin + STEP].argmin(axis=1)
         self.starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
         self.ends = np.concatenate([self.starts[1:], [self.n]])
         self.anchors = runs[at[self.starts]].view(np.int64)
