@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm.common import query, table, words_of
+from headway.llm.common import query, returning_memory, table, words_of
 from headway.session import written
 
 TOKENIZER = "word_bpe_49k.json"
@@ -228,13 +228,13 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     with open(path or tokenizer_path(), encoding="utf-8") as file:
         vocabulary = spark.sparkContext.broadcast(file.read())
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-    blocks = written(plain.mapInArrow(_blocks, _BLOCK), "bpe-blocks")
+    blocks = written(plain.mapInArrow(returning_memory(_blocks), _BLOCK), "bpe-blocks")
     words = blocks.where("bucket >= 0").select("block", "bucket", "payload")
-    replies = words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_encoder(vocabulary), _REPLY)
+    replies = words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(returning_memory(_encoder(vocabulary)), _REPLY)
     replies = replies.groupBy(F.col("block").alias("_block")).agg(F.collect_list(F.struct("bucket", "payload")).alias("replies"))
     places = blocks.where("bucket < 0").select("block", "payload", "doc_ids", "sizes")
     whole = places.join(replies, F.col("block") == F.col("_block"), "left").select("payload", "doc_ids", "sizes", "replies")
-    return whole.mapInArrow(_assembler(vocabulary), "doc_id long, ids array<int>, decoded string")
+    return whole.mapInArrow(returning_memory(_assembler(vocabulary)), "doc_id long, ids array<int>, decoded string")
 
 
 def digest(docs: DataFrame, path: str | None = None) -> DataFrame:

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm.common import query, table
+from headway.llm.common import query, returning_memory, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 # bytes that one leaf of the tree merges without a join
@@ -187,7 +187,7 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     tokens in a text are ordinary text. Repeated rows stay; other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(_coder(shared), _OUT)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(returning_memory(_coder(shared)), _OUT)
 
 
 def digest(docs: DataFrame, path: str | None = None) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,6 +81,21 @@ def keep_rows(docs: DataFrame, kept: DataFrame, once: bool = False) -> DataFrame
     return (found.dropDuplicates([key]) if once else found).select([F.col(f"`{c}`") for c in docs.columns])
 
 
+def returning_memory(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """`work` as a task that gives its memory back when it ends, as Python workers live on and serve other tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):
+            pass  # another C library, which has no such call
+
+    return run
+
+
 class Scratch:
     """Written tables of one job in the shared folder, which it drops as soon as nothing needs them."""
 
@@ -87,7 +104,6 @@ class Scratch:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = self.paths[name] = scratch_path(self.spark, name)
-        self.release()
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
