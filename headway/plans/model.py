@@ -19,6 +19,7 @@ from headway.operators.cleaning import flags_to_int, ids_to_int, impute_medians,
 from headway.operators.enrich import HOLIDAY_FEATURES
 from headway.operators.metrics import class_report, pair_counts, with_class_weight
 from headway.operators.ranks import split_by_date, split_by_ratio
+from headway.plans.boosting import Booster, Settings, fit
 from headway.session import written
 
 TARGET = "occupancy_mode"
@@ -31,8 +32,6 @@ FEATURES = [
 ]
 NOT_FEATURES = [TARGET, "window_start", "date", "speed_std", "avg_speed"]
 
-# Tree depth and seed of the classifier.
-MAX_DEPTH = 8
 SEED = 42
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -76,44 +75,36 @@ def assemble(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep").transform(df)
 
 
-def train(train_df: DataFrame, trees: int = 200, depth: int = MAX_DEPTH, use_class_weights: bool = True) -> PipelineModel:
-    """Weighted multi-class tree ensemble over the fixed feature order."""
+def train(train_df: DataFrame, settings: Settings = Settings(), use_class_weights: bool = True) -> Booster:
+    """Boosted trees with a softmax over the classes, over the fixed feature order."""
     rows = with_class_weight(train_df, TARGET) if use_class_weights else train_df.withColumn("class_weight", F.lit(1.0))
-    rows = rows.withColumn("label", F.col(TARGET).cast("double"))
-    stages = [
-        VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep"),
-        RandomForestClassifier(
-            labelCol="label", weightCol="class_weight", numTrees=trees, maxDepth=depth,
-            subsamplingRate=0.7, featureSubsetStrategy="0.8", minInstancesPerNode=1, seed=SEED,
-        ),
-    ]
-    return Pipeline(stages=stages).fit(rows)
+    return fit(rows, FEATURES, TARGET, "class_weight", settings)
 
 
-def model_scorer(model: PipelineModel) -> Scorer:
+def model_scorer(model: Booster) -> Scorer:
     """Batch scorer that adds the most likely class and its probability."""
 
     def score(df: DataFrame) -> DataFrame:
-        probabilities = vector_to_array(F.col("probability"))
-        scored = model.transform(df)
-        return scored.withColumns(
-            {"predicted_occupancy": top_class(probabilities), "confidence": top_confidence(probabilities)}
-        ).drop("features", "rawPrediction", "probability", "prediction")
+        names = {"predicted_occupancy": top_class(F.col("_probability")), "confidence": top_confidence(F.col("_probability"))}
+        return model.scored(df, "_probability").withColumns(names).drop("_probability")
 
     return score
 
 
+def score_stored(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
+    """Class and confidence of every row by the model stored at `path`."""
+    return model_scorer(Booster.load(spark, path))(df)
+
+
 def rule_scorer(df: DataFrame) -> DataFrame:
     """Scorer without a model: the time-of-day rule."""
     rule = rule_class(F.col("hour"), F.col("is_work_free").cast("boolean"), F.col("is_red_day").cast("boolean"))
     return df.withColumns({"predicted_occupancy": rule, "confidence": F.lit(RULE_CONFIDENCE)})
 
 
-def importance_rank(model: PipelineModel) -> DataFrame:
-    """Features by falling importance; one row per feature."""
-    spark = SparkSession.active()
-    values = model.stages[-1].featureImportances.toArray().tolist()
-    rows = spark.createDataFrame(list(zip(FEATURES, values)), "feature string, importance double")
+def importance_rank(model: Booster) -> DataFrame:
+    """Features by falling mean gain of their splits; one row per feature."""
+    rows = SparkSession.active().createDataFrame(model.importances(), "feature string, importance double")
     return rows.orderBy(F.col("importance").desc(), "feature")
 
 

@@ -63,3 +63,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the table of a frame made by `written`, once nothing reads it any more."""
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        if f"{shared_dir(df.sparkSession).rpartition(':')[2].lstrip('/')}/headway/" in folder:
+            path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,10 +7,13 @@ from headway.operators.cleaning import flags_to_int, ids_to_int
 from headway.operators.enrich import training_set
 from headway.operators.metrics import weighted_metrics
 from headway.plans import inference, model
+from headway.plans.boosting import Booster
+from headway.session import scratch_path
 from headway.suite.products import last_days, stop_box, today
 from headway.suite.registry import query
 
-TREES = 200
+# where this process has stored the model of a session's tables
+_STORED: dict[tuple[str, str], str] = {}
 
 
 def labelled(t):
@@ -21,6 +24,16 @@ def split(t):
     return model.prepare(labelled(t))
 
 
+def trained(t) -> Booster:
+    """The model of the tables: fitted and stored by the first query that needs it, loaded by the others."""
+    key = t.spark.sparkContext.applicationId, t.sf_dir
+    if key not in _STORED:
+        path = scratch_path(t.spark, "occupancy-model")
+        model.train(split(t)[0]).save(t.spark, path)
+        _STORED[key] = path
+    return Booster.load(t.spark, _STORED[key])
+
+
 _IDS, _FLAGS = ("trip_id", "vehicle_id"), ("is_work_free", "is_red_day", "is_day_before_holiday")
 _WHOLE = ("n_positions", "hour", "day_of_week")
 _JOINED = """flagged LEFT JOIN (SELECT * EXCLUDE (date, hour), "timestamp" AS window_start FROM weather_hour) USING (window_start)"""
@@ -72,44 +85,38 @@ def assemble(t):
 @query("train_weighted")
 def train_weighted(t):
     """Train, then test quality of the fitted classifier."""
-    train, test = split(t)
-    scored = model.model_scorer(model.train(train, trees=TREES))(test)
+    scored = model.model_scorer(trained(t))(split(t)[1])
     return weighted_metrics(scored, "occupancy_mode", "predicted_occupancy")
 
 
 @query("score_batch")
 def score_batch(t):
-    train, test = split(t)
-    scored = model.model_scorer(model.train(train, trees=TREES))(test)
+    scored = model.model_scorer(trained(t))(split(t)[1])
     return scored.select("window_start", "trip_id", "occupancy_mode", "predicted_occupancy", "confidence")
 
 
 @query("importance_rank")
 def importance_rank(t):
-    train, _ = split(t)
-    return model.importance_rank(model.train(train, trees=TREES))
+    return model.importance_rank(trained(t))
 
 
 @query("hindcast_model")
 def hindcast_model(t):
-    train, _ = split(t)
-    scorer = model.model_scorer(model.train(train, trees=TREES))
+    scorer = model.model_scorer(trained(t))
     return inference.hindcast(t.windows, t.weather, t.holidays, "2024-01-29", scorer, generated_at="2024-01-30 10:30:00")
 
 
 @query("grid_forecast_model")
 def grid_forecast_model(t):
     """Class mix of the map when the trained model scores the grid."""
-    train, _ = split(t)
-    scorer = model.model_scorer(model.train(train, trees=TREES))
+    scorer = model.model_scorer(trained(t))
     cells = inference.grid_forecast(last_days(t), stop_box(t), t.weather, t.holidays, scorer)
     return cells.groupBy("hour", "weekday", "predicted_occupancy").agg(F.count("*").alias("n_cells"), F.avg("confidence").alias("confidence"))
 
 
 @query("trip_forecast_model")
 def trip_forecast_model(t):
-    train, _ = split(t)
-    scorer = model.model_scorer(model.train(train, trees=TREES))
+    scorer = model.model_scorer(trained(t))
     trips = t.routes.withColumnRenamed("route_id", "trip_id")
     return inference.trip_forecast(trips, t.weather, t.holidays, today(t), scorer, generated_at="2024-01-30 10:30:00")
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from headway.operators import metrics
 from headway.plans import model
+from headway.plans.boosting import Settings
 
 
 @pytest.fixture(scope="module")
@@ -38,7 +39,7 @@ def test_prepare(parts):
 
 def test_learns_and_ranks(parts):
     train, test = parts
-    fitted = model.train(train, trees=15, depth=5)
+    fitted = model.train(train, Settings(rounds=10, depth=4, rate=0.3))
     scored = model.model_scorer(fitted)(test)
     assert metrics.weighted_metrics(scored, "occupancy_mode", "predicted_occupancy").first()["accuracy"] > 0.95
     assert scored.filter((F.col("confidence") < 0) | (F.col("confidence") > 1)).isEmpty()
@@ -47,6 +48,15 @@ def test_learns_and_ranks(parts):
     assert sum(r["importance"] for r in ranked) == pytest.approx(1.0)
 
 
+def test_stored_model_scores_alike(spark, parts, tmp_path):
+    train, test = parts
+    fitted = model.train(train, Settings(rounds=3, depth=3), use_class_weights=False)
+    fitted.save(spark, str(tmp_path / "model"))
+    columns = "window_start", "trip_id", "predicted_occupancy", "confidence"
+    wanted = sorted(map(tuple, model.model_scorer(fitted)(test).select(*columns).collect()))
+    assert sorted(map(tuple, model.score_stored(spark, str(tmp_path / "model"), test).select(*columns).collect())) == wanted
+
+
 def test_ordinal_models(parts):
     train, test = parts
     scored = model.score_ordinal(model.train_ordinal(train, rounds=3, depth=3), test)
