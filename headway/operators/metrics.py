@@ -6,7 +6,7 @@ leaves at most a few dozen rows however long the table is.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from headway.functions.occupancy import CLASSES, occupancy_dim
@@ -277,3 +277,24 @@ def not_null_gate(df: DataFrame, columns: list[str], name: str = "dataset") -> D
     if failed:
         raise GateFailed(f"{name}: nulls found in {failed}")
     return df
+
+
+class NullCounts:
+    """Nulls of required columns, counted by the pass that reads the rows anyway."""
+
+    def __init__(self, columns: list[str], name: str = "dataset"):
+        self.columns, self.name, self.seen = columns, name, None
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        """The same rows; whatever action runs over them counts."""
+        if not self.columns:
+            return df
+        self.seen = Observation()
+        return df.observe(self.seen, *[F.count_if(F.col(c).isNull()).alias(c) for c in self.columns])
+
+    def check(self) -> None:
+        """Raise when the action that ran found nulls."""
+        if self.seen is not None:
+            failed = {c: n for c, n in self.seen.get.items() if n}
+            if failed:
+                raise GateFailed(f"{self.name}: nulls found in {failed}")

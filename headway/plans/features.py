@@ -53,11 +53,10 @@ def combined_features(windows: DataFrame, incidents: DataFrame, weather: DataFra
 def run_day(store: TableStore, pings: DataFrame, incidents: DataFrame, weather: DataFrame, holidays: DataFrame) -> DataFrame:
     """Store windows and combined features of the days of the pings; returns the features of those days.
 
-    Only the stored windows of these days are read, enriched and rewritten; other days keep their files.
+    Only the stored windows of these days are read and enriched; nothing that is stored is written again.
     """
     window_spec, combined_spec = CATALOG["vehicle_trip_agg_fg"], CATALOG["combined_features_daily"]
-    days = store.upsert(window_spec, trip_windows(pings))
-    windows = store.read(window_spec).filter(F.col(window_spec.partition).isin(days))
-    combined = combined_features(windows, incidents, weather, holidays)
+    days = store.touched(window_spec, store.upsert(window_spec, trip_windows(pings)))
+    combined = combined_features(store.read(window_spec, only=days), incidents, weather, holidays)
     store.upsert(combined_spec, combined)
-    return store.read(combined_spec).filter(F.col(combined_spec.partition).isin(days))
+    return store.read(combined_spec, only=days)

@@ -1,29 +1,22 @@
 """Keyed, versioned Parquet tables.
 
-A table is a folder <root>/<name>_v<version>, partitioned by a value that its
-key determines. An upsert therefore touches only the partitions its batch
-falls into, and running it twice gives the same table.
-
-Every write goes to a new batch= folder and counts only once a single small
-file in <table>.commits says which partitions it replaces. A job that dies
-before that leaves the table as it was. A table has one writer at a time;
-readers are not disturbed, because replaced folders stay until someone
-removes them.
+A table is a folder <root>/<name>_v<version> of appended runs: run=<number>/<partition>=<value>. Readers take
+the newest row of each key, by event time, then by run, so an upsert reads and rewrites nothing that is there
+and running it twice gives the same table. The partition is a value that the key determines: filters on it
+reach the files. A run is written aside and appears by one rename, so a job that dies leaves the table as it
+was. `compact` replaces the runs by one that holds the newest rows. A table has one writer at a time.
 """
 
 from __future__ import annotations
 
-import re
-import uuid
-from dataclasses import dataclass, field, replace
+import time
+from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.operators.metrics import not_null_gate
+from headway.operators.metrics import NullCounts
 from headway.operators.windows import first_per_key
-from headway.session import written
 
 
 @dataclass(frozen=True)
@@ -85,38 +78,23 @@ class TableStore:
     def path(self, spec: TableSpec, version: int | None = None) -> str:
         return f"{self.root}/{spec.name}_v{version or spec.version}"
 
-    def _commits(self, spec: TableSpec) -> DataFrame | None:
-        """Log of the table: commit number, partition value as text ('' for null), batch folder that holds it."""
-        try:
-            return self.spark.read.schema("commit bigint, value string, batch string").parquet(self.path(spec) + ".commits")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-
-    def _live(self, spec: TableSpec) -> dict[str, list[str]]:
-        """Batch folders and the partition values that readers take from each; one entry per partition."""
-        log = self._commits(spec)
-        live: dict[str, list[str]] = {}
-        if log is not None:
-            for value, batch in log.groupBy("value").agg(F.max_by("batch", "commit")).orderBy("value").collect():
-                live.setdefault(batch, []).append(value)
-        return live
-
-    def partitions(self, spec: TableSpec) -> list[str]:
-        """Partition values of the table as text, from its log alone."""
-        return sorted(value for values in self._live(spec).values() for value in values)
-
-    def read(self, spec: TableSpec, version: int | None = None) -> DataFrame | None:
-        """The table, or None when nothing was written yet."""
-        spec = replace(spec, version=version or spec.version)
-        live = self._live(spec)
-        if not live:
+    def _runs(self, spec: TableSpec, version: int | None = None) -> DataFrame | None:
+        """All rows of all runs, or None when nothing was written yet."""
+        path = self.path(spec, version)
+        if not self._files(path).globStatus(self._path(f"{path}/run=*")):
             return None
-        # exactly the current folders: replaced ones are neither listed nor opened
-        path = self.path(spec)
-        folders = [f"{path}/batch={b}/{spec.partition}={_folder_name(v)}" for b, values in live.items() for v in values]
-        return self.spark.read.option("basePath", path).parquet(*folders).drop("batch")
+        # a later run may have further columns
+        return self.spark.read.option("basePath", path).option("mergeSchema", True).parquet(path)
+
+    def read(self, spec: TableSpec, version: int | None = None, only: DataFrame | None = None) -> DataFrame | None:
+        """The newest row of each key, or None when nothing was written yet; with `only` those of its partition values."""
+        runs = self._runs(spec, version)
+        if runs is None:
+            return None
+        if only is not None:
+            runs = runs.join(only.select(spec.partition).distinct(), spec.partition, "left_semi")
+        # the key determines the partition; named with it, filters on the partition pass below the choice
+        return first_per_key(runs, [*spec.keys, spec.partition], [*_newest(spec), F.col("run").desc()]).drop("run")
 
     def newest_with_rows(self, spec: TableSpec, versions: list[int]) -> DataFrame | None:
         """First of the given versions that holds rows."""
@@ -126,67 +104,73 @@ class TableStore:
                 return table
         return None
 
-    def upsert(self, spec: TableSpec, batch: DataFrame) -> list:
-        """Insert or replace by key; the later event time wins, then the batch. Returns the partition values of the batch.
+    def upsert(self, spec: TableSpec, batch: DataFrame, run: int | None = None) -> int:
+        """Insert or replace by key; the later event time wins, then the later run. Returns the number of the run.
 
-        Only partitions the batch touches are read and rewritten. They are
-        switched by one commit, so a run that stops at any point leaves the old
-        table, and a repeated run ends in the same table.
+        One pass over the batch: it counts nulls of required columns, keeps one row per key and writes it. A
+        run that names its number replaces an earlier run of that number.
         """
-        # the batch feeds several passes: write it once instead of recomputing it
-        staged = written(batch.withColumn(spec.partition, F.expr(spec.partition_expr)), spec.folder)
-        if spec.not_null:
-            not_null_gate(staged, list(spec.not_null), spec.folder)
-        current = self.read(spec)
-        merged = staged.withColumn("_fresh", F.lit(1))
-        # partition values of one batch, a few days as a rule: literals prune the scan
-        touched = [row[0] for row in staged.select(spec.partition).distinct().orderBy(spec.partition).collect()]
-        if current is not None:
-            old = current.filter(_holds(spec.partition, touched)).withColumn("_fresh", F.lit(0))
-            merged = merged.unionByName(old, allowMissingColumns=True)
-        order: list[Column] = [F.col(spec.event_time).desc_nulls_last()] if spec.event_time else []
-        rest = [c for c in staged.columns if c not in spec.keys]
-        order += [F.col("_fresh").desc(), *[F.col(c).asc_nulls_last() for c in rest if _orderable(staged, c)]]
-        newest = first_per_key(merged, list(spec.keys), order).drop("_fresh")
-        self.write(spec, newest)
-        return touched
-
-    def write(self, spec: TableSpec, df: DataFrame) -> None:
-        """Replace the partitions that occur in the frame."""
-        self._switch(spec, self._stage(spec, df))
-
-    def _stage(self, spec: TableSpec, df: DataFrame) -> str:
-        """Write a batch folder that no reader sees yet."""
-        batch = f"b{uuid.uuid4().hex}"
-        write_partitioned(df, f"{self.path(spec)}/batch={batch}", spec.partition)
-        return batch
-
-    def _switch(self, spec: TableSpec, batch: str) -> None:
-        """Make the partitions of a batch folder current, by one file that appears whole or not at all."""
-        log = self._commits(spec)
-        last = 0 if log is None else log.agg(F.coalesce(F.max("commit"), F.lit(0))).first()[0]
+        counts = NullCounts(list(spec.not_null), spec.folder)
+        rows = counts.watch(batch.withColumn(spec.partition, F.expr(spec.partition_expr)))
+        rest = [F.col(c).asc_nulls_last() for c in rows.columns if c not in spec.keys and _orderable(rows, c)]
+        return self.write(spec, first_per_key(rows, list(spec.keys), [*_newest(spec), *rest]), run, counts)
+
+    def write(self, spec: TableSpec, df: DataFrame, run: int | None = None, counts: NullCounts | None = None, version: int | None = None) -> int:
+        """Append the rows as a run; it becomes visible when all of it is there and its null counts are clean."""
+        run, path = run or time.time_ns() // 1000, self.path(spec, version)
+        staged = f"{path}/.staged-{run}"
+        write_partitioned(df, staged, spec.partition)
+        if counts is not None:
+            try:
+                counts.check()
+            except ValueError:
+                self._files(path).delete(self._path(staged), True)
+                raise
+        self._publish(staged, f"{path}/run={run}")
+        return run
+
+    def _path(self, text: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(text)
+
+    def _files(self, text: str):
+        return self._path(text).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _publish(self, staged: str, folder: str) -> None:
+        files = self._files(folder)
+        files.delete(self._path(folder), True)
+        if not files.globStatus(self._path(f"{staged}/*=*")):  # no rows, no run
+            files.delete(self._path(staged), True)
+        elif not files.rename(self._path(staged), self._path(folder)):
+            raise OSError(f"{staged} could not become {folder}")
+
+    def touched(self, spec: TableSpec, run: int) -> DataFrame:
+        """Partition values that a run has rows in; only folder names are read."""
+        runs = self._runs(spec)
+        return runs.filter(F.col("run") == run).select(spec.partition).distinct()
+
+    def compact(self, spec: TableSpec) -> None:
+        """Replace all runs by one with the newest row of each key. Readers that began before need to start again."""
+        runs = self._runs(spec)
+        if runs is None:
+            return
+        last = runs.agg(F.max("run")).first()[0]
         path = self.path(spec)
-        try:
-            rows = self.spark.read.option("basePath", path).parquet(f"{path}/batch={batch}")
-        except AnalysisException as error:
-            if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # an empty frame has no partitions
-                return
-            raise
-        # no data column is read for the partition values
-        values = rows.select(_as_text(spec.partition).alias("value")).distinct()
-        entry = values.select(F.lit(last + 1).cast("bigint").alias("commit"), "value", F.lit(batch).alias("batch"))
-        entry.coalesce(1).write.mode("append").parquet(path + ".commits")
+        old = [s.getPath() for s in self._files(path).listStatus(self._path(path)) if s.getPath().getName().startswith("run=")]
+        # its number is above those it replaces and below that of any later run
+        self.write(spec, self.read(spec), last + 1)
+        for folder in old:
+            self._files(path).delete(folder, True)
 
     def rows_per_day(self, spec: TableSpec, instant: str, day=None, last: int = 5) -> DataFrame:
         """Row counts of the newest days, and of the wanted day even when it has none.
 
-        In a table partitioned by that day, the log names the days, and only their partitions are counted.
+        In a table partitioned by that day the folders name the days, and only those that count are read.
         """
         table, date = self.read(spec), F.to_date(instant)
         wanted_day = F.lit(day).cast("date")
         if spec.partition_expr == f"to_date({instant})":
             date = F.col(spec.partition)
-            newest = [F.lit(v).cast("date") for v in self.partitions(spec) if v][-last:]
+            newest = [F.lit(r[0]) for r in self._runs(spec).select(date).distinct().orderBy(date.desc()).limit(last).collect()]
             table = table.filter(date.isin(*newest, *([] if day is None else [wanted_day])))
         counts = table.groupBy(date.alias("date")).agg(F.count("*").alias("n_rows"))
         recent = counts.orderBy(F.col("date").desc()).limit(last)
@@ -196,22 +180,8 @@ class TableStore:
         return recent.unionByName(wanted).distinct()
 
 
-# Characters that partition folders escape, and the folder name of null.
-_ESCAPED = r"""[\x00-\x1f\x7f"#%'*/:=?\\{\[\]^]"""
-_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
-
-
-def _folder_name(value: str) -> str:
-    return re.sub(_ESCAPED, lambda c: f"%{ord(c[0]):02X}", value) or _NULL_FOLDER
-
-
-def _holds(partition: str, values: list) -> Column:
-    known = F.col(partition).isin([v for v in values if v is not None])
-    return known | F.col(partition).isNull() if None in values else known
-
-
-def _as_text(partition: str) -> Column:
-    return F.coalesce(F.col(partition).cast("string"), F.lit(""))
+def _newest(spec: TableSpec) -> list[Column]:
+    return [F.col(spec.event_time).desc_nulls_last()] if spec.event_time else []
 
 
 def _orderable(df: DataFrame, column: str) -> bool:

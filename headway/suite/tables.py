@@ -1,7 +1,5 @@
 """Keyed tables: scans, upserts, checks and versions, on tables written for the run."""
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from headway.operators import metrics
@@ -84,6 +82,6 @@ def null_counts(t):
 def version_fallback(t):
     """Version 2 exists but is empty, version 1 holds the rows."""
     store, spec = TableStore(t.spark, scratch_path(t.spark, "tables")), CATALOG["vehicle_trip_agg_fg"]
-    store.write(replace(spec, version=1), t.windows)
+    store.write(spec, t.windows, version=1)
     store.write(spec, t.windows.filter("false"))
     return store.newest_with_rows(spec, [2, 1]).select("trip_id", "window_start")

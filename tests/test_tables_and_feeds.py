@@ -168,13 +168,13 @@ def test_upsert_gate_and_untouched_partitions(spark):
     assert "PartitionFilters: [isnotnull(date" in plan
 
 
-def test_a_run_that_stops_before_the_switch_keeps_the_old_rows(spark, monkeypatch):
+def test_a_run_that_stops_before_it_appears_keeps_the_old_rows(spark, monkeypatch):
     store, spec = TableStore(spark, scratch_path(spark, "t")), CATALOG["vehicle_trip_agg_fg"]
     row = spark.sql("select 'a' trip_id, timestamp'2024-01-01 10:00:00' window_start, 1 n")
     store.upsert(spec, row)
     newer = row.unionAll(spark.sql("select 'b', timestamp'2024-01-01 11:00:00', 2"))
     with monkeypatch.context() as broken:
-        broken.setattr(TableStore, "_switch", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        broken.setattr(TableStore, "_publish", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError):
             store.upsert(spec, newer)
     assert [(r["trip_id"], r["n"]) for r in store.read(spec).collect()] == [("a", 1)]
@@ -182,6 +182,49 @@ def test_a_run_that_stops_before_the_switch_keeps_the_old_rows(spark, monkeypatc
     assert sorted((r["trip_id"], r["n"]) for r in store.read(spec).collect()) == [("a", 1), ("b", 2)]
 
 
+def test_compaction_keeps_the_newest_rows(spark):
+    store, spec = TableStore(spark, scratch_path(spark, "t")), CATALOG["vehicle_trip_agg_fg"]
+    rows = spark.sql("select concat('t', id % 7) trip_id, timestampadd(HOUR, id % 60, timestamp'2024-01-01 10:00:00') window_start, id n from range(420)")
+    store.compact(spec)  # nothing there yet
+    for part in range(4):
+        store.upsert(spec, rows.filter(F.col("n") % 3 != part).withColumn("n", F.col("n") + 1000 * part))
+    before = sorted(map(tuple, store.read(spec).select("trip_id", "window_start", "n").collect()))
+    store.compact(spec)
+    assert store._runs(spec).select("run").distinct().count() == 1 and store._runs(spec).count() == len(before) == 420
+    assert sorted(map(tuple, store.read(spec).select("trip_id", "window_start", "n").collect())) == before
+    store.upsert(spec, rows.limit(1).withColumn("n", F.lit(-1).cast("bigint")))
+    assert store.read(spec).filter("n = -1").count() == 1
+
+
+def test_a_named_run_replaces_itself_and_may_bring_columns(spark):
+    store, spec = TableStore(spark, scratch_path(spark, "t")), CATALOG["vehicle_trip_agg_fg"]
+    row = spark.sql("select 'a' trip_id, timestamp'2024-01-01 10:00:00' window_start, 1 n")
+    store.upsert(spec, row, run=7)
+    store.upsert(spec, row.withColumn("n", F.lit(2)), run=7)
+    store.upsert(spec, row.withColumns({"trip_id": F.lit("b"), "more": F.lit(5)}), run=9)
+    assert sorted((r["trip_id"], r["n"], r["more"]) for r in store.read(spec).collect()) == [("a", 2, None), ("b", 1, 5)]
+    assert [str(r[0]) for r in store.touched(spec, 9).collect()] == ["2024-01-01"]
+
+
+def test_gate_counts_in_the_pass_that_writes(spark):
+    """A batch is evaluated once: the gate needs no scan of its own."""
+    store, spec = TableStore(spark, scratch_path(spark, "t")), CATALOG["vehicle_trip_agg_fg"]
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.sql("select if(id = 3, null, 'a') trip_id, timestampadd(HOUR, id, timestamp'2024-01-01 10:00:00') window_start from range(10)")
+    rows = rows.coalesce(1).mapInArrow(counted, rows.schema)
+    with pytest.raises(ValueError, match="trip_id': 1"):
+        store.upsert(spec, rows)
+    assert store.read(spec) is None and seen.value == 10
+    store.upsert(spec, rows.filter("trip_id is not null"))
+    assert store.read(spec).count() == 9 and seen.value == 20
+
+
 def test_odd_partition_values(spark):
     store, spec = TableStore(spark, scratch_path(spark, "t")), CATALOG["static_trip_info_fg"]
     rows = spark.sql("select * from values ('a', 'x=1/2 %', 1), ('b', null, 2), ('c', '2024-01-01', 3) t(trip_id, feed_date, n)")
@@ -197,7 +240,7 @@ def test_rows_per_day_counts_only_the_days_it_returns(spark):
     counted = store.rows_per_day(spec, "window_start", last=2)
     assert sorted((r["date"].day, r["n_rows"]) for r in counted.collect()) == [(8, 1), (9, 1)]
     scan = counted._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in scan and "ReadSchema: struct<>" in scan
+    assert "PartitionFilters" in scan and "ReadSchema: struct<trip_id:string,window_start:timestamp>" in scan  # the key alone
 
 
 def test_slot_map_round_trip(spark):
