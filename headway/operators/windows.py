@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.clock import with_time_parts
@@ -51,21 +51,81 @@ def mode_per_key(df: DataFrame, keys: list[str], value: str, name: str | None =
     return votes.groupBy(*keys).agg(best.alias(name or value))
 
 
-def trip_windows(pings: DataFrame, unit: str = "minute") -> DataFrame:
-    """One row per (trip, window) with speed, position, bearing and occupancy features.
+WINDOW_KEYS = ["trip_id", "window_start"]
+STATE_KEYS = [*WINDOW_KEYS, "vehicle_id", "occupancy_status"]
+# numbers whose sum and count a state carries, and extremes by the name of the window column
+_SUMS = {"speed": "speed", "lat": "position_lat", "lon": "position_lon"}
+_EXTREMES = {
+    "max_speed": (F.max, "speed"), "lat_min": (F.min, "position_lat"), "lat_max": (F.max, "position_lat"), "lon_min": (F.min, "position_lon"),
+    "lon_max": (F.max, "position_lon"), "bearing_min": (F.min, "bearing"), "bearing_max": (F.max, "bearing"),
+}
+_COUNTED = ["n_pings", *[f"{name}_{part}" for name in _SUMS for part in ("n", "sum")]]
+
 
-    Two aggregations over the same pruned scan, both pre-summed on the map
-    side and both hash-partitioned on the window key, so the closing join adds
-    no exchange of its own.
+def window_states(pings: DataFrame, unit: str = "minute") -> DataFrame:
+    """Partial windows: one row per trip, window, vehicle and occupancy, of numbers that add up.
+
+    States of further pings may simply be appended: `windows_of_states` takes any number of rows per key. A
+    trip that holds a large share of the pings is spread over its vehicles, and tasks pre-sum their own rows.
     """
     keyed = usable_pings(pings).withColumn("window_start", F.date_trunc(unit, F.col("timestamp")))
-    keyed = keyed.filter(F.col("window_start").isNotNull())
-    keys = ["trip_id", "window_start"]
-    stats = keyed.groupBy(*keys).agg(*window_stats())
-    vehicles = mode_per_key(keyed, keys, "vehicle_id")
-    # every kept ping has a vehicle, so both sides have exactly the same keys
-    joined = vehicles.join(stats, keys, "inner")
-    return with_time_parts(joined, "window_start")
+    sums = [column for name, value in _SUMS.items() for column in (F.count(value).alias(f"{name}_n"), F.sum(value).alias(f"{name}_sum"))]
+    # squares about the state's own mean: those of states add up without losing digits
+    squares = (F.var_pop("speed") * F.count("speed")).alias("speed_squares")
+    extremes = [best(value).alias(name) for name, (best, value) in _EXTREMES.items()]
+    return keyed.filter(F.col("window_start").isNotNull()).groupBy(*STATE_KEYS).agg(F.count("*").alias("n_pings"), *sums, squares, *extremes)
+
+
+def _about_mean(keys: list[str]) -> Column:
+    """Squares of a state's speeds about the mean of all states of the key."""
+    whole = Window.partitionBy(*keys)
+    mean = F.sum("speed_sum").over(whole) / F.nullif(F.sum("speed_n").over(whole), F.lit(0))
+    away = F.col("speed_sum") / F.nullif(F.col("speed_n"), F.lit(0)) - mean
+    return F.col("speed_squares") + F.col("speed_n") * away * away
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """One state per key out of any number of them, with the same windows."""
+    extremes = [best(name).alias(name) for name, (best, _) in _EXTREMES.items()]
+    near = states.withColumn("speed_squares", _about_mean(STATE_KEYS))
+    return near.groupBy(*STATE_KEYS).agg(*[F.sum(c).alias(c) for c in (*_COUNTED, "speed_squares")], *extremes)
+
+
+def windows_of_states(states: DataFrame) -> DataFrame:
+    """One row per (trip, window) with speed, position, bearing and occupancy features.
+
+    The states meet once, by trip and window; the votes for vehicle and occupancy and the sums are then added
+    up in place. Lowest value wins ties, nulls do not vote. A window's states are as many as its vehicles and
+    occupancies, however many pings it has.
+    """
+    # one order serves the sums by window and by vehicle, the next one the sums by occupancy and the rows themselves
+    near = states.repartition(*WINDOW_KEYS).sortWithinPartitions(*WINDOW_KEYS, "vehicle_id")
+    near = near.withColumn("speed_squares", _about_mean(WINDOW_KEYS))
+    for name in ("vehicle_id", "occupancy_status"):
+        near = near.withColumn(f"{name}_votes", F.sum("n_pings").over(Window.partitionBy(*WINDOW_KEYS, name)))
+
+    def mode(name: str) -> Column:
+        return F.min_by(name, F.when(F.col(name).isNotNull(), F.struct(-F.col(f"{name}_votes"), name)))
+
+    def mean(name: str) -> Column:
+        return F.sum(f"{name}_sum") / F.nullif(F.sum(f"{name}_n"), F.lit(0))
+
+    speeds = F.sum("speed_n")
+    out = near.groupBy(*WINDOW_KEYS).agg(
+        mode("vehicle_id").alias("vehicle_id"),
+        mean("speed").alias("avg_speed"), F.max("max_speed").alias("max_speed"), speeds.alias("n_positions"),
+        F.when(speeds > 1, F.sqrt(F.sum("speed_squares") / (speeds - 1))).alias("speed_std"),
+        F.min("lat_min").alias("lat_min"), F.max("lat_max").alias("lat_max"), mean("lat").alias("lat_mean"),
+        F.min("lon_min").alias("lon_min"), F.max("lon_max").alias("lon_max"), mean("lon").alias("lon_mean"),
+        F.min("bearing_min").alias("bearing_min"), F.max("bearing_max").alias("bearing_max"),
+        mode("occupancy_status").alias("occupancy_mode"),
+    )
+    return with_time_parts(out, "window_start")
+
+
+def trip_windows(pings: DataFrame, unit: str = "minute") -> DataFrame:
+    """Trip windows of a batch of pings: one scan, two exchanges."""
+    return windows_of_states(window_states(pings, unit))
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql.types import (
 from headway.operators.cleaning import conform, null_normalise
 from headway.operators.enrich import attach_day_constants, join_weather
 from headway.operators.spatial import incident_features
-from headway.operators.windows import trip_windows
+from headway.operators.windows import trip_windows, window_states, windows_of_states
 from headway.sources.tables import CATALOG, TableStore
 
 
@@ -50,13 +50,28 @@ def combined_features(windows: DataFrame, incidents: DataFrame, weather: DataFra
     return conform(null_normalise(wide), COMBINED_SCHEMA)
 
 
-def run_day(store: TableStore, pings: DataFrame, incidents: DataFrame, weather: DataFrame, holidays: DataFrame) -> DataFrame:
+def store_pings(store: TableStore, pings: DataFrame, run: int) -> DataFrame:
+    """Add the pings of a numbered run to their windows; returns the days that have them.
+
+    The run's states are stored beside those of other runs, and the windows of its days are put together from
+    all of them, so late pings add to what is there. The same number again replaces the run's own pings.
+    """
+    state_spec, window_spec = CATALOG["vehicle_trip_state_fg"], CATALOG["vehicle_trip_agg_fg"]
+    days = store.touched(state_spec, store.upsert(state_spec, window_states(pings).withColumn("ping_run", F.lit(run).cast("bigint")), run))
+    store.upsert(window_spec, windows_of_states(store.read(state_spec, only=days)))
+    return days
+
+
+def run_day(
+    store: TableStore, pings: DataFrame, incidents: DataFrame, weather: DataFrame, holidays: DataFrame, run: int | None = None
+) -> DataFrame:
     """Store windows and combined features of the days of the pings; returns the features of those days.
 
-    Only the stored windows of these days are read and enriched; nothing that is stored is written again.
+    With a run number the pings add to the windows of earlier runs, without one their windows replace stored
+    ones. Only the stored windows of these days are read and enriched; nothing that is stored is written again.
     """
     window_spec, combined_spec = CATALOG["vehicle_trip_agg_fg"], CATALOG["combined_features_daily"]
-    days = store.touched(window_spec, store.upsert(window_spec, trip_windows(pings)))
+    days = store.touched(window_spec, store.upsert(window_spec, trip_windows(pings))) if run is None else store_pings(store, pings, run)
     combined = combined_features(store.read(window_spec, only=days), incidents, weather, holidays)
     store.upsert(combined_spec, combined)
     return store.read(combined_spec, only=days)

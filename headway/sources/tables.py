@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators.metrics import NullCounts
-from headway.operators.windows import first_per_key
+from headway.operators.windows import STATE_KEYS, first_per_key
 
 
 @dataclass(frozen=True)
@@ -38,12 +38,14 @@ class TableSpec:
         return f"{self.name}_v{self.version}"
 
 
-# Table names, versions, keys and event times.
+# Table names, versions, keys and event times (all but the partial windows).
 CATALOG = {
     s.name: s
     for s in [
         TableSpec("vehicle_trip_agg_fg", 2, ("trip_id", "window_start"), "window_start", "date", "to_date(window_start)",
                   "1 minute trip windows", ("trip_id", "window_start")),
+        TableSpec("vehicle_trip_state_fg", 1, (*STATE_KEYS, "ping_run"), None, "date", "to_date(window_start)",
+                  "partial windows per vehicle, occupancy and run", ("trip_id", "window_start")),
         TableSpec("weather_hourly_fg", 1, ("timestamp", "latitude", "longitude"), "timestamp", "day", "to_date(timestamp)",
                   "hourly weather"),
         TableSpec("swedish_holidays_fg", 1, ("date",), "date", "year", "year(date)", "holidays per day"),
@@ -145,8 +147,8 @@ class TableStore:
 
     def touched(self, spec: TableSpec, run: int) -> DataFrame:
         """Partition values that a run has rows in; only folder names are read."""
-        runs = self._runs(spec)
-        return runs.filter(F.col("run") == run).select(spec.partition).distinct()
+        path = self.path(spec)
+        return self.spark.read.option("basePath", path).parquet(f"{path}/run={run}").select(spec.partition).distinct()
 
     def compact(self, spec: TableSpec) -> None:
         """Replace all runs by one with the newest row of each key. Readers that began before need to start again."""

@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 from headway.functions.clock import with_time_parts
 from headway.operators import metrics, ranks
 from headway.operators.windows import first_per_key, lag_features, last_per_key, mode_per_key, trip_windows, usable_pings
+from headway.plans import features
+from headway.session import scratch_path
+from headway.sources.tables import CATALOG, TableStore
 from headway.suite.registry import query
 
 _WINDOW_COLUMNS = """trip_id, strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, vehicle_id, round(avg_speed, 7) AS avg_speed,
@@ -38,6 +41,27 @@ def window_1h(t):
     return t.windows
 
 
+@query("late_windows", f"""
+    WITH m AS (SELECT *, date_trunc('minute', "timestamp") AS window_start FROM pings),
+    st AS (SELECT trip_id, window_start, avg(speed) AS avg_speed, max(speed) AS max_speed, count(speed) AS n_positions, stddev_samp(speed) AS speed_std,
+        avg(position_lat) AS lat_mean, min(bearing) AS bearing_min FROM m GROUP BY ALL),
+    ve AS (SELECT trip_id, window_start, vehicle_id FROM m GROUP BY 1, 2, 3 QUALIFY row_number() OVER (PARTITION BY trip_id, window_start ORDER BY count(*) DESC, vehicle_id) = 1),
+    oc AS (SELECT trip_id, window_start, occupancy_status AS occupancy_mode FROM m WHERE occupancy_status IS NOT NULL GROUP BY 1, 2, 3
+        QUALIFY row_number() OVER (PARTITION BY trip_id, window_start ORDER BY count(*) DESC, occupancy_status) = 1)
+    SELECT trip_id, strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, vehicle_id, round(avg_speed, 7) AS avg_speed, round(max_speed, 7) AS max_speed,
+        CAST(n_positions AS BIGINT) AS n_positions, round(speed_std, 7) AS speed_std, round(lat_mean, 7) AS lat_mean, round(bearing_min, 7) AS bearing_min,
+        CAST(occupancy_mode AS BIGINT) AS occupancy_mode
+    FROM st JOIN ve USING (trip_id, window_start) LEFT JOIN oc USING (trip_id, window_start)""")
+def late_windows(t):
+    """A tenth of the pings comes late, in a run that is repeated: windows are those of all pings at once."""
+    store, late = TableStore(t.spark, scratch_path(t.spark, "late")), F.col("feed_entity_id").cast("bigint") % 10 == 0
+    for run, pings in ((1, t.pings.filter(~late)), (2, t.pings.filter(late)), (2, t.pings.filter(late))):
+        features.store_pings(store, pings, run)
+    return store.read(CATALOG["vehicle_trip_agg_fg"]).select(
+        "trip_id", "window_start", "vehicle_id", "avg_speed", "max_speed", "n_positions", "speed_std", "lat_mean", "bearing_min", "occupancy_mode"
+    )
+
+
 @query("mode_agg", """SELECT vehicle_id, CAST(occupancy_status AS BIGINT) AS "mode" FROM (SELECT vehicle_id, occupancy_status,
     row_number() OVER (PARTITION BY vehicle_id ORDER BY count(*) DESC, occupancy_status) AS rn
     FROM pings WHERE occupancy_status IS NOT NULL GROUP BY 1, 2) WHERE rn = 1""")

@@ -3,7 +3,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from headway.operators.windows import first_per_key, lag_features, last_per_key, mode_per_key, trip_windows
+from headway.operators.windows import (
+    first_per_key, lag_features, last_per_key, merged_states, mode_per_key, trip_windows, window_states, windows_of_states,
+)
 
 PING = "trip_id string, timestamp timestamp, vehicle_id string, speed double, position_lat double, position_lon double, bearing double, occupancy_status int"
 T0 = dt.datetime(2024, 1, 1, 8, 0, 0)
@@ -53,15 +55,30 @@ def test_mode_of_only_nulls_has_no_row(spark):
     assert {(r["k"], r["v"]) for r in mode_per_key(df, ["k"], "v").collect()} == {("b", 1)}
 
 
-def test_window_join_adds_no_exchange(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = trip_windows(pings(spark, [("a", 0, "v", 1.0, 1)]))._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # votes by value, votes by key, statistics
-    assert plan.count("Exchange hashpartitioning") == 3
-    assert "SortMergeJoin" in plan
+def test_one_scan_and_two_exchanges(spark, tmp_path):
+    pings(spark, [("a", 0, "v", 1.0, 1)]).write.parquet(f"file://{tmp_path}/p")
+    plan = trip_windows(spark.read.parquet(f"file://{tmp_path}/p"))._jdf.queryExecution().executedPlan().toString()
+    # states by their key, windows by theirs; the sums of a window need no exchange of their own
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_states_add_up_in_any_division(spark):
+    df = spark.range(3000).select(
+        F.concat(F.lit("t"), F.col("id") % 4).alias("trip_id"), F.timestamp_seconds(1704096000 + F.col("id") % 300).alias("timestamp"),
+        F.concat(F.lit("v"), F.pmod(F.hash("id"), 5)).alias("vehicle_id"), F.when(F.col("id") % 11 > 0, 1e6 + F.col("id") % 3).alias("speed"),
+        (F.col("id") % 90).cast("double").alias("position_lat"), F.lit(None).cast("double").alias("position_lon"),
+        F.col("id").cast("double").alias("bearing"), F.when(F.col("id") % 3 > 0, F.pmod(F.hash(F.col("id") + 1), 4)).cast("int").alias("occupancy_status"),
+    )
+    as_rows = lambda d: sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in d.collect())
+    whole = as_rows(trip_windows(df))
+    parts = [window_states(df.filter(F.col("bearing") % 3 == k)) for k in range(3)]
+    appended = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    assert as_rows(windows_of_states(appended)) == as_rows(windows_of_states(merged_states(appended))) == whole
+    assert merged_states(appended).count() == window_states(df).count() < appended.count()
+    # the deviation of large numbers keeps its digits
+    want = df.groupBy("trip_id", F.date_trunc("minute", "timestamp").alias("window_start")).agg(F.stddev_samp("speed").alias("s")).toPandas().set_index(["trip_id", "window_start"]).s
+    got = trip_windows(df).toPandas().set_index(["trip_id", "window_start"]).speed_std
+    assert (got - want).abs().max() < 1e-9 and len(got) == len(want) == 20
 
 
 def test_row_per_key_is_cut_before_the_shuffle(spark):
