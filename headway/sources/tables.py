@@ -147,8 +147,10 @@ class TableStore:
 
     def touched(self, spec: TableSpec, run: int) -> DataFrame:
         """Partition values that a run has rows in; only folder names are read."""
-        path = self.path(spec)
-        return self.spark.read.option("basePath", path).parquet(f"{path}/run={run}").select(spec.partition).distinct()
+        path, folder = self.path(spec), f"{self.path(spec)}/run={run}"
+        if not self._files(folder).exists(self._path(folder)):
+            return self.spark.createDataFrame([], f"{spec.partition} string")
+        return self.spark.read.option("basePath", path).parquet(folder).select(spec.partition).distinct()
 
     def compact(self, spec: TableSpec) -> None:
         """Replace all runs by one with the newest row of each key. Readers that began before need to start again."""
