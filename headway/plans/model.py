@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from headway.functions.occupancy import RULE_CONFIDENCE, ordinal_class, rule_class, top_class, top_confidence
@@ -33,6 +33,8 @@ FEATURES = [
 NOT_FEATURES = [TARGET, "window_start", "date", "speed_std", "avg_speed"]
 
 SEED = 42
+# rows of one block of a permutation
+PERMUTED_ROWS = 4096
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -108,6 +110,32 @@ def importance_rank(model: Booster) -> DataFrame:
     return rows.orderBy(F.col("importance").desc(), "feature")
 
 
+def permutation_importance(rows: DataFrame, scorer: Scorer, key: list[str], features: list[str] = FEATURES, seed: int = SEED) -> DataFrame:
+    """How much accuracy is lost when the values of one feature are dealt anew: feature, n_rows, accuracy, drop.
+
+    Each row takes one feature's value from a donor of its block: the row whose place in a seeded order is its
+    own place in another one. One join finds all donors, and one scoring pass covers the rows as they are
+    (feature null) and with each feature replaced. Blocks are dealt by hash and hold about PERMUTED_ROWS rows,
+    so no sort grows with the table. Rows need distinct keys.
+    """
+    named = F.concat_ws("|", *[F.col(c).cast("string") for c in key])
+    known = rows.filter(F.col(TARGET).isNotNull()).withColumn("_key", F.md5(named))
+    many = known.count()
+    block = F.conv(F.substring("_key", 1, 8), 16, 10).cast("bigint") % max(1, -(-many // PERMUTED_ROWS))
+    placed = known.withColumn("_block", block)
+    place = F.row_number().over(Window.partitionBy("_block").orderBy("_key"))
+    dealt = F.row_number().over(Window.partitionBy("_block").orderBy(F.md5(F.concat(F.lit(f"{seed}|"), F.col("_key")))))
+    donors = placed.select("_block", dealt.alias("_place"), F.struct(*features).alias("_donor"))
+    paired = placed.withColumn("_place", place).join(donors, ["_block", "_place"])
+    copies = paired.withColumn("_feature", F.explode(F.array(F.lit(None).cast("string"), *map(F.lit, features))))
+    changed = copies.withColumns({c: F.when(F.col("_feature") == c, F.col("_donor")[c]).otherwise(F.col(c)) for c in features})
+    scored = scorer(changed.drop("_donor")).groupBy(F.col("_feature").alias("feature")).agg(
+        F.count("*").alias("n_rows"), F.avg((F.col("predicted_occupancy") == F.col(TARGET)).cast("double")).alias("accuracy"))
+    # the window holds one row for each feature and one for the rows as they are
+    plain = F.max(F.when(F.col("feature").isNull(), F.col("accuracy"))).over(Window.partitionBy(F.lit(1)))
+    return scored.withColumn("drop", plain - F.col("accuracy"))
+
+
 def train_ordinal(train_df: DataFrame, rounds: int = 20, depth: int = 5) -> dict[str, PipelineModel]:
     """Three binary boosted models for occupancy >= 1, 2 and 3."""
     models = {}

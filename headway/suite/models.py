@@ -9,7 +9,7 @@ from headway.operators.metrics import weighted_metrics
 from headway.plans import inference, model
 from headway.plans.boosting import Booster
 from headway.session import scratch_path
-from headway.suite.products import last_days, stop_box, today
+from headway.suite.products import _RULE, last_days, stop_box, today
 from headway.suite.registry import query
 
 # where this process has stored the model of a session's tables
@@ -100,6 +100,28 @@ def importance_rank(t):
     return model.importance_rank(trained(t))
 
 
+_PERMUTED = ["hour", "day_of_week", "is_work_free", "is_red_day"]
+_DEALT = ", ".join(f"CASE WHEN feature = '{c}' THEN d.{c} ELSE r.{c} END AS {c}" for c in _PERMUTED)
+
+
+@query("permutation_importance", f"""WITH k AS (SELECT *, md5(trip_id || '|' || strftime(window_start, '%Y-%m-%d %H:%M:%S')) AS key FROM flagged WHERE occupancy_mode IS NOT NULL),
+    b AS (SELECT *, ('0x' || substr(key, 1, 8))::BIGINT % greatest(1, ceil(count(*) OVER () / {model.PERMUTED_ROWS})::BIGINT) AS block FROM k),
+    r AS (SELECT *, row_number() OVER (PARTITION BY block ORDER BY key) AS place, row_number() OVER (PARTITION BY block ORDER BY md5('{model.SEED}|' || key)) AS dealt FROM b),
+    c AS (SELECT f.feature, r.occupancy_mode, {_DEALT} FROM r JOIN r d ON d.block = r.block AND d.dealt = r.place CROSS JOIN (SELECT unnest([NULL, {", ".join(f"'{c}'" for c in _PERMUTED)}]) AS feature) f),
+    a AS (SELECT feature, count(*) AS n_rows, avg((({_RULE}) = occupancy_mode)::INTEGER) AS accuracy FROM c GROUP BY 1)
+    SELECT feature, n_rows, round(accuracy, 7) AS accuracy, round((SELECT accuracy FROM a WHERE feature IS NULL) - accuracy, 7) AS "drop" FROM a""")
+def permutation_importance(t):
+    """The time-of-day rule as scorer: what it loses without each feature."""
+    return model.permutation_importance(labelled(t), model.rule_scorer, ["trip_id", "window_start"], _PERMUTED)
+
+
+@query("permutation_importance_model")
+def permutation_importance_model(t):
+    """What the trained model loses without each feature, on the test rows."""
+    test = split(t)[1].withColumn("row_key", F.concat_ws("|", "trip_id", "vehicle_id", "window_start"))
+    return model.permutation_importance(test, model.model_scorer(trained(t)), ["row_key"])
+
+
 @query("hindcast_model")
 def hindcast_model(t):
     scorer = model.model_scorer(trained(t))

@@ -48,6 +48,16 @@ def test_learns_and_ranks(parts):
     assert sum(r["importance"] for r in ranked) == pytest.approx(1.0)
 
 
+def test_permutation_finds_the_planted_feature(spark, parts, monkeypatch):
+    train, test = parts
+    fitted = model.train(train, Settings(rounds=6, depth=3, rate=0.3))
+    for rows in (4096, 50):
+        monkeypatch.setattr(model, "PERMUTED_ROWS", rows)
+        found = {r["feature"]: r for r in model.permutation_importance(test, model.model_scorer(fitted), ["window_start"]).collect()}
+        assert len(found) == 24 and all(r["n_rows"] == 480 for r in found.values())
+        assert found[None]["drop"] == 0 and found["hour"]["drop"] > 0.2 == max(0.2, *(r["drop"] for f, r in found.items() if f != "hour"))
+
+
 def test_stored_model_scores_alike(spark, parts, tmp_path):
     train, test = parts
     fitted = model.train(train, Settings(rounds=3, depth=3), use_class_weights=False)

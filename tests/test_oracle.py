@@ -12,7 +12,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # learned results have no SQL; they are checked in test_model.py
 LEARNED = {
     "train_weighted", "score_batch", "importance_rank", "hindcast_model", "grid_forecast_model",
-    "trip_forecast_model", "ordinal_model", "random_search",
+    "trip_forecast_model", "ordinal_model", "random_search", "permutation_importance_model",
 }
 
 
