@@ -15,6 +15,7 @@ from headway.operators.cleaning import fill_weather
 from headway.operators.windows import first_per_key
 from headway.session import written
 
+# Weather and holiday names of the feeds.
 WEATHER_MEASURES = [
     "temperature_2m", "relative_humidity_2m", "precipitation", "rain", "snowfall",
     "cloud_cover", "wind_speed_10m", "wind_gusts_10m", "weather_code",
