@@ -16,29 +16,6 @@ def usable_pings(pings: DataFrame) -> DataFrame:
     return pings.filter(both).withColumns({c: blank_to_null(F.col(c)) for c in ("trip_id", "vehicle_id")}).filter(both)
 
 
-def window_stats():
-    """Order-free aggregates of one window; all but the mode have fixed-size state.
-
-    The occupancy mode keeps one counter per enum value, so its state is
-    bounded as well. Lowest value wins ties, nulls do not vote.
-    """
-    return [
-        F.avg("speed").alias("avg_speed"),
-        F.max("speed").alias("max_speed"),
-        F.count("speed").alias("n_positions"),
-        F.stddev_samp("speed").alias("speed_std"),
-        F.min("position_lat").alias("lat_min"),
-        F.max("position_lat").alias("lat_max"),
-        F.avg("position_lat").alias("lat_mean"),
-        F.min("position_lon").alias("lon_min"),
-        F.max("position_lon").alias("lon_max"),
-        F.avg("position_lon").alias("lon_mean"),
-        F.min("bearing").alias("bearing_min"),
-        F.max("bearing").alias("bearing_max"),
-        F.mode("occupancy_status", True).alias("occupancy_mode"),
-    ]
-
-
 def mode_per_key(df: DataFrame, keys: list[str], value: str, name: str | None = None) -> DataFrame:
     """Most frequent non-null value per key, lowest value on ties.
 
@@ -62,6 +39,14 @@ _EXTREMES = {
 _COUNTED = ["n_pings", *[f"{name}_{part}" for name in _SUMS for part in ("n", "sum")]]
 
 
+def ping_sums() -> list[Column]:
+    """Numbers of pings that add up: counts, sums, squares and extremes. Their state has a fixed size."""
+    sums = [column for name, value in _SUMS.items() for column in (F.count(value).alias(f"{name}_n"), F.sum(value).alias(f"{name}_sum"))]
+    # squares about the state's own mean: those of states add up without losing digits
+    squares = (F.var_pop("speed") * F.count("speed")).alias("speed_squares")
+    return [*sums, squares, *[best(value).alias(name) for name, (best, value) in _EXTREMES.items()]]
+
+
 def window_states(pings: DataFrame, unit: str = "minute") -> DataFrame:
     """Partial windows: one row per trip, window, vehicle and occupancy, of numbers that add up.
 
@@ -69,11 +54,7 @@ def window_states(pings: DataFrame, unit: str = "minute") -> DataFrame:
     trip that holds a large share of the pings is spread over its vehicles, and tasks pre-sum their own rows.
     """
     keyed = usable_pings(pings).withColumn("window_start", F.date_trunc(unit, F.col("timestamp")))
-    sums = [column for name, value in _SUMS.items() for column in (F.count(value).alias(f"{name}_n"), F.sum(value).alias(f"{name}_sum"))]
-    # squares about the state's own mean: those of states add up without losing digits
-    squares = (F.var_pop("speed") * F.count("speed")).alias("speed_squares")
-    extremes = [best(value).alias(name) for name, (best, value) in _EXTREMES.items()]
-    return keyed.filter(F.col("window_start").isNotNull()).groupBy(*STATE_KEYS).agg(F.count("*").alias("n_pings"), *sums, squares, *extremes)
+    return keyed.filter(F.col("window_start").isNotNull()).groupBy(*STATE_KEYS).agg(F.count("*").alias("n_pings"), *ping_sums())
 
 
 def _about_mean(keys: list[str]) -> Column:
@@ -91,6 +72,27 @@ def merged_states(states: DataFrame) -> DataFrame:
     return near.groupBy(*STATE_KEYS).agg(*[F.sum(c).alias(c) for c in (*_COUNTED, "speed_squares")], *extremes)
 
 
+def window_columns(squares: Column) -> list[Column]:
+    """The columns of a window from states that carry their votes. `squares`: those of all speeds about their mean."""
+
+    def mode(name: str) -> Column:
+        return F.min_by(name, F.when(F.col(name).isNotNull(), F.struct(-F.col(f"{name}_votes"), name))).alias(name)
+
+    def mean(name: str) -> Column:
+        return F.sum(f"{name}_sum") / F.nullif(F.sum(f"{name}_n"), F.lit(0))
+
+    speeds = F.sum("speed_n")
+    return [
+        mode("vehicle_id"),
+        mean("speed").alias("avg_speed"), F.max("max_speed").alias("max_speed"), speeds.alias("n_positions"),
+        F.when(speeds > 1, F.sqrt(squares / (speeds - 1))).alias("speed_std"),
+        F.min("lat_min").alias("lat_min"), F.max("lat_max").alias("lat_max"), mean("lat").alias("lat_mean"),
+        F.min("lon_min").alias("lon_min"), F.max("lon_max").alias("lon_max"), mean("lon").alias("lon_mean"),
+        F.min("bearing_min").alias("bearing_min"), F.max("bearing_max").alias("bearing_max"),
+        mode("occupancy_status").alias("occupancy_mode"),
+    ]
+
+
 def windows_of_states(states: DataFrame) -> DataFrame:
     """One row per (trip, window) with speed, position, bearing and occupancy features.
 
@@ -104,22 +106,7 @@ def windows_of_states(states: DataFrame) -> DataFrame:
     for name in ("vehicle_id", "occupancy_status"):
         near = near.withColumn(f"{name}_votes", F.sum("n_pings").over(Window.partitionBy(*WINDOW_KEYS, name)))
 
-    def mode(name: str) -> Column:
-        return F.min_by(name, F.when(F.col(name).isNotNull(), F.struct(-F.col(f"{name}_votes"), name)))
-
-    def mean(name: str) -> Column:
-        return F.sum(f"{name}_sum") / F.nullif(F.sum(f"{name}_n"), F.lit(0))
-
-    speeds = F.sum("speed_n")
-    out = near.groupBy(*WINDOW_KEYS).agg(
-        mode("vehicle_id").alias("vehicle_id"),
-        mean("speed").alias("avg_speed"), F.max("max_speed").alias("max_speed"), speeds.alias("n_positions"),
-        F.when(speeds > 1, F.sqrt(F.sum("speed_squares") / (speeds - 1))).alias("speed_std"),
-        F.min("lat_min").alias("lat_min"), F.max("lat_max").alias("lat_max"), mean("lat").alias("lat_mean"),
-        F.min("lon_min").alias("lon_min"), F.max("lon_max").alias("lon_max"), mean("lon").alias("lon_mean"),
-        F.min("bearing_min").alias("bearing_min"), F.max("bearing_max").alias("bearing_max"),
-        mode("occupancy_status").alias("occupancy_mode"),
-    )
+    out = near.groupBy(*WINDOW_KEYS).agg(*window_columns(F.sum("speed_squares")))
     return with_time_parts(out, "window_start")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from headway.functions.clock import with_time_parts
 from headway.operators.enrich import join_holidays, join_weather
-from headway.operators.windows import usable_pings, window_stats
+from headway.operators.windows import ping_sums, usable_pings, window_columns
 from headway.sources.tables import TableSpec, TableStore
 
 LATENESS = "10 minutes"
@@ -24,13 +24,23 @@ def read_stream(spark: SparkSession, path: str, schema: str, file_glob: str | No
 def stream_windows(pings: DataFrame, width: str = "1 minute", lateness: str = LATENESS) -> DataFrame:
     """Trip windows of a ping stream, each emitted once when the watermark passes its end.
 
-    The vehicle mode is kept in the window's state; its counters last no
-    longer than the window and the lateness.
+    A ping casts two ballots, one for its vehicle, which carries its measures, and one for its occupancy. Ballots
+    are summed by choice, tasks pre-sum their own; once a window closes its choices meet. No state holds more
+    than one choice or one window, however many vehicles a placeholder trip has.
     """
+    kinds = ("vehicle_id", "occupancy_status")
     late = usable_pings(pings).withWatermark("timestamp", lateness)
-    grouped = late.groupBy("trip_id", F.window("timestamp", width).alias("_w")).agg(
-        F.mode("vehicle_id", True).alias("vehicle_id"), *window_stats()
-    )
+    cast = late.withColumn("ballot", F.explode(F.array(*map(F.lit, kinds))))
+    cast = cast.withColumns({c: F.when(F.col("ballot") == c, F.col(c)) for c in kinds})
+    cast = cast.withColumns({c: F.when(F.col("ballot") == kinds[0], F.col(c)) for c in ("speed", "position_lat", "position_lon", "bearing")})
+    choices = cast.groupBy("trip_id", F.window("timestamp", width).alias("_w"), "ballot", *kinds).agg(F.count("*").alias("_votes"), F.min("speed").alias("min_speed"), *ping_sums())
+
+    # squares between the choices: a window of one speed has none, whatever the digits of its sums say
+    choices = choices.withColumns({f"{c}_votes": F.col("_votes") for c in kinds})
+    total, n = F.sum("speed_sum"), F.nullif(F.sum("speed_n"), F.lit(0))
+    between = F.sum(F.col("speed_sum") * F.col("speed_sum") / F.nullif(F.col("speed_n"), F.lit(0))) - total * total / n
+    squares = F.when(F.min("min_speed") < F.max("max_speed"), F.sum("speed_squares") + F.greatest(between, F.lit(0.0))).otherwise(0.0)
+    grouped = choices.groupBy("trip_id", F.window("_w", width).alias("_w")).agg(*window_columns(squares))
     flat = grouped.withColumn("window_start", F.col("_w.start")).drop("_w")
     return with_time_parts(flat, "window_start")
 

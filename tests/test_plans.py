@@ -99,6 +99,27 @@ def test_stream_equals_batch_on_closed_windows(spark, t):
     assert rows(got.select(columns)) == rows(want.select(columns)) and got.count() > 100
 
 
+def test_stream_of_a_placeholder_trip(spark):
+    """Most pings name one trip and thousands of vehicles; no state may hold a map of them."""
+    folder = scratch_path(spark, "pings")
+    pings = spark.range(20_000).selectExpr(
+        "timestamp_seconds(1700000000 + id) AS timestamp", "if(id % 10 < 7, 'none', concat('t', id % 40)) AS trip_id", "concat('v', id * 31 % 2000) AS vehicle_id",
+        "CAST(if(id % 9 = 0, null, id % 50) AS DOUBLE) / 10 AS speed", "CAST(56 + id % 100 / 100 AS DOUBLE) AS position_lat", "14.5D AS position_lon",
+        "CAST(id % 360 AS DOUBLE) AS bearing", "if(id % 5 = 0, null, CAST(id % 7 AS INT)) AS occupancy_status")
+    pings.write.parquet(folder)
+    stream = sw.stream_windows(spark.readStream.schema(pings.schema).parquet(folder), "1 hour")
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert "mode(" not in plan and "collect_" not in plan
+    path = scratch_path(spark, "stream")
+    sw.drain_to_files(stream, path, scratch_path(spark, "state"))
+    got = spark.read.parquet(path)
+    edge = F.timestamp_seconds(F.lit(1700000000 + 19_999 - 600))
+    want = trip_windows(pings, "hour").filter(F.col("window_start") + F.expr("interval 1 hour") <= edge)
+    doubles = [f.name for f in want.schema.fields if f.dataType.typeName() == "double"]
+    plain = lambda df: rows(df.withColumns({c: F.round(c, 7) for c in doubles}).select(want.columns))
+    assert set(got.columns) == set(want.columns) and plain(got) == plain(want) and got.filter("trip_id = 'none'").count() == 5
+
+
 def test_stream_upserts_survive_a_restart(spark, t):
     store, spec, state = TableStore(spark, scratch_path(spark, "t")), CATALOG["vehicle_trip_agg_fg"], scratch_path(spark, "state")
     counts = []
