@@ -21,10 +21,12 @@ SEED = "tox-1"
 # order of the chain
 CATEGORIES = ("low_quality", "toxic", "severe")
 FOLDS = 5
-# a term is a word or the first letters of words; how many a model may use, the sampled documents a term must
-# occur in, and its least distance from chance in deviations
+# a term is a word or the first letters of words; the sampled documents a term must occur in, and its least
+# distance from chance in deviations
 PREFIXES = (5, 6, 7)
-MAX_TERMS, MIN_DOCUMENTS, MIN_Z = 128, 5, 4.0
+MIN_DOCUMENTS, MIN_Z = 5, 4.0
+# least share of right verdicts on out-of-fold probabilities; a category that never reaches it is never said
+MIN_PRECISION, NEVER = 0.5, 2.0
 RIDGE, ROUNDS = 1.0, 30
 
 _WORDS = re.compile(r"\w+")
@@ -62,7 +64,7 @@ def logit(p):
 
 
 def fit_linear(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; the last weight is the free term. One class alone gives its base rate."""
+    """Ridge logistic regression by Newton steps, halved until they help; the last weight is the free term. One class alone gives its base rate."""
     x = np.hstack([x, np.ones((len(x), 1))])
     weights = np.zeros(x.shape[1])
     weights[-1] = logit((y.sum() + 0.5) / (len(y) + 1))
@@ -70,13 +72,22 @@ def fit_linear(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         return weights
     ridge = np.full(x.shape[1], RIDGE)
     ridge[-1] = 1e-6
+
+    def loss(w):
+        odds = x @ w
+        return np.logaddexp(0, odds).sum() - y @ odds + (ridge * w * w).sum() / 2
+
+    now = loss(weights)
     for _ in range(ROUNDS):
         p = sigmoid(x @ weights)
         slope = x.T @ (y - p) - ridge * weights
-        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + np.diag(ridge), slope)
-        weights = weights + step
+        step = np.linalg.solve((x.T * np.maximum(p * (1 - p), 1e-12)) @ x + np.diag(ridge), slope)
+        # a whole step far from the optimum may run away, above all with few positives
+        while (then := loss(weights + step)) > now and np.abs(step).max() >= 1e-8:
+            step /= 2
         if np.abs(step).max() < 1e-8:
             break
+        weights, now = weights + step, then
     return weights
 
 
@@ -119,20 +130,22 @@ class Sample:
         fit = sorted((t for t in np.flatnonzero((n >= MIN_DOCUMENTS) & (z >= MIN_Z))), key=lambda t: (-z[t], self.names[t]))
         known, out = set(), []
         for t in fit:
-            if len(out) < MAX_TERMS and same[t] not in known:
+            if same[t] not in known:
                 known.add(same[t])
                 out.append(int(t))
         return out
 
     def matrix(self, chosen: list[int], earlier: np.ndarray, scale: tuple) -> np.ndarray:
-        """Presence and density (log of the count in a thousand words) of chosen terms, scaled shape, log odds of earlier categories."""
+        """Presence and density (log of the count in a thousand words) of chosen terms, scaled shape, log odds of the
+        earlier categories and, of several, of all of them together."""
         place = np.full(len(self.names) + 1, -1)
         place[chosen] = np.arange(len(chosen))
         at = place[self.terms] if len(self.terms) else self.terms
         x = np.zeros((len(self.many), len(chosen)))
         x[self.docs[at >= 0], at[at >= 0]] = self.counts[at >= 0]
         density = np.log1p(1000 * x / self.many[:, None]) / 4
-        return np.hstack([x > 0, density, (self.shape - scale[0]) / scale[1], logit(earlier)])
+        together = earlier.prod(1, keepdims=True) if earlier.shape[1] > 1 else earlier[:, :0]
+        return np.hstack([x > 0, density, (self.shape - scale[0]) / scale[1], logit(earlier), logit(together)])
 
 
 def fit_category(sample: Sample, rows: np.ndarray, earlier: np.ndarray, y: np.ndarray) -> dict:
@@ -151,13 +164,15 @@ def predict_category(model: dict, sample: Sample, chosen: list[int], earlier: np
 
 
 def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """The threshold of the best F1 on out-of-fold probabilities, halfway to the next lower one; 0.5 without positives."""
-    if not y.any():
-        return 0.5
+    """The threshold of the best F1 on out-of-fold probabilities, halfway to the next lower one, among those of at
+    least MIN_PRECISION; NEVER if there is none."""
     order = np.argsort(-p, kind="stable")
-    hits = np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+    hits, flagged = np.cumsum(y[order]), np.arange(1, len(y) + 1)
+    last = np.append(np.diff(p[order]) != 0, True)[:len(y)]  # equal probabilities get one verdict
+    f1 = np.where(last & (hits >= MIN_PRECISION * flagged), 2 * hits / (flagged + y.sum()), 0) if len(y) and y.any() else np.zeros(1)
     at = int(np.argmax(f1))
+    if not f1[at]:
+        return NEVER
     following = p[order[at + 1]] if at + 1 < len(p) else 0.0
     return float((p[order[at]] + following) / 2)
 
@@ -215,8 +230,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, seed
 
     Label rows with a null are left out, of several rows for one document the least counts; documents are
     drawn by a seeded hash of the id, which also names the fold. The sample, bounded by `sample_rows`, is
-    broadcast to find its texts and fitted in one task; the driver gets the models: at most MAX_TERMS terms
-    and some numbers for each category. Without labelled documents every probability is one half.
+    broadcast to find its texts and fitted in one task; the driver gets the models: the terms that
+    the sample shows and two numbers for each. Without labelled documents every probability is one half and no
+    verdict is given.
     """
     draw = F.xxhash64(F.lit(seed), F.col("doc_id"))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"), F.col("toxic").cast("int").alias("toxic")).dropna()

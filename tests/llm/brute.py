@@ -161,3 +161,82 @@ def codes(rows, parts, entries, rounds):
                 books[p][number] = [sum(x) // len(own) for x in zip(*own)]
     found = {i: [nearest(v[p], books[p]) for p in range(parts)] for i, v in cut.items()}
     return {i: ("".join(f"{n:02x}" for _, n in f), sum(d for d, _ in f)) for i, f in found.items()}, books
+
+
+def _logit(p):
+    p = min(max(p, 1e-4), 1 - 1e-4)
+    return math.log(p / (1 - p))
+
+
+def _flat(x, y):
+    """Weights of the ridge logistic regression: descent along each weight in turn, until nothing moves."""
+    w, odds = [0.0] * len(x[0]), [0.0] * len(x)
+    for _ in range(20_000):
+        most = 0.0
+        for j in range(len(w)):
+            ridge = 1e-6 if j == len(w) - 1 else 1.0
+            p = [1 / (1 + math.exp(-o)) for o in odds]
+            slope = sum(r[j] * (t - q) for r, t, q in zip(x, y, p)) - ridge * w[j]
+            step = slope / (sum(r[j] ** 2 for r in x) / 4 + ridge)  # the curve is nowhere steeper than this
+            w[j] += step
+            odds = [o + step * r[j] for o, r in zip(odds, x)]
+            most = max(most, abs(step))
+        if most < 1e-9:
+            break
+    return w
+
+
+def chain_terms(rows, y, least, far):
+    """rows: sets of terms. The terms that tell the classes apart, best first, one for each set of documents."""
+    ones, out = sum(y), []
+    zeros = len(y) - ones
+    held = defaultdict(list)
+    for i, own in enumerate(rows):
+        for t in own:
+            held[t].append(i)
+    for t, docs in held.items():
+        positive, share = sum(y[i] for i in docs), len(docs) / len(y)
+        z = abs(positive / ones - (len(docs) - positive) / zeros) / math.sqrt(max(share * (1 - share), 1e-9) * (1 / ones + 1 / zeros))
+        if len(docs) >= least and z >= far:
+            out.append((-round(z, 9), t, tuple(docs)))
+    seen = set()
+    return [t for _, t, docs in sorted(out) if not (docs in seen or seen.add(docs))]
+
+
+def chain(rows, categories, terms_of, folds, least, far):
+    """rows: dicts of words, shape, fold and a label for each category. Out-of-fold and whole-fit probabilities by category."""
+    many = [max(1, sum(r["words"].values())) for r in rows]
+    counts = []
+    for r in rows:
+        own = Counter()
+        for word, n in r["words"].items():
+            for t in terms_of(word):
+                own[t] += n
+        counts.append(own)
+    earlier, out = [[] for _ in rows], {}
+    for c in categories:
+        def fitted(chosen):
+            y = [rows[i][c] for i in chosen]
+            terms = chain_terms([set(counts[i]) for i in chosen], y, least, far)
+            mean = [sum(rows[i]["shape"][k] for i in chosen) / len(chosen) for k in range(7)]
+            std = [math.sqrt(sum((rows[i]["shape"][k] - mean[k]) ** 2 for i in chosen) / len(chosen)) + 1e-6 for k in range(7)]
+
+            def line(i):
+                links = [_logit(p) for p in earlier[i]] + ([_logit(math.prod(earlier[i]))] if len(earlier[i]) > 1 else [])
+                own = counts[i]
+                return ([float(t in own) for t in terms] + [math.log1p(1000 * own[t] / many[i]) / 4 for t in terms]
+                        + [(v - m) / s for v, m, s in zip(rows[i]["shape"], mean, std)] + links + [1.0])
+
+            w = _flat([line(i) for i in chosen], y)
+            return lambda i: 1 / (1 + math.exp(-sum(a * b for a, b in zip(w, line(i)))))
+
+        held = [0.5] * len(rows)
+        for k in range(folds):
+            model = fitted([i for i, r in enumerate(rows) if r["fold"] != k])
+            for i, r in enumerate(rows):
+                if r["fold"] == k:
+                    held[i] = model(i)
+        whole = fitted(list(range(len(rows))))
+        out[c] = held, [whole(i) for i in range(len(rows))]
+        earlier = [e + [p] for e, p in zip(earlier, held)]
+    return out

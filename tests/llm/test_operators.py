@@ -266,6 +266,39 @@ def test_toxicity_on_held_out_rows(spark):
     assert sum(r.toxic for r in got if r.label) >= 0.6 * sum(r.label for r in got)
 
 
+def test_chain_against_plain_loops(monkeypatch):
+    rows = []
+    for i in range(60):
+        low, toxic = int(i % 3 == 0), int(i % 5 in (0, 3))
+        text = " ".join(f"w{i * j % 23}" for j in range(1, 9)) + " vile" * (toxic and i % 7 != 0) + " Buy! buy!" * (low and i % 11 != 0)
+        words, shape = toxicity.features(text)
+        rows.append({"doc_id": i, "fold": i * 7 % 5, "low_quality": low, "toxic": toxic, "severe": low * toxic, "words": words, "shape": shape, "text": text})
+    seen = []
+    threshold = toxicity.best_threshold
+    monkeypatch.setattr(toxicity, "best_threshold", lambda p, y: seen.append(list(p)) or threshold(p, y))
+    model = toxicity.fit_chain(rows)
+    want = brute.chain(rows, toxicity.CATEGORIES, toxicity.terms_of, toxicity.FOLDS, toxicity.MIN_DOCUMENTS, toxicity.MIN_Z)
+    for own, c in zip(seen, toxicity.CATEGORIES):
+        assert own == pytest.approx(want[c][0], abs=1e-5)
+    # the first link of a text sees nothing earlier, so its probability is that of the whole fit
+    got = toxicity.predict_chain(model, [r["text"] for r in rows])
+    assert list(got[:, 0]) == pytest.approx(want["low_quality"][1], abs=1e-5)
+
+
+def test_rare_category_gets_a_fit_that_holds_and_a_hopeless_one_is_never_said():
+    import numpy as np
+
+    odd = np.random.default_rng(5).normal(size=(400, 6))
+    y = (odd[:, 0] + odd[:, 1] > 2.6).astype(float)
+    weights = toxicity.fit_linear(odd * 9, y)
+    p = toxicity.sigmoid(odd * 9 @ weights[:-1] + weights[-1])
+    assert 5 < y.sum() < 30 and np.abs(weights).max() < 50 and ((p > 0.5) == (y > 0)).mean() > 0.98
+    assert toxicity.best_threshold(p, y) < 1
+    chance = np.linspace(0, 1, 400)
+    assert toxicity.best_threshold(chance, np.tile([1.0] + [0.0] * 39, 10)) == toxicity.NEVER
+    assert toxicity.best_threshold(np.zeros(0), np.zeros(0)) == toxicity.NEVER
+
+
 def test_toxicity_on_odd_rows(spark, tables):
     got = QUERIES["op7_toxicity"](spark, tables[0]).collect()
     assert len(got) == len(documents(spark, tables[0])) and all(0 <= r.p_toxic <= 1 for r in got)
