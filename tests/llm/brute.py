@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 LAST = 1 << 63
 
@@ -240,3 +241,121 @@ def chain(rows, categories, terms_of, folds, least, far):
         out[c] = held, [whole(i) for i in range(len(rows))]
         earlier = [e + [p] for e, p in zip(earlier, held)]
     return out
+
+
+class Paths(HTMLParser):
+    """The lines of a page, each with the whole list of elements around it: (number, tag, attribute words, hidden)."""
+
+    def __init__(self, names):
+        super().__init__()
+        self.names, self.path, self.lines, self.count = names, [], [], 0
+        self.parts, self.tags = [], 0
+
+    def cut(self):
+        for aside in (False, True):
+            own = [(data, linked) for data, linked, beside in self.parts if beside == aside]
+            text = " ".join("".join(d for d, _ in own).split())
+            if text:
+                linked = sum(len(d.strip()) for d, is_linked in own if is_linked) >= 0.8 * len(text)
+                self.lines.append({"text": text, "tags": self.tags, "linked": linked, "aside": aside, "path": list(self.path)})
+        self.parts, self.tags = [], 0
+
+    def marks(self, at):
+        """Of the element at a place in the path."""
+        _, tag, words, _ = self.path[at]
+        title = tag == "form" or tag == "header" and not any(t in ("article", "main") for _, t, _, _ in self.path[:at])
+        return set() if tag in ("html", "body") else words & self.names.MARKS | ({tag} if title else set())
+
+    def state(self):
+        unread = any(hidden or t in self.names.UNREAD for _, t, _, hidden in self.path if t not in ("html", "body"))
+        aside = any(t in self.names.ASIDE or w & self.names.OTHERS for _, t, w, _ in self.path if t not in ("html", "body"))
+        return unread, aside
+
+    def handle_starttag(self, tag, attrs):
+        names = self.names
+        if tag not in names.INLINE:
+            self.cut()
+        if tag in ("article", "main"):
+            while self.path and not any(t == "article" for _, t, _, _ in self.path) and (any(self.state()) or any(map(self.marks, range(len(self.path))))):
+                self.path.pop()
+        closes = names.CLOSES.get(tag, () if tag in names.INLINE else ("p",))
+        for at in reversed(range(len(self.path))):
+            if self.path[at][1] in closes:
+                del self.path[at:]
+                break
+            if self.path[at][1] in names.STOPS:
+                break
+        self.tags += 1
+        if tag not in names.VOID:
+            values = [(k, (v or "").lower()) for k, v in attrs]
+            words = set().union(*[names._words(v) for k, v in values if k in ("class", "id", "role")])
+            hidden = any(k == "hidden" or (k, v) == ("aria-hidden", "true") or k == "style" and re.search(r"display\s*:\s*none", v) for k, v in values)
+            self.path.append((self.count, tag, words, hidden))
+            self.count += 1
+
+    def handle_endtag(self, tag):
+        if tag not in self.names.INLINE:
+            self.cut()
+        self.tags += 1
+        for at in reversed(range(len(self.path))):
+            if self.path[at][1] == tag:
+                del self.path[at:]
+                break
+            if tag in self.names.INLINE and self.path[at][1] not in self.names.INLINE:
+                break
+
+    def handle_data(self, data):
+        unread, aside = self.state()
+        if not unread:
+            self.parts.append((data, any(t == "a" for _, t, _, _ in self.path), aside))
+
+
+def main_text(html, names):
+    """names: the module with the lists of names and `clustered`. Every line is compared with every element around it."""
+    page = Paths(names)
+    page.feed(html or "")
+    page.close()
+    page.cut()
+    lines = page.lines
+    for x in lines:
+        page.path = x["path"]
+        x["marks"] = [(x["path"][i][0], m <= names.TITLES) for i in range(len(x["path"])) if (m := page.marks(i))]
+        x["in"] = [(t, n) for n, t, _, _ in x["path"] if t in names.CONTAINERS]
+        x["heading"] = any(t in names.HEADINGS for _, t, _, _ in x["path"])
+        x["item"] = x["linked"] and any(t == "li" for _, t, _, _ in x["path"])
+
+    def cluster(some):
+        return [x for x, c in zip(some, names.clustered([names.Line(x["text"], x["tags"], *[None] * 7) for x in some])) if c] if some else []
+
+    def size(some):
+        return sum(len(x["text"]) for x in some)
+
+    beside = [x for x in lines if x["aside"] and not x["linked"]]
+    if sum(len(x["text"].split()) for x in beside) < 25 or any(not x["aside"] and not x["linked"] for x in cluster([x for x in lines if not x["item"]])):
+        lines = [x for x in lines if not x["aside"]]
+    plain = [x for x in lines if not x["item"]]
+    telling = [x for x in cluster(plain) if not x["linked"]] if any(x["marks"] for x in plain) else []
+    kept = []
+    for x in lines:
+        against = [t for n, t in x["marks"] if 2 * size([y for y in telling if n in [m for m, _ in y["marks"]]]) <= size(telling)]
+        if not against or x["heading"] and all(against):
+            kept.append(x)
+    lines, voting = kept, [x for x in kept if not x["item"]] or kept
+    if not voting:
+        return ""
+    content = cluster(voting)
+    found = sorted({c for x in content for c in x["in"] if size([y for y in content if c in y["in"]]) >= 0.9 * size(content)}, key=lambda c: c[1])
+    named = [c for c in found if c[0] == "article"] or [c for c in found if c[0] == "main"]
+    if named:
+        return " ".join(x["text"] for x in lines if named[0] in x["in"])
+    chosen, own = (found or [None])[-1], [id(x) for x in content if not x["linked"]]
+    if chosen:
+        around = next(x["in"] for x in voting if chosen in x["in"])
+        for c in reversed(around[:around.index(chosen)]):
+            if c[0] in ("html", "body") or any(c in x["in"] and chosen not in x["in"] and id(x) not in own and not x["heading"] for x in lines):
+                break
+            chosen = c
+    whole = chosen and chosen[0] not in ("html", "body")
+    at = [i for i, x in enumerate(lines) if id(x) in own] or [0, len(lines)]
+    return " ".join(x["text"] for i, x in enumerate(lines) if id(x) in own or (not chosen or chosen in x["in"]) and (
+        not x["item"] or whole or at[0] <= i <= at[-1] or len(voting) == len(lines)))

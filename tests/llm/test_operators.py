@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import time
 from collections import Counter
 
 import brute
@@ -255,6 +256,36 @@ def test_url_intervals(spark):
         1: (0, False), 2: (1, False), 3: (1, True), 4: (0, False), 5: (0, False)}
 
 
+def test_html_against_plain_paths(spark):
+    import random
+
+    draw = random.Random(4)
+    tags = "div p span nav h1 li ul article form section header footer td table script body blockquote main b".split()
+    bits = [f"<{t}>" for t in tags] + [f"</{t}>" for t in tags] + [
+        "<a href=x>", "</a>", "<span class=ad>", "<section class=sidebar>", "<div class=header>", "<div class='comment-list'>", "<div hidden>", "<br>",
+        "x ", "words of some text here ", "1 < 2 &amp; more ", "more words that go on for quite a while, as an article does, and so on, " * 2, "<a <", "<!-- c -->"]
+    pages = ["".join(draw.choice(bits) for _ in range(draw.randint(1, 40))) for _ in range(1500)]
+    pages += [r.html for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()]
+    for page in pages:
+        assert html.main_text(page) == brute.main_text(page, html), page
+
+
+@pytest.mark.parametrize("page", [
+    "<body><nav><a href=/>Home</a>{}", "<body><div class='post promo-free'>{}</div>", "<body><div class='reply-letter'>{}</div><footer>About</footer>", "<body><select><option>A{}"])
+def test_html_keeps_an_article_in_an_element_named_otherwise(page):
+    text = "An article goes on for many words and says what there is to say, and then it ends. " * 3
+    assert html.main_text(page.format(f"<p>{text}</p>" * 3)).count("An article") == 9
+    # beside an article of its own such an element is left out
+    assert html.main_text(f"<body><div><p>{text}</p></div>" + page[6:].format("<p>Reader, buy this.</p>")).strip() == text.strip()
+
+
+@pytest.mark.parametrize("bit", ["<div>some text here ", "<a <", "<form>x ", "<blockquote>t <h2>", "<div class=ad>some text ", "<b><i>t</b> ", "<a href='"])
+def test_html_of_unclosed_tags_takes_time_of_its_length(bit):
+    start = time.process_time()
+    html.main_text(bit * 20_000)
+    assert time.process_time() - start < 1.5
+
+
 def test_toxicity_on_held_out_rows(spark):
     folder = SF_DIR.replace("sf0.001", "sf0.01")
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
