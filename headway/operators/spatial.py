@@ -23,26 +23,26 @@ from headway.session import written
 _EPS_DEG = 1e-7
 
 
-def _cell_sides_deg(radius_m: float, sphere_m: float) -> tuple[float, float]:
+def cell_sides_deg(radius_m: float, sphere_m: float) -> tuple[float, float]:
     """Height and width of a cell; any constant pair is exact, this one suits 55-65 degrees north."""
     height = max(math.degrees(radius_m / sphere_m) * 2, 1e-6)
     return height, height * 2
 
 
-def _cell(ordinate, side: float) -> Column:
+def cell_of(ordinate, side: float) -> Column:
     return F.floor(ordinate / side)
 
 
-def _box_cells(lat: Column, lon: Column, radius_m: float, sphere_m: float) -> Column:
+def box_cells(lat: Column, lon: Column, radius_m: float, sphere_m: float) -> Column:
     """Array of (cy, cx) cells that a circle's bounding box touches."""
-    height, width = _cell_sides_deg(radius_m, sphere_m)
+    height, width = cell_sides_deg(radius_m, sphere_m)
     dlat = math.degrees(radius_m / sphere_m) + _EPS_DEG
     # widest longitude reach of a circle on the sphere; near a pole the ratio
     # passes 1 and the circle spans every longitude
     ratio = math.sin(radius_m / sphere_m) / F.cos(F.radians(lat))
     dlon = F.when(ratio >= 1, F.lit(360.0)).otherwise(F.degrees(F.asin(ratio)) + _EPS_DEG)
-    rows = F.sequence(_cell(lat - dlat, height), _cell(lat + dlat, height))
-    columns = F.sequence(_cell(lon - dlon, width), _cell(lon + dlon, width))
+    rows = F.sequence(cell_of(lat - dlat, height), cell_of(lat + dlat, height))
+    columns = F.sequence(cell_of(lon - dlon, width), cell_of(lon + dlon, width))
     return F.flatten(
         F.transform(rows, lambda cy: F.transform(columns, lambda cx: F.struct(cy.alias("_cy"), cx.alias("_cx"))))
     )
@@ -66,12 +66,12 @@ def radius_pairs(
     the equi-join, for example by day. Rows without coordinates never match.
     Neither side is hinted; a hot cell is left to skew-join splitting.
     """
-    height, width = _cell_sides_deg(radius_m, sphere_m)
+    height, width = cell_sides_deg(radius_m, sphere_m)
     p_lat, p_lon = F.col(point_at[0]), F.col(point_at[1])
     t_lat, t_lon = F.col(target_at[0]), F.col(target_at[1])
 
     left = points.filter(p_lat.isNotNull() & p_lon.isNotNull()).withColumns(
-        {"_cy": _cell(p_lat, height), "_cx": _cell(p_lon, width)}
+        {"_cy": cell_of(p_lat, height), "_cx": cell_of(p_lon, width)}
     )
     right = targets.filter(t_lat.isNotNull() & t_lon.isNotNull())
     keys = ["_cy", "_cx"]
@@ -79,7 +79,7 @@ def radius_pairs(
         left = left.withColumn(name, point_key)
         right = right.withColumn(name, F.explode(target_keys))
         keys.append(name)
-    right = right.select("*", F.inline(_box_cells(t_lat, t_lon, radius_m, sphere_m)))
+    right = right.select("*", F.inline(box_cells(t_lat, t_lon, radius_m, sphere_m)))
 
     metres = haversine_m(p_lat, p_lon, t_lat, t_lon, sphere_m)
     # the latitude band is a cheap test that spares most of the trigonometry

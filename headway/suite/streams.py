@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from headway.session import scratch_path
 from headway.sources.tables import CATALOG, TableStore
+from headway.streaming import incidents as si
 from headway.streaming import windows as sw
 from headway.suite.registry import query
 from headway.suite.standins import SCHEMAS, StandIns
@@ -57,3 +58,16 @@ def stream_upsert(t):
     store, spec = TableStore(t.spark, scratch_path(t.spark, "tables")), CATALOG["vehicle_trip_agg_fg"]
     sw.start_upserts(hour_windows(t), store, spec, scratch_path(t.spark, "stream-state")).awaitTermination()
     return store.read(spec).select("trip_id", "window_start", "n_positions")
+
+
+@query("stream_incidents", """SELECT trip_id, strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, coalesce(n_events, 0) AS num_nearby_traffic_events,
+    severity AS nearby_event_severity, roads AS affected_roads, CASE WHEN n_events > 0 THEN 1 ELSE 0 END::BIGINT AS has_nearby_event
+    FROM order_windows LEFT JOIN incident_sums USING (trip_id, window_start)
+    WHERE window_start < least((SELECT max(o_orderdate) FROM orders), (SELECT max(start_time) FROM incidents)) - INTERVAL 10 MINUTE""")
+def stream_incidents(t):
+    """Two streams, joined; of the stored pairs, those of windows that the watermark has passed."""
+    streams = _StreamIns(t.spark, t.sf_dir)
+    pairs = _drained(t, si.stream_incident_pairs(streams.order_windows, streams.incidents))
+    ends = [t.order_windows.agg(F.max("window_start")).first()[0], t.incidents.agg(F.max("start_time")).first()[0]]
+    edge = F.lit(min((e for e in ends if e is not None), default=None)).cast("timestamp") - F.expr(f"INTERVAL {si.LATENESS}")
+    return si.features_of_pairs(pairs.filter(F.col("window_start") < edge))

@@ -9,6 +9,7 @@ from headway.operators.windows import trip_windows
 from headway.plans import features, inference, model
 from headway.session import scratch_path
 from headway.sources.tables import CATALOG, TableStore
+from headway.streaming import incidents as si
 from headway.streaming import windows as sw
 from headway.suite.standins import SCHEMAS, StandIns
 
@@ -120,6 +121,44 @@ def test_stream_of_a_placeholder_trip(spark):
     assert set(got.columns) == set(want.columns) and plain(got) == plain(want) and got.filter("trip_id = 'none'").count() == 5
 
 
+def test_stream_incidents_equal_batch_in_any_order_of_arrival(spark):
+    """Windows land before and after the incidents of their time, over several batches; borders of time count."""
+    day = 86_400
+    windows = spark.range(600).selectExpr(
+        "concat('t', id) AS trip_id", f"timestamp_seconds(1700000000 + id * {day // 4}) AS window_start",
+        "if(id % 37 = 0, null, 56.65 + id % 7 / 400D) AS lat_mean", "14.61 + id % 5 / 400D AS lon_mean")
+    incidents = spark.range(80).selectExpr(
+        "concat('e', id) AS event_id", "concat('d', id % 9) AS deviation_id", f"timestamp_seconds(1700000000 + id * 2 * {day}) AS start_time",
+        f"timestamp_seconds(1700000000 + (id * 2 + id % 90) * {day}) AS end_time", "56.65 + id % 7 / 400D AS latitude", "14.61 + id % 5 / 400D AS longitude",
+        "if(id % 4 = 0, 'high', CAST(id % 6 AS STRING)) AS severity_code", "if(id % 3 = 0, null, concat('road ', id % 8)) AS affected_road")
+    windows = windows.withColumns({c: F.col(c).cast("double") for c in ("lat_mean", "lon_mean")})
+    incidents = incidents.withColumns({c: F.col(c).cast("double") for c in ("latitude", "longitude")})
+    left, right, path, state = (scratch_path(spark, x) for x in ("w", "i", "pairs", "state"))
+    span = F.unix_timestamp("window_start") - 1700000000
+    for step in range(4):  # the first windows come before any incident, the last incidents after their windows
+        windows.filter(F.floor(span / (40 * day)) == step).write.mode("append").parquet(left)
+        began = F.floor((F.unix_timestamp("start_time") - 1700000000) / (40 * day))
+        incidents.filter(began == step - 1 if step < 3 else began >= 2).write.mode("append").parquet(right)
+        pairs = si.stream_incident_pairs(
+            spark.readStream.schema(windows.schema).parquet(left), spark.readStream.schema(incidents.schema).parquet(right), lateness="60 days")
+        sw.drain_to_files(pairs, path, state)
+    edge = F.lit(min(windows.agg(F.max("window_start")).first()[0], incidents.agg(F.max("start_time")).first()[0])) - F.expr("INTERVAL 60 DAYS")
+    got = si.features_of_pairs(spark.read.schema(pairs.schema).parquet(path).filter(F.col("window_start") < edge))
+    want = spatial.incident_features(windows, incidents).filter(F.col("window_start") < edge).select(got.columns)
+    assert rows(got) == rows(want) and got.count() > 300 and 50 < got.filter("num_nearby_traffic_events > 0").count() < got.count()
+
+
+def test_stream_incidents_stop_at_one_that_outlasts_the_state(spark):
+    left, right = scratch_path(spark, "w"), scratch_path(spark, "i")
+    spark.sql("SELECT 't' AS trip_id, timestamp'2024-01-01' AS window_start, 56.0D AS lat_mean, 14.0D AS lon_mean").write.parquet(left)
+    incidents = spark.sql("""SELECT 'e' AS event_id, 'd' AS deviation_id, timestamp'2024-01-01' AS start_time, timestamp'2024-12-31' AS end_time,
+        56.0D AS latitude, 14.0D AS longitude, '1' AS severity_code, 'r' AS affected_road""")
+    incidents.write.parquet(right)
+    pairs = si.stream_incident_pairs(spark.readStream.schema(spark.read.parquet(left).schema).parquet(left), spark.readStream.schema(incidents.schema).parquet(right))
+    with pytest.raises(Exception, match="longer than 100 days: e"):
+        sw.drain_to_files(pairs, scratch_path(spark, "pairs"), scratch_path(spark, "state"))
+
+
 def test_stream_upserts_survive_a_restart(spark, t):
     store, spec, state = TableStore(spark, scratch_path(spark, "t")), CATALOG["vehicle_trip_agg_fg"], scratch_path(spark, "state")
     counts = []
