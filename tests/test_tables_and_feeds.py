@@ -279,3 +279,12 @@ def test_scan_reads_only_what_the_query_needs(spark):
     plan = QUERIES["table_scan"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderdate" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double,o_orderdate:timestamp>" in plan
+
+
+def test_unreadable_timetable_values_are_counted(spark, tmp_path):
+    folder = tmp_path / "calendar_dates.txt"
+    folder.mkdir()
+    (folder / "a.txt").write_text("service_id,date,exception_type\ns,20240101,1\ns,2024-13-01,one\ns,,\n")
+    (folder / "b.txt").write_text("exception_type,service_id\n2x,s\n2,s\n")
+    assert timetable.unreadable(spark, str(tmp_path), "calendar_dates").first().asDict() == {"n_rows": 5, "exception_type": 2, "date": 1}
+    assert timetable.read_table(spark, str(tmp_path), "calendar_dates").filter("exception_type IS NULL").count() == 3
