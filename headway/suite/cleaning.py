@@ -81,9 +81,10 @@ _NUMBERS = StructType([
 
 
 @query("conform_misfits", """SELECT count(trip_id) - count(TRY_CAST(trip_id AS BIGINT)) AS trip_id, count(vehicle_id) - count(TRY_CAST(vehicle_id AS INTEGER)) AS vehicle_id,
-    CAST(0 AS BIGINT) AS speed, CAST(0 AS BIGINT) AS absent FROM pings""")
+    CAST(0 AS BIGINT) AS speed, CAST(0 AS BIGINT) AS absent FROM named_pings""")
 def conform_misfits(t):
-    return c.misfits(t.pings, _NUMBERS)
+    """Every named trip is a misfit among numbers."""
+    return c.misfits(t.named_pings, _NUMBERS)
 
 
 _FILL = """SELECT feed_entity_id, {temp} AS temperature_2m, {wind} AS wind_speed_10m FROM pings"""

@@ -71,3 +71,9 @@ def test_combined_features_meet_incidents(spark):
     rows = QUERIES["combined_features"](spark, SF)
     assert rows.filter("has_nearby_event = 1 AND affected_roads IS NOT NULL").count() > 0
     assert set(rows.columns) == {f.name for f in features.COMBINED_SCHEMA.fields}
+
+
+def test_named_trips_are_misfits_among_numbers(spark):
+    found = QUERIES["conform_misfits"](spark, SF).first()
+    assert found.trip_id == spark.read.parquet(f"{SF}/events.parquet").count() > 0
+    assert (found.vehicle_id, found.speed, found.absent) == (0, 0, 0)
