@@ -63,6 +63,29 @@ def logit(p):
     return np.log(p / (1 - p))
 
 
+def newton_step(x: np.ndarray, curve: np.ndarray, ridge: np.ndarray, slope: np.ndarray, share: float) -> np.ndarray:
+    """Solves (x' diag(curve) x + diag(ridge)) step = slope by conjugate gradients, until `share` of the slope is left.
+
+    Each turn reads x twice, where the whole matrix of a step would take a product of x with itself.
+    """
+    scale = np.einsum("ij,ij,i->j", x, x, curve, optimize=False) + ridge
+    step, left = np.zeros_like(slope), slope.copy()
+    near = left / scale
+    way, now = near.copy(), left @ near
+    least = share * share * now
+    for _ in range(2 * len(slope)):
+        if now <= least or now == 0:
+            break
+        image = x.T @ (curve * (x @ way)) + ridge * way
+        long = now / (way @ image)
+        step += long * way
+        left -= long * image
+        near = left / scale
+        before, now = now, left @ near
+        way = near + now / before * way
+    return step
+
+
 def fit_linear(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Ridge logistic regression by Newton steps, halved until they help; the last weight is the free term. One class alone gives its base rate."""
     x = np.hstack([x, np.ones((len(x), 1))])
@@ -77,11 +100,15 @@ def fit_linear(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         odds = x @ w
         return np.logaddexp(0, odds).sum() - y @ odds + (ridge * w * w).sum() / 2
 
-    now = loss(weights)
+    now, steepest = loss(weights), 0.0
     for _ in range(ROUNDS):
         p = sigmoid(x @ weights)
         slope = x.T @ (y - p) - ridge * weights
-        step = np.linalg.solve((x.T * np.maximum(p * (1 - p), 1e-12)) @ x + np.diag(ridge), slope)
+        # far from the optimum a rough step does, near it the steps get as exact as they must
+        steepest = max(steepest, steep := float(np.abs(slope).max()))
+        if not steep:
+            break
+        step = newton_step(x, np.maximum(p * (1 - p), 1e-12), ridge, slope, max(1e-10, min(0.1, steep / steepest)))
         # a whole step far from the optimum may run away, above all with few positives
         while (then := loss(weights + step)) > now and np.abs(step).max() >= 1e-8:
             step /= 2

@@ -330,6 +330,21 @@ def test_rare_category_gets_a_fit_that_holds_and_a_hopeless_one_is_never_said():
     assert toxicity.best_threshold(np.zeros(0), np.zeros(0)) == toxicity.NEVER
 
 
+def test_steps_of_wide_fits_are_solved_without_the_square_of_the_terms(monkeypatch):
+    import numpy as np
+
+    some = np.random.default_rng(9)
+    x = (some.random((300, 500)) < 0.05) * some.normal(1, 0.2, (300, 500))
+    y = (x[:, :5].sum(1) > some.random(300)).astype(float)
+    ridge, curve, slope = np.full(500, 1.0), some.uniform(0.01, 0.25, 300), some.normal(size=500)
+    want = np.linalg.solve((x.T * curve) @ x + np.diag(ridge), slope)
+    assert np.abs(toxicity.newton_step(x, curve, ridge, slope, 1e-10) - want).max() < 1e-8
+    monkeypatch.setattr(np.linalg, "solve", None)
+    weights = toxicity.fit_linear(x, y)
+    p = toxicity.sigmoid(x @ weights[:-1] + weights[-1])
+    assert np.abs(x.T @ (y - p) - weights[:-1]).max() < 1e-6 and abs((y - p).sum()) < 1e-4
+
+
 def test_toxicity_on_odd_rows(spark, tables):
     got = QUERIES["op7_toxicity"](spark, tables[0]).collect()
     assert len(got) == len(documents(spark, tables[0])) and all(0 <= r.p_toxic <= 1 for r in got)
