@@ -141,11 +141,18 @@ _NEAREST = f"""
     CAST(round_even(d, 0) AS BIGINT) AS distance_m FROM k LEFT JOIN trips USING (trip_id) LEFT JOIN routes USING (route_id) WHERE rn = 1"""
 
 
+_TRIP = ["route_short_name", "route_long_name", "trip_headsign"]
+
+
 @query("nearest_trip", _NEAREST)
 def nearest_trip(t):
     fact = enrich.trip_stops_fact(t.stop_times, t.stops, check=False)
     dim = enrich.trip_dim(t.trips, t.routes, t.agency, check=False)
-    return spatial.nearest_trip(t.requests, enrich.many_to_one(fact, dim, ["trip_id"], "trips", False))
+    # only the trips that win meet their lines; of repeated trips one is taken
+    winners = spatial.nearest_trip(t.requests, fact)
+    named = enrich.many_to_one(winners, dim.select("trip_id", *_TRIP), ["trip_id"], "trips", False)
+    one = named.groupBy(*winners.columns).agg(F.min(F.struct(*_TRIP)).alias("_trip"))
+    return one.select("request_id", "trip_id", *[f"_trip.{c}" for c in _TRIP], "closest_stop", "closest_stop_headsign", "distance_m")
 
 
 @query("closest_stop", f"""SELECT request_id, stop_name, stop_headsign FROM requests LEFT JOIN (SELECT request_id, stop_name, stop_headsign FROM (SELECT request_id, stop_name, stop_headsign,
