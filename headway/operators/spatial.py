@@ -260,14 +260,15 @@ def nearest_place(
     """
     spots = written(places.select("stop_lat", "stop_lon").distinct(), "places")
     left = written(requests.select("request_id", "lat", "lon"), "requests")
+    # every round joins anew: shuffled joins keep what the driver would gather and send out from growing with the tables
     found, radius = [], min(first_radius_m, max_radius_m)
     while True:
-        pairs = radius_pairs(left, spots, radius, ("lat", "lon"), ("stop_lat", "stop_lon"))
+        pairs = radius_pairs(left.hint("shuffle_merge"), spots, radius, ("lat", "lon"), ("stop_lat", "stop_lon"))
         # each round feeds the answer and the next round's requests
         found.append(written(pairs.groupBy("request_id").agg(F.min("distance_m").alias("distance_m")), "nearest"))
         if radius >= max_radius_m:
             return reduce(DataFrame.unionByName, found)
-        left = left.join(found[-1], "request_id", "left_anti")
+        left = left.join(found[-1].hint("shuffle_merge"), "request_id", "left_anti")
         radius = min(radius * 2, max_radius_m)
 
 

@@ -4,6 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from headway import session
 from headway.operators import spatial
 
 INCIDENT = "event_id string, deviation_id string, start_time timestamp, end_time timestamp, latitude double, longitude double, severity_code string, affected_road string"
@@ -191,3 +192,27 @@ def test_radius_join_is_an_equi_join(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin [_cy" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_visits_carry_no_columns_of_their_trips(spark, monkeypatch):
+    from headway.suite import QUERIES
+
+    seen = {}
+    monkeypatch.setattr(spatial, "written", lambda df, name: seen.setdefault(name, session.written(df, name)))
+    rows = QUERIES["nearest_trip"](spark, "/root/testdata/sf0.001")
+    assert "route_short_name" in rows.columns and "trip_headsign" in rows.columns
+    assert not {"route_short_name", "route_long_name", "trip_headsign"} & set(seen["visits"].schema["_first"].dataType.names)
+
+
+def test_rounds_of_nearest_places_send_nothing_to_all_tasks(spark, monkeypatch):
+    plans = []
+
+    def kept(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return session.written(df, name)
+
+    monkeypatch.setattr(spatial, "written", kept)
+    requests = spark.createDataFrame([(1, 58.0, 15.0), (2, 58.02, 15.0)], "request_id long, lat double, lon double")
+    found = spatial.nearest_place(requests, spark.createDataFrame([(58.0, 15.001)], "stop_lat double, stop_lon double")).collect()
+    assert len(found) == 2 and len(plans) > 4
+    assert any("Join" in p for p in plans) and not any("Broadcast" in p for p in plans)
