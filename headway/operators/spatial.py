@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 
 from headway.functions.clock import clock_seconds, within_seconds
 from headway.functions.geo import LOOKUP_RADIUS_M, MEAN_RADIUS_M, haversine_m, metres_rounded
+from headway.operators import matching
 from headway.session import written
 
+# windows and incidents of one cell and week that one meeting holds, about; busier ones are cut into blocks
+BLOCK_WINDOWS, BLOCK_INCIDENTS = 8192, 32_768
 # slack on the bounding box, far above rounding error and far below a metre
 _EPS_DEG = 1e-7
 
@@ -110,23 +113,91 @@ def incident_pairs(
     the copies of long-running incidents few and still spreads a busy cell over
     many keys; the exact time test is part of the join condition either way.
     """
-    seconds = bucket_days * 86_400
+    return radius_pairs(
+        windows, _usable(windows, incidents), radius_m, ("lat_mean", "lon_mean"), ("_lat", "_lon"),
+        sphere_m=MEAN_RADIUS_M,
+        extra_keys={"_bucket": (_bucket("window_start", bucket_days), _buckets(bucket_days))},
+        residual=F.col("window_start").between(F.col("start_time"), F.col("end_time")),
+    ).drop("_lat", "_lon", "_from", "_to")
+
+
+def _bucket(instant: str, days: int) -> Column:
+    return F.floor(F.unix_timestamp(instant) / (days * 86_400))
+
 
-    def bucket(instant: str) -> Column:
-        return F.floor(F.unix_timestamp(instant) / seconds)
+def _buckets(days: int) -> Column:
+    return F.sequence(_bucket("_from", days), _bucket("_to", days))
 
+
+def _usable(windows: DataFrame, incidents: DataFrame) -> DataFrame:
+    """What matches need of the incidents that can be active at a window."""
     valid = incidents.filter(F.col("start_time") <= F.col("end_time"))
-    usable = _clipped(windows, valid).select(
+    return _clipped(windows, valid).select(
         "event_id", "deviation_id", "start_time", "end_time", "_from", "_to",
         "severity_code", "affected_road",
         F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"),
     )
-    return radius_pairs(
-        windows, usable, radius_m, ("lat_mean", "lon_mean"), ("_lat", "_lon"),
-        sphere_m=MEAN_RADIUS_M,
-        extra_keys={"_bucket": (bucket("window_start"), F.sequence(bucket("_from"), bucket("_to")))},
-        residual=F.col("window_start").between(F.col("start_time"), F.col("end_time")),
-    ).drop("_lat", "_lon", "_from", "_to")
+
+
+def _blocks_of(rows: DataFrame, keys: list[str], size: int, name: str) -> DataFrame:
+    """Number of blocks of the keys that hold more than `size` rows: at most one row per `size` rows of the table."""
+    return rows.groupBy(*keys).agg(F.ceil(F.count("*") / size).alias(name)).filter(F.col(name) > 1)
+
+
+def incident_matches(
+    windows: DataFrame, incidents: DataFrame, radius_m: float = 500.0, bucket_days: int = 7
+) -> DataFrame:
+    """The summary of `incident_pairs`, keyed by (trip_id, window_start), without a row for each pair.
+
+    Windows and incidents are dealt by cell and time bucket, as there, and meet sorted in a task that compares
+    them as matrices (`matching`). A meeting of too many rows is cut: a window then meets each block of its
+    incidents, an incident each block of its windows. What moves is the windows, the copies of the incidents
+    and one row per window with matches.
+    """
+    height, width = cell_sides_deg(radius_m, MEAN_RADIUS_M)
+    cell = ["_cy", "_cx", "_bucket"]
+    usable = _usable(windows, incidents).filter(F.col("_lat").isNotNull() & F.col("_lon").isNotNull())
+    placed = windows.filter(F.col("lat_mean").isNotNull() & F.col("lon_mean").isNotNull() & F.col("window_start").isNotNull())
+    left = placed.select(
+        cell_of(F.col("lat_mean"), height).alias("_cy"), cell_of(F.col("lon_mean"), width).alias("_cx"), _bucket("window_start", bucket_days).alias("_bucket"),
+        F.lit(1).alias("_kind"), F.col("lat_mean").cast("double").alias("_lat"), F.col("lon_mean").cast("double").alias("_lon"),
+        F.unix_micros(F.col("window_start").cast("timestamp")).alias("_t0"), "trip_id",
+    )
+    severity = F.coalesce(F.col("severity_code").try_cast("int").cast("bigint"), F.lit(matching.NO_SEVERITY))
+    # the number keeps small tables from being handled in one task: copies and comparisons are the work, not bytes
+    parts = int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    right = usable.repartition(parts).withColumn("_bucket", F.explode(_buckets(bucket_days)))
+    right = right.select("*", F.inline(box_cells(F.col("_lat"), F.col("_lon"), radius_m, MEAN_RADIUS_M))).select(
+        *cell, F.lit(0).alias("_kind"), F.col("_lat").cast("double"), F.col("_lon").cast("double"),
+        *[F.unix_micros(F.col(c).cast("timestamp")).alias(n) for c, n in (("start_time", "_t0"), ("end_time", "_t1"))],
+        severity.alias("_severity"), "event_id", "deviation_id", "affected_road",
+    )
+    # one row per block of a full table at most, whatever the data
+    busy = _blocks_of(left, cell, BLOCK_WINDOWS, "_wn").join(_blocks_of(right, cell, BLOCK_INCIDENTS, "_in"), cell, "full")
+    busy = F.broadcast(written(busy, "blocks"))
+    one, wn, many = F.lit(1), F.coalesce("_wn", F.lit(1)), F.coalesce("_in", F.lit(1))
+
+    def dealt(rows: DataFrame, own: str, blocks: Column, by: list[str], other: str, copies: Column) -> DataFrame:
+        block = F.pmod(F.xxhash64(*by), blocks)
+        known = rows.join(busy, cell, "left").withColumn(own, block)
+        return known.withColumn(other, F.explode(F.sequence(one - 1, copies - 1).cast("array<bigint>"))).drop("_wn", "_in")
+
+    meeting = dealt(left, "_wb", wn, ["trip_id", "_t0", "_lat", "_lon"], "_ib", many).unionByName(
+        dealt(right, "_ib", many, ["event_id", "deviation_id", "_t0", "_t1", "_lat", "_lon"], "_wb", wn), allowMissingColumns=True
+    ).withColumns({"_t1": F.coalesce("_t1", F.lit(0)), "_severity": F.coalesce("_severity", F.lit(matching.NO_SEVERITY))})
+    sorted_rows = meeting.repartition(parts, *matching.MEETING).sortWithinPartitions(*matching.MEETING, "_kind", "_t0", "event_id", "deviation_id")
+    kinds = {f.name: f.dataType.simpleString() for f in sorted_rows.schema}
+    entry = f"array<struct<_t0:bigint,event_id:{kinds['event_id']},deviation_id:{kinds['deviation_id']},affected_road:{kinds['affected_road']}>>"
+    schema = f"trip_id {kinds['trip_id']}, _at bigint, _n bigint, _severity bigint, _roads {entry}"
+    sums = sorted_rows.mapInArrow(matching.matches(radius_m), schema)
+    # a window of several blocks, or of several rows, has several sums
+    roads = F.array_sort(F.flatten(F.collect_list("_roads")))
+    text = F.array_join(F.array_distinct(F.transform(roads, lambda r: r["affected_road"])), ",")
+    return sums.groupBy("trip_id", F.timestamp_micros("_at").cast(windows.schema["window_start"].dataType).alias("window_start")).agg(
+        F.sum("_n").alias("num_nearby_traffic_events"),
+        F.max("_severity").cast("double").alias("nearby_event_severity"),
+        F.nullif(text, F.lit("")).alias("affected_roads"),
+    )
 
 
 def incident_summary(pairs: DataFrame, keys: list[str]) -> DataFrame:
@@ -161,8 +232,9 @@ def incident_features(windows: DataFrame, incidents: DataFrame, radius_m: float
     its real size then decides between a broadcast and a shuffle join.
     """
     keys = ["trip_id", "window_start"]
-    slim = windows.select(*keys, "lat_mean", "lon_mean")
-    summary = written(incident_summary(incident_pairs(slim, incidents, radius_m), keys), "incidents")
+    # read for their time range, their blocks and their matches
+    slim = written(windows.select(*keys, "lat_mean", "lon_mean"), "windows")
+    summary = written(incident_matches(slim, incidents, radius_m), "incidents")
     count = F.coalesce("num_nearby_traffic_events", F.lit(0)).cast("bigint")
     return windows.join(summary, keys, "left").withColumns(
         {"num_nearby_traffic_events": count, "has_nearby_event": (count > 0).cast("bigint")}

@@ -1,11 +1,12 @@
 import datetime as dt
 import math
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from headway import session
-from headway.operators import spatial
+from headway.operators import matching, spatial
 
 INCIDENT = "event_id string, deviation_id string, start_time timestamp, end_time timestamp, latitude double, longitude double, severity_code string, affected_road string"
 T0 = dt.datetime(2025, 12, 1, 10, 0)
@@ -74,6 +75,58 @@ def test_incident_bounds_are_inclusive(spark):
     assert (feature["num_nearby_traffic_events"], feature["has_nearby_event"]) == (2, 1)
 
 
+def test_matches_equal_the_summary_of_pairs_in_every_division(spark, monkeypatch):
+    """Blocks of a few rows, tiles of a few windows, repeated and null keys, radii whose bound falls on a distance."""
+    w = spark.range(600).selectExpr(
+        "CASE WHEN id % 37 > 0 THEN 't' || id % 450 END AS trip_id", "timestamp_seconds(1704067200 + id % 450 * 4001) AS window_start",
+        "CASE WHEN id % 41 > 0 THEN 58.4 + id * 7 % 50 / 5000 END AS lat_mean", "double(15.6 + id * 11 % 50 / 2500) AS lon_mean",
+    )
+    i = spark.range(300).selectExpr(
+        "'e' || id % 250 AS event_id", "'d' || id % 7 AS deviation_id", "timestamp_seconds(1704067200 + id * 4001) AS start_time",
+        "timestamp_seconds(1704067200 + id * 4001 + id % 9 * 90000 - 4001) AS end_time", "58.4 + id * 7 % 50 / 5000 AS latitude", "15.6 + id * 13 % 50 / 2500 AS longitude",
+        "CASE id % 4 WHEN 0 THEN 'x' WHEN 1 THEN NULL ELSE string(id % 12) END AS severity_code",
+        "CASE id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'E' || id % 11 END AS affected_road",
+    ).withColumns({c: F.col(c).cast("double") for c in ("latitude", "longitude")})
+    w = w.withColumn("lat_mean", F.col("lat_mean").cast("double"))
+    for radius in (500.0, 0.5):
+        want = spatial.incident_summary(spatial.incident_pairs(w, i, radius), ["trip_id", "window_start"]).collect()
+        assert want
+        for blocks, tile in ((10_000, 256), (7, 3)):
+            monkeypatch.setattr(spatial, "BLOCK_WINDOWS", blocks)
+            monkeypatch.setattr(spatial, "BLOCK_INCIDENTS", blocks)
+            assert sorted(map(str, spatial.incident_matches(w, i, radius).collect())) == sorted(map(str, want))
+
+
+def test_tiles_and_batches_cut_meetings_anywhere():
+    """The task function gives the same sums for any batches and tiles."""
+    n = 400
+    kind = [0] * 150 + [1] * 250
+    rows = pa.table({
+        **{c: pa.array([k % 1 for k in range(n)], pa.int64()) for c in matching.MEETING}, "_kind": pa.array(kind, pa.int32()),
+        "_lat": [58.4 + k * 7 % 50 / 5000 for k in range(n)], "_lon": [15.6 + k * 11 % 50 / 2500 for k in range(n)],
+        "_t0": [k * 10 if not x else (k - 150) * 8 for k, x in enumerate(kind)], "_t1": [k * 10 + k % 9 * 100 for k in range(n)],
+        "_severity": [k % 5 for k in range(n)], "trip_id": [f"t{k}" for k in range(n)], "event_id": [f"e{k}" for k in range(n)],
+        "deviation_id": ["d"] * n, "affected_road": [None if k % 5 == 0 else f"E{k % 11}" for k in range(n)],
+    })
+
+    def sums(size, tile, windows, slots):
+        with pytest.MonkeyPatch.context() as m:
+            for name, value in (("TILE", tile), ("TILE_WINDOWS", windows), ("TILE_SLOTS", slots)):
+                m.setattr(matching, name, value)
+            return [r for b in matching.matches(500.0)(iter(rows.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+
+    whole = sums(10_000, 262_144, 256, 1 << 22)
+    assert whole and any(len(r["_roads"]) > 1 for r in whole)
+    assert sums(7, 50, 3, 5) == whole == sums(149, 11, 256, 1 << 22)
+
+
+def test_incident_features_make_no_pairs(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "incident_pairs", None)
+    w = windows(spark, [("t", T0, 58.4, 15.6)])
+    got = spatial.incident_features(w, incidents(spark, [("x", "1", T0, T0, 58.4, 15.6, "1", "E4")])).first()
+    assert got["num_nearby_traffic_events"] == 1 and got["affected_roads"] == "E4"
+
+
 def test_open_ended_incidents_are_cut_to_the_windows(spark):
     w = windows(spark, [("a", T0, 58.4, 15.6), ("b", T0 + dt.timedelta(days=900), 58.4, 15.6)])
     rows = [
