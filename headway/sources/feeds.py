@@ -44,6 +44,8 @@ SITUATION = (
     + ", Geometry:struct<Point:struct<WGS84:string>, Line:struct<WGS84:string>, WGS84:string>>>"
 )
 INCIDENT_SOURCE = "trafikverket"
+# situations of one landed file at most
+FILE_SITUATIONS = 50_000
 
 
 def read_feed_messages(spark: SparkSession, path: str) -> DataFrame:
@@ -112,8 +114,17 @@ def read_situations(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_situations(df: DataFrame, xml_column: str) -> DataFrame:
-    """Situations held as XML text in a column."""
-    return df.select(F.from_xml(xml_column, SITUATION).alias("s")).select("s.*")
+    """Situations held as XML text in a column.
+
+    A text costs far more to parse than to read, so the few tasks that read a table deal its texts to all first.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.select(xml_column).repartition(parts).select(F.from_xml(xml_column, SITUATION).alias("s")).select("s.*")
+
+
+def write_situations(situations: DataFrame, path: str) -> None:
+    """Situations as XML files of bounded size: a reader cannot split a file, so none may grow with the table."""
+    situations.write.format("xml").options(rootTag="Result", rowTag="Situation", maxRecordsPerFile=FILE_SITUATIONS).save(path)
 
 
 def flatten_incidents(situations: DataFrame, ingestion_date) -> DataFrame:

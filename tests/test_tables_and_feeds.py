@@ -51,6 +51,22 @@ def test_situation_file(spark, tmp_path):
     assert feeds.typed_incidents(flat, drop_deleted=True).isEmpty()
 
 
+def test_situation_texts_of_one_task_are_dealt_to_all(spark):
+    texts = spark.range(40).select(F.format_string("<Situation><Id>%d</Id></Situation>", "id").alias("x"), F.lit("other").alias("rest")).coalesce(1)
+    parsed = feeds.parse_situations(texts, "x")
+    assert sorted(int(r["Id"]) for r in parsed.collect()) == list(range(40))
+    assert parsed.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+
+
+def test_situation_files_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(feeds, "FILE_SITUATIONS", 3)
+    texts = spark.range(10).select(F.format_string("<Situation><Id>%d</Id></Situation>", "id").alias("x"))
+    feeds.write_situations(feeds.parse_situations(texts, "x").coalesce(1), f"file://{tmp_path}/s")
+    files = list((tmp_path / "s").glob("part-*"))
+    assert len(files) == 4 and all(f.read_text().count("<Situation>") <= 3 for f in files)
+    assert sorted(int(r["Id"]) for r in feeds.read_situations(spark, f"file://{tmp_path}/s").collect()) == list(range(10))
+
+
 def test_open_ended_incidents(spark):
     df = spark.sql("select timestamp'2025-12-01 10:00:00' start_time, cast(null as timestamp) end_time, true valid_until_further_notice")
     assert cleaning.default_end_time(df).first()["end_time"] == dt.datetime(2025, 12, 2, 10)
