@@ -167,7 +167,7 @@ def incident_flatten(t):
 def incident_files(t):
     path = scratch_path(t.spark, "situations")
     situations = feeds.parse_situations(situation_xml(t), "value")
-    situations.write.format("xml").option("rootTag", "Result").option("rowTag", "Situation").save(path)
+    feeds.write_situations(situations, path)
     typed = feeds.typed_incidents(feeds.flatten_incidents(feeds.read_situations(t.spark, path), "2025-12-10"))
     return typed.select("event_id", "deviation_id", "start_time", "end_time", "latitude", "longitude")
 
