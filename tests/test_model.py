@@ -1,6 +1,9 @@
 """Learned steps on rows with a clear signal: the model must find it."""
 
+from threading import Barrier
+
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from headway.operators import metrics
@@ -73,6 +76,20 @@ def test_ordinal_models(parts):
     assert metrics.weighted_metrics(scored, "occupancy_mode", "predicted_occupancy").first()["accuracy"] > 0.95
 
 
+def test_ordinal_levels_are_fitted_side_by_side(parts, monkeypatch):
+    all_at_once = Barrier(3, timeout=30)
+
+    class Waiting(Pipeline):
+        def fit(self, rows):
+            all_at_once.wait()
+            return rows.agg(F.sum("label")).first()[0]
+
+    monkeypatch.setattr(model, "Pipeline", Waiting)
+    found = model.train_ordinal(parts[0])
+    assert list(found) == ["ge_1", "ge_2", "ge_3"]
+    assert list(found.values()) == [parts[0].filter(F.col("occupancy_mode") >= k).count() for k in (1, 2, 3)]
+
+
 def test_random_search(spark, parts):
     found = model.random_search(parts[0], draws=2)
     table = model.search_results(found).collect()
