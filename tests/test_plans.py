@@ -1,13 +1,16 @@
 """Composed jobs, streaming, and independence from the input's partitioning."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from compare import normal
 from headway.operators import metrics, products, spatial
 from headway.operators.windows import trip_windows
-from headway.plans import features, inference, model
+from headway.plans import features, inference, jobs, model
 from headway.session import scratch_path
+from headway.sources import tables
 from headway.sources.tables import CATALOG, TableStore
 from headway.streaming import incidents as si
 from headway.streaming import windows as sw
@@ -64,6 +67,19 @@ def test_forecast_covers_every_trip_hour_and_day(spark, t):
     assert {r["confidence"] for r in located.select("confidence").distinct().collect()} == {57.0}
 
 
+def test_published_forecasts_are_not_sorted_again(spark, t, monkeypatch):
+    trips, plans = t.routes.withColumnRenamed("route_id", "trip_id"), []
+    store = TableStore(spark, scratch_path(spark, "forecast"))
+    monkeypatch.setattr(tables, "write_partitioned", lambda df, *_, **how: plans.append((df._jdf.queryExecution().executedPlan().toString(), how)))
+    monkeypatch.setattr(TableStore, "_publish", lambda *_: None)
+    centres = trips.select("trip_id", F.lit(57.0).alias("lat"), F.lit(15.0).alias("lon"))
+    monkeypatch.setattr(tables.NullCounts, "check", lambda self: None)
+    for options in ({}, {"stop_centres": centres.unionByName(centres)}):
+        jobs.publish_forecast(store, trips, t.weather, t.holidays, "2024-01-10", **options)
+    by_slot = [re.search(r"windowspecdefinition\(\w+#\d+, hour#", plan) is not None for plan, _ in plans]
+    assert by_slot == [False, True] and all(how == {"gather": False} for _, how in plans)
+
+
 def test_grid_has_the_four_corners(spark):
     box = spark.createDataFrame([(56.0, 58.0, 14.0, 17.0)], "min_lat double, max_lat double, min_lon double, max_lon double")
     points = products.grid_points(box)

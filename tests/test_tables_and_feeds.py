@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -241,6 +242,20 @@ def test_gate_counts_in_the_pass_that_writes(spark):
     assert store.read(spec).count() == 9 and seen.value == 20
 
 
+def test_a_clustered_read_moves_its_rows_once(spark):
+    store, spec = TableStore(spark, scratch_path(spark, "tables")), CATALOG["forecast_fg"]
+    rows = spark.range(6).select(
+        (F.col("id") % 2).cast("string").alias("trip_id"), F.col("id").alias("hour"), F.lit(1).alias("weekday"),
+        F.lit("2024-01-01").cast("timestamp").alias("generated_at"), F.col("id").alias("n"),
+    )
+    store.upsert(spec, rows, run=1, distinct=True)
+    store.upsert(spec, rows.withColumn("n", F.col("n") + 10).filter("n > 12"), run=2)
+    read = store.read(spec)
+    assert sorted(r["n"] for r in read.collect()) == [0, 1, 2, 13, 14, 15]
+    moved = read.groupBy("trip_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(trip_id#\d+, \d+\)", moved)) == moved.count("Exchange ") == 1
+
+
 def test_odd_partition_values(spark):
     store, spec = TableStore(spark, scratch_path(spark, "t")), CATALOG["static_trip_info_fg"]
     rows = spark.sql("select * from values ('a', 'x=1/2 %', 1), ('b', null, 2), ('c', '2024-01-01', 3) t(trip_id, feed_date, n)")
