@@ -121,6 +121,19 @@ def test_many_to_one_guard(spark):
     assert enrich.many_to_one(right.select("k"), right.limit(1), ["k"]).count() == 2
 
 
+def test_stops_of_a_trip_move_once_for_duplicates_and_trips(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        fact = spark.createDataFrame([("t", "s", 1, "10:00:00")] * 2 + [("t", "s", 2, "11:00:00")], "trip_id string, stop_id string, stop_sequence int, arrival_time string")
+        dim = spark.createDataFrame([("t", "x")], "trip_id string, route_id string")
+        wide = enrich.trip_stops_enriched(fact, dim, "2024-01-01", ["arrival_time"])
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted((r["stop_sequence"], r["route_id"]) for r in wide.collect()) == [(1, "x"), (2, "x")]
+    assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in plan
+
+
 def windows_frame(spark):
     return spark.sql("select 't' trip_id, timestamp'2024-01-06 10:30:00' window_start, date'2024-01-06' date")
 
