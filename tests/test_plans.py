@@ -100,6 +100,15 @@ def test_missing_features_are_named(spark):
         model.ordered_features(spark.sql("select 1 trip_id"))
 
 
+def test_forecast_rows_are_made_in_all_tasks(spark):
+    """The trips of a forecast are few bytes, which would end in one task, the rows made of them many."""
+    trips = spark.range(400).selectExpr("CAST(id % 200 AS STRING) AS trip_id", "'r' AS route_short_name", "CAST(id AS STRING) AS route_long_name")
+    spine = products.forecast_spine(trips, inference.forecast_days("2024-01-10", spark))
+    dealt = spine.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.countDistinct("trip_id").alias("trips")).collect()
+    assert len(dealt) == int(spark.conf.get("spark.sql.shuffle.partitions")) and sum(r["trips"] for r in dealt) == 200
+    assert all(r["n"] == 38 * r["trips"] for r in dealt)
+
+
 def test_feature_list():
     assert len(model.FEATURES) == 23 and not set(model.FEATURES) & set(model.NOT_FEATURES)
 
