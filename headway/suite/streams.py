@@ -65,7 +65,7 @@ def stream_upsert(t):
     FROM order_windows LEFT JOIN incident_sums USING (trip_id, window_start)
     WHERE window_start < least((SELECT max(o_orderdate) FROM orders), (SELECT max(start_time) FROM incidents)) - INTERVAL 10 MINUTE""")
 def stream_incidents(t):
-    """Two streams, joined; of the stored pairs, those of windows that the watermark has passed."""
+    """Two streams, joined; of the stored matches, those of windows that the watermark has passed."""
     streams = _StreamIns(t.spark, t.sf_dir)
     pairs = _drained(t, si.stream_incident_pairs(streams.order_windows, streams.incidents))
     ends = [t.order_windows.agg(F.max("window_start")).first()[0], t.incidents.agg(F.max("start_time")).first()[0]]

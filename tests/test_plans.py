@@ -173,6 +173,27 @@ def test_stream_incidents_equal_batch_in_any_order_of_arrival(spark):
     assert rows(got) == rows(want) and got.count() > 300 and 50 < got.filter("num_nearby_traffic_events > 0").count() < got.count()
 
 
+def test_stream_incidents_store_no_row_for_each_pair(spark):
+    """A busy place: every window is near all incidents of its time, and leaves with their sums and roads."""
+    left, right, path = (scratch_path(spark, x) for x in ("w", "i", "pairs"))
+    day = 86_400
+    windows = spark.range(61).selectExpr("if(id = 60, 'last', concat('t', id % 50)) AS trip_id", f"timestamp_seconds(if(id = 60, {300 * day}, {120 * day} + id % 50)) AS window_start",
+                                         "if(id = 7, null, 57.0D) AS lat_mean", "15.0D AS lon_mean")
+    incidents = spark.range(201).selectExpr(
+        "concat('e', id) AS event_id", "'d' AS deviation_id", f"timestamp_seconds(if(id = 200, 300, 60 + id % 60) * {day}) AS start_time",
+        f"timestamp_seconds(if(id = 200, 301, 140) * {day}) AS end_time", "57.0D AS latitude", "15.0D AS longitude",
+        "if(id % 2 = 0, null, CAST(id % 6 AS STRING)) AS severity_code", "if(id % 4 = 0, null, concat('road ', id % 4)) AS affected_road")
+    windows.write.parquet(left)
+    incidents.write.parquet(right)
+    pairs = si.stream_incident_pairs(spark.readStream.schema(windows.schema).parquet(left), spark.readStream.schema(incidents.schema).parquet(right))
+    sw.drain_to_files(pairs, path, scratch_path(spark, "state"))
+    stored = spark.read.schema(pairs.schema).parquet(path).filter("trip_id <> 'last'")
+    assert stored.count() <= 60 * 3
+    got, want = si.features_of_pairs(stored), spatial.incident_features(windows, incidents).filter("trip_id <> 'last'").select(*si.features_of_pairs(stored).columns).distinct()
+    # ten keys come twice: the stream adds up their rows, as the batch does
+    assert rows(got) == rows(want) and got.filter("num_nearby_traffic_events = 200").count() == 41 and got.filter("num_nearby_traffic_events = 400").count() == 9
+
+
 def test_stream_incidents_stop_at_one_that_outlasts_the_state(spark):
     left, right = scratch_path(spark, "w"), scratch_path(spark, "i")
     spark.sql("SELECT 't' AS trip_id, timestamp'2024-01-01' AS window_start, 56.0D AS lat_mean, 14.0D AS lon_mean").write.parquet(left)
