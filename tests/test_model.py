@@ -99,3 +99,26 @@ def test_random_search(spark, parts):
 def test_macro_recall(spark):
     df = spark.createDataFrame([(0.0, 0.0), (0.0, 1.0), (1.0, 1.0)], "label double, prediction double")
     assert model.MacroRecall().evaluate(df) == pytest.approx(0.75)
+
+
+def test_copies_of_a_permutation_are_dealt_by_number(parts, monkeypatch):
+    """Few bytes become many rows to score, so their tasks are made by rows."""
+    monkeypatch.setattr(model, "COPIES", 1000)
+    found = model.permutation_importance(parts[1], model.rule_scorer, ["window_start"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # 480 rows, as they are and with each of the features changed
+    assert "Repartition 12, true" in plan
+
+
+def test_a_query_prepares_its_rows_once(monkeypatch):
+    from headway.suite import models
+
+    made = []
+    monkeypatch.setattr(models, "labelled", lambda t: t)
+    monkeypatch.setattr(models.model, "prepare", lambda rows: made.append(rows) or ("train", "test"))
+
+    class Tables:
+        pass
+
+    t = Tables()
+    assert models.split(t) == models.split(t) == ("train", "test") and made == [t]
