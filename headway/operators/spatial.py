@@ -269,7 +269,9 @@ def nearest_trip(requests: DataFrame, stops: DataFrame, max_radius_m: float = 50
 
     The place is settled first: each place carries the first and last arrival
     of its clock hours, which tell whether it is served in time, so no visit
-    is joined to a place that loses. Only the winning place of a request then
+    is joined to a place that loses. The circle widens until it holds a place
+    served in time, so a request is compared with the places of that circle
+    and not of the widest. Only the winning place of a request then
     meets visits: both ends of the other hours, and the ends of each minute of
     the request's own hour. Every other visit is further away in time.
     """
@@ -283,8 +285,8 @@ def nearest_trip(requests: DataFrame, stops: DataFrame, max_radius_m: float = 50
     minutes = written(_minute_ends(stops, payload), "visits")
     hours = minutes.groupBy(*place, "_hour").agg(F.min("_first").alias("_first"), F.min("_last").alias("_last"))
     # one short entry per clock hour, whatever the number of visits
-    span = F.struct(F.col("_first._rank").alias("early"), (-F.col("_last._rank")).alias("late"))
-    served = hours.groupBy(*place).agg(F.collect_list(span).alias("_served"))
+    spans = minutes.groupBy(*place, "_hour").agg(F.min("_first._rank").alias("early"), F.max(-F.col("_last._rank")).alias("late"))
+    served = written(spans.groupBy(*place).agg(F.collect_list(F.struct("early", "late")).alias("_served")), "served")
 
     def in_time(ends: Column) -> Column:
         # visits of the own hour are always in time, of other hours the nearer end is
@@ -294,11 +296,23 @@ def nearest_trip(requests: DataFrame, stops: DataFrame, max_radius_m: float = 50
     tier = F.when(F.col("distance_m") <= max_radius_m, 0).otherwise(2) + F.when(
         F.exists("_served", in_time), 0
     ).otherwise(1)
-    near = radius_pairs(wanted, served, max_radius_m * 2, ("lat", "lon"), tuple(place))
-    ranked = near.select("request_id", "_target", *place, "distance_m", tier.alias("_tier"))
     # rank keeps places that tie; losers are dropped before the shuffle
     order = Window.partitionBy("request_id").orderBy("_tier", "distance_m")
-    chosen = ranked.withColumn("_rank", F.rank().over(order)).filter("_rank = 1").drop("_rank", "_tier")
+    left, found = written(wanted, "requests"), []
+    for reach in (max_radius_m / 8, max_radius_m / 2, max_radius_m, max_radius_m * 2):
+        # requests are copied, as places carry their hours
+        near = radius_pairs(served, left, reach, tuple(place), ("lat", "lon"))
+        ranked = near.select("request_id", "_target", *place, "distance_m", tier.alias("_tier"))
+        best = ranked.withColumn("_rank", F.rank().over(order)).filter("_rank = 1").drop("_rank")
+        # what a wider circle adds is further away, and beats only places that are not served in time
+        settled = best.filter(F.col("_tier") <= (0 if reach < max_radius_m else 1 if reach == max_radius_m else 3)).drop("_tier")
+        found.append(written(settled, "nearest"))
+        if reach <= max_radius_m:
+            ids = found[-1].select(F.col("request_id").alias("_settled")).distinct()
+            left = written(left.join(ids, F.col("request_id").eqNullSafe(F.col("_settled")), "left_anti"), "requests")
+            if left.isEmpty():
+                break
+    chosen = reduce(DataFrame.unionByName, found)
 
     # equal arrivals have one winner at both ends, which need not be compared twice
     last = F.when(F.col("_last._rank") != -F.col("_first._rank"), F.col("_last"))

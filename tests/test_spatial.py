@@ -269,3 +269,18 @@ def test_rounds_of_nearest_places_send_nothing_to_all_tasks(spark, monkeypatch):
     found = spatial.nearest_place(requests, spark.createDataFrame([(58.0, 15.001)], "stop_lat double, stop_lon double")).collect()
     assert len(found) == 2 and len(plans) > 4
     assert any("Join" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
+def test_nearest_trip_widens_its_circle_only_for_requests_without_a_timely_place(spark, monkeypatch):
+    """A request with a timely place at hand never meets the places of the whole circle; repeated and null ids share one answer."""
+    met, real = [], spatial.radius_pairs
+    monkeypatch.setattr(spatial, "radius_pairs", lambda points, targets, radius, *a, **b: met.append((radius, targets.count())) or real(points, targets, radius, *a, **b))
+    at = dt.datetime(2024, 1, 1, 8, 30)
+    stops = [stop("a", 1, "08:30:00", 20, "near"), stop("b", 1, "08:30:00", 400, "inner"), stop("c", 1, "08:30:00", 1900, "outer")]
+    north = lambda m: 58.41 + math.degrees(m / 6_371_000)
+    places = {1: 0, 2: 220, 3: 2700, None: 2690}
+    rows = [(i, north(m), 15.62, at) for i, m in places.items()] + [(1, north(800), 15.62, at), (None, north(30), 15.62, at)]
+    requests = spark.createDataFrame(rows, "request_id int, lat double, lon double, at timestamp")
+    found = {r["request_id"]: (r["trip_id"], r["distance_m"]) for r in spatial.nearest_trip(requests, spark.createDataFrame(stops, STOP)).collect()}
+    assert found == {1: ("a", pytest.approx(20, abs=0.1)), 2: ("b", pytest.approx(180, abs=0.1)), 3: ("c", pytest.approx(800, abs=0.1)), None: ("a", pytest.approx(10, abs=0.1))}
+    assert met == [(62.5, 6), (250.0, 2), (500.0, 1), (1000.0, 1)]
