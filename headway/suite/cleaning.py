@@ -76,14 +76,16 @@ def conform_schema(t):
 
 
 _NUMBERS = StructType([
-    StructField("trip_id", LongType()), StructField("vehicle_id", IntegerType()), StructField("speed", DoubleType()), StructField("absent", DoubleType()),
+    StructField("trip_id", LongType()), StructField("trip_number", LongType()), StructField("vehicle_id", IntegerType()), StructField("speed", DoubleType()),
+    StructField("absent", DoubleType()),
 ])
 
 
-@query("conform_misfits", """SELECT count(trip_id) - count(TRY_CAST(trip_id AS BIGINT)) AS trip_id, count(vehicle_id) - count(TRY_CAST(vehicle_id AS INTEGER)) AS vehicle_id,
+@query("conform_misfits", """SELECT count(trip_id) - count(TRY_CAST(trip_id AS BIGINT)) AS trip_id,
+    count(trip_number) - count(TRY_CAST(trip_number AS BIGINT)) AS trip_number, count(vehicle_id) - count(TRY_CAST(vehicle_id AS INTEGER)) AS vehicle_id,
     CAST(0 AS BIGINT) AS speed, CAST(0 AS BIGINT) AS absent FROM named_pings""")
 def conform_misfits(t):
-    """Every named trip is a misfit among numbers."""
+    """Every named trip is a misfit among numbers; the numbered trips of all pings are cast as well."""
     return c.misfits(t.named_pings, _NUMBERS)
 
 

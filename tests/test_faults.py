@@ -77,3 +77,10 @@ def test_named_trips_are_misfits_among_numbers(spark):
     found = QUERIES["conform_misfits"](spark, SF).first()
     assert found.trip_id == spark.read.parquet(f"{SF}/events.parquet").count() > 0
     assert (found.vehicle_id, found.speed, found.absent) == (0, 0, 0)
+
+
+def test_numbered_trips_are_cast_as_well_as_named_ones(spark):
+    t = StandIns(spark, SF)
+    trips = t.named_pings.select("feed_entity_id", "trip_number").exceptAll(t.pings.select("feed_entity_id", "trip_id"))
+    assert trips.isEmpty() and t.named_pings.filter("trip_number IS NULL").isEmpty()
+    assert QUERIES["conform_misfits"](spark, SF).first().trip_number == 0
